@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loomspark.llm import quality_rules as rules
 from loomspark.llm.common import table
 from loomspark.llm.substring_dedup import substring_dedup
 from loomspark.llm.suffix_dedup import suffix_dedup
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), with_text=False)
 
@@ -19,6 +24,6 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"), with_text=False)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_substring_dedup, op10_suffix_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op5_substring_dedup, op10_suffix_dedup)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_quality_rules": rules.ORACLE}
