@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loomspark.llm import quality_rules as rules
 from loomspark.llm.common import table
+from loomspark.llm.packing import best_fit_packing
 from loomspark.llm.substring_dedup import substring_dedup
 from loomspark.llm.suffix_dedup import suffix_dedup
 
@@ -20,10 +21,14 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"), with_text=False)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op5_substring_dedup, op10_suffix_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op5_substring_dedup, op7_best_fit_packing, op10_suffix_dedup)}
 
 ORACLES: dict[str, str] = {"op1_quality_rules": rules.ORACLE}
