@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from loomspark.llm import quality_rules as rules
 from loomspark.llm.common import table
 from loomspark.llm.jaccard_join import jaccard_join
+from loomspark.llm.language_id import language_id
+from loomspark.llm.mixing import mix
 from loomspark.llm.packing import best_fit_packing
 from loomspark.llm.substring_dedup import substring_dedup
 from loomspark.llm.suffix_dedup import suffix_dedup
@@ -18,6 +20,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -30,10 +36,14 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("text")
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"), with_text=False)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op4_ngram_jaccard_join, op5_substring_dedup, op7_best_fit_packing, op10_suffix_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op3_language_id, op4_ngram_jaccard_join, op5_substring_dedup, op7_best_fit_packing, op8_source_mixing, op10_suffix_dedup)}
 
 ORACLES: dict[str, str] = {"op1_quality_rules": rules.ORACLE}
