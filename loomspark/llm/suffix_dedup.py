@@ -10,7 +10,7 @@ window; windows at different places can't be equal, so there is nothing to compa
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -52,21 +52,23 @@ def _cut_bytes(batches: Iterator[pa.RecordBatch], keep: list[str], with_text: bo
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *made.values()], [*keep, *made])
 
 
-def suffix_dedup(docs: DataFrame, length: int = 200, gram: int = GRAM, with_text: bool = True) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = 200, gram: int = GRAM, with_text: bool = True, carry: Sequence[str] = ()) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256; with_text adds kept_text and removed.
+    Columns named in carry come along behind doc_id.
 
     A byte goes if a window of ``length`` bytes covers it that also starts anywhere else in the corpus. Null text reads as empty
     and stays empty; texts shorter than ``length`` stay whole; equal texts of at least ``length`` bytes all go. A null doc_id
     is a value like any other; rows equal in id and text are copies. kept_text drops the bytes of characters that a cut split.
-    An empty table gives an empty one. Columns other than doc_id and text are not read.
+    An empty table gives an empty one. Other columns are not read.
     """
     spec = Repeats("bytes", length, gram, first=False)
-    rows = keyed(docs.select("doc_id", "text")).repartition(partitions(docs.sparkSession), "d", "th")
-    both = rows.join(repeated_spans(spec, rows), ["d", "th"], "left").select("doc_id", "text", _spans_or_none())
-    kind = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    carry = ["doc_id", *carry]
+    rows = keyed(docs.select(*carry, "text")).repartition(partitions(docs.sparkSession), "d", "th")
+    both = rows.join(repeated_spans(spec, rows), ["d", "th"], "left").select(*carry, "text", _spans_or_none())
+    kinds = dict(docs.dtypes)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in carry) + ", n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     schema += ", kept_text string, removed array<struct<s:long,e:long>>" if with_text else ""
-    return both.mapInArrow(lambda it: _cut_bytes(it, ["doc_id"], with_text), schema)
+    return both.mapInArrow(lambda it: _cut_bytes(it, carry, with_text), schema)
 
 
 def _spans_or_none():
