@@ -10,6 +10,7 @@ from loomspark.llm import quality_rules as rules
 from loomspark.llm.common import table
 from loomspark.llm.jaccard_join import jaccard_join
 from loomspark.llm.language_id import language_id
+from loomspark.llm.license_scan import license_scan
 from loomspark.llm.mixing import mix
 from loomspark.llm.packing import best_fit_packing
 from loomspark.llm.substring_dedup import substring_dedup
@@ -32,6 +33,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), with_ids=False)
 
@@ -44,6 +49,6 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"), with_text=False)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op3_language_id, op4_ngram_jaccard_join, op5_substring_dedup, op7_best_fit_packing, op8_source_mixing, op10_suffix_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op3_language_id, op4_ngram_jaccard_join, op5_substring_dedup, op6_license_scan, op7_best_fit_packing, op8_source_mixing, op10_suffix_dedup)}
 
 ORACLES: dict[str, str] = {"op1_quality_rules": rules.ORACLE}
