@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from loomspark.llm import quality_rules as rules
 from loomspark.llm import warc
 from loomspark.llm.common import table
+from loomspark.llm.embedding_dedup import embedding_dedup
 from loomspark.llm.jaccard_join import jaccard_join
 from loomspark.llm.language_id import language_id
 from loomspark.llm.license_scan import license_scan
@@ -50,10 +51,14 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("text")
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"), with_text=False)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op2_warc, op3_language_id, op4_ngram_jaccard_join, op5_substring_dedup, op6_license_scan, op7_best_fit_packing, op8_source_mixing, op10_suffix_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op2_warc, op3_language_id, op4_ngram_jaccard_join, op5_substring_dedup, op6_license_scan, op7_best_fit_packing, op8_source_mixing, op9_embedding_dedup, op10_suffix_dedup)}
 
 ORACLES: dict[str, str] = {"op1_quality_rules": rules.ORACLE, "op2_warc": warc.ORACLE}
