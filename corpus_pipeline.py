@@ -28,7 +28,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Every document, without the bytes of passages that stand elsewhere too; n_chars is counted anew."""
     made = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
     cut = suffix_dedup(docs, carry=[c for c in docs.columns if c not in ("doc_id", *made)])
-    return cut.select(*[made[c].alias(c) if c in made else c for c in docs.columns])
+    return cut.select(*[made[c].alias(c) if c in made else "doc_id" if c == "doc_id" else f"carried.{c}" for c in docs.columns])
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

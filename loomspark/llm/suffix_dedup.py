@@ -54,7 +54,7 @@ def _cut_bytes(batches: Iterator[pa.RecordBatch], keep: list[str], with_text: bo
 
 def suffix_dedup(docs: DataFrame, length: int = 200, gram: int = GRAM, with_text: bool = True, carry: Sequence[str] = ()) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256; with_text adds kept_text and removed.
-    Columns named in carry come along behind doc_id.
+    Columns named in carry come along in a struct, carried.
 
     A byte goes if a window of ``length`` bytes covers it that also starts anywhere else in the corpus. Null text reads as empty
     and stays empty; texts shorter than ``length`` stay whole; equal texts of at least ``length`` bytes all go. A null doc_id
@@ -62,13 +62,14 @@ def suffix_dedup(docs: DataFrame, length: int = 200, gram: int = GRAM, with_text
     An empty table gives an empty one. Other columns are not read.
     """
     spec = Repeats("bytes", length, gram, first=False)
-    carry = ["doc_id", *carry]
-    rows = keyed(docs.select(*carry, "text")).repartition(partitions(docs.sparkSession), "d", "th")
-    both = rows.join(repeated_spans(spec, rows), ["d", "th"], "left").select(*carry, "text", _spans_or_none())
-    kinds = dict(docs.dtypes)
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in carry) + ", n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    keep = ["doc_id", "carried"] if carry else ["doc_id"]
+    base = docs.select("doc_id", "text", *([F.struct(*carry).alias("carried")] if carry else []))
+    rows = keyed(base).repartition(partitions(docs.sparkSession), "d", "th")
+    both = rows.join(repeated_spans(spec, rows), ["d", "th"], "left").select(*keep, "text", _spans_or_none())
+    kinds = dict(base.dtypes)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in keep) + ", n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     schema += ", kept_text string, removed array<struct<s:long,e:long>>" if with_text else ""
-    return both.mapInArrow(lambda it: _cut_bytes(it, carry, with_text), schema)
+    return both.mapInArrow(lambda it: _cut_bytes(it, keep, with_text), schema)
 
 
 def _spans_or_none():
