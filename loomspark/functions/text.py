@@ -19,13 +19,13 @@ def collapse_ws(c: Column) -> Column:
 
 
 def norm_heading(c: Column) -> Column:
-    return collapse_ws(F.lower(F.replace(c, F.lit("_"), F.lit(" "))))
+    return F.replace(F.lower(collapse_ws(c)), F.lit("_"), F.lit(" "))
 
 
 def looks_like_item_name(c: Column) -> Column:
     """Short, no sentence, no namespace, no media file name. Null is no name."""
     t = collapse_ws(c)
-    media = t.rlike(r"(?i)\.(png|jpe?g|gif|svg|webp|bmp|ico|mp3|ogg|wav|mp4|webm)$")
+    media = t.rlike(r"(?i)\.(png|jpe?g|gif|webp|svg|ogg|mp3|wav)\b")
     return F.coalesce((t != "") & (F.length(t) <= 40) & ~t.rlike(r"[.!?,]$") & ~t.contains(":") & ~media, F.lit(False))
 
 

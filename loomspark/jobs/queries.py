@@ -187,7 +187,7 @@ def title_valid(spark, sf_dir):
 
 @query(
     r"""WITH t AS (SELECT page_id, unnest(regexp_extract_all(html, '<a [^>]*>([^<]*)</a>', 1)) AS a FROM pages), c AS (SELECT page_id, trim(regexp_replace(a, '\s+', ' ', 'g')) AS a FROM t)
-SELECT page_id, a AS name, a <> '' AND length(a) <= 40 AND NOT regexp_matches(a, '[.!?,]$') AND NOT contains(a, ':') AND NOT regexp_matches(a, '(?i)\.(png|jpe?g|gif|svg|webp|bmp|ico|mp3|ogg|wav|mp4|webm)$') AS item FROM c"""
+SELECT page_id, a AS name, a <> '' AND length(a) <= 40 AND NOT regexp_matches(a, '[.!?,]$') AND NOT contains(a, ':') AND NOT regexp_matches(a, '(?i)\.(png|jpe?g|gif|webp|svg|ogg|mp3|wav)\b') AS item FROM c"""
 )
 def item_name(spark, sf_dir):
     names = table(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit("<a [^>]*>([^<]*)</a>"), F.lit(1))).alias("a"))
@@ -202,6 +202,37 @@ def media_hash_rows(spark, sf_dir):
     return table(spark, sf_dir, "documents").filter("text is not null").select("doc_id", media_hash(c).alias("hash"), media_ext(c).alias("ext"), media_type(c).alias("media_type"))
 
 
+@query()
+def plain_html(spark, sf_dir):
+    from loomspark.operators.html_jobs import wiki_plain_html
+
+    return wiki_plain_html(table(spark, sf_dir, "pages").select("url", "html"))
+
+
+@query()
+def wiki_text_rows(spark, sf_dir):
+    from loomspark.operators.html_jobs import wiki_text_rows as rows
+
+    return rows(table(spark, sf_dir, "pages").select("url", "html", F.col("html").alias("raw")), "<!-- as of this version -->\n")
+
+
+@query()
+def law_html_rows(spark, sf_dir):
+    from loomspark.operators.html_jobs import law_html_rows as rows
+
+    return rows(table(spark, sf_dir, "pages").select("url", F.lit("de").alias("lang"), "html")).select("url", "lang", "page_html", "plain_html", "error")
+
+
+@query(
+    r"""SELECT url, CASE WHEN contains(html, '<article>') AND contains(html, '</article>') THEN 'found' ELSE 'no match' END AS status FROM pages"""
+)
+def inner_html_status(spark, sf_dir):
+    from loomspark.operators.html_jobs import first_inner_html
+
+    found = first_inner_html(table(spark, sf_dir, "pages").select("url", "html"), "article")
+    return found.select("url", F.coalesce("error", F.lit("found")).alias("status"))
+
+
 _FENCED = "doc_id % 3"
 
 
