@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -102,3 +104,22 @@ def learning_pairs(sets: DataFrame) -> DataFrame:
     items = F.when(F.startswith(F.ltrim("json"), F.lit("[")) & F.try_parse_json("json").isNotNull(), F.from_json("json", "array<struct<question:string,answer:string>>"))
     pairs = sets.select(F.col("url").alias("source"), F.explode(items).alias("p")).select("source", "p.*")
     return pairs.filter("question is not null and answer is not null")
+
+
+def learning_set_rows(sets: DataFrame) -> DataFrame:
+    """Sets (url, json) to text, source, ai_enhanced, error: the JSON twice, with letters as they are and escaped to ASCII; one row
+    with an error where it can't be read."""
+
+    def lay_out(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for text in batch:
+                try:
+                    value = json.loads(text or "")
+                    rows.append(([json.dumps(value, indent=2, ensure_ascii=ascii_only) for ascii_only in (False, True)], None))
+                except ValueError as e:
+                    rows.append(([None], str(e)))
+            yield pd.DataFrame(rows, columns=["texts", "error"])
+
+    made = sets.select("url", F.pandas_udf(lay_out, "texts array<string>, error string")("json").alias("r"))
+    return made.select(F.explode("r.texts").alias("text"), F.col("url").alias("source"), F.lit(False).alias("ai_enhanced"), "r.error")

@@ -116,6 +116,9 @@ def test_lists(spark, tmp_path):
     assert [(r.title, r.language, r.xml) for r in readers.read_law_csv(spark, str(tmp_path / "law.csv")).collect()] == [("Title", "DE", '<a>\n"q"</a>')]
     sets = spark.createDataFrame([("u", '[{"question": "hallo", "answer": "hello"}, {"question": "x"}]'), ("v", '{"question": "a", "answer": "b"}'), ("w", "oops")], "url string, json string")
     assert [tuple(r) for r in readers.learning_pairs(sets).collect()] == [("u", "hallo", "hello")]
+    texts = readers.learning_set_rows(spark.createDataFrame([("u", '{"a": "é"}'), ("w", "oops"), ("n", None)], "url string, json string")).collect()
+    assert [r.text for r in texts if r.source == "u"] == ['{\n  "a": "é"\n}', '{\n  "a": "\\u00e9"\n}']
+    assert all(r.text is None and r.error for r in texts if r.source != "u") and len(texts) == 4
 
 
 def naive_repetition(text):
