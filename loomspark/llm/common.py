@@ -1,35 +1,13 @@
-"""Session helpers shared by the operators: tables, shared scratch tables, partition counts."""
+"""What the operators share: tables, scratch tables, partition counts."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark.sql import SparkSession
 
-from pyspark.sql import DataFrame, SparkSession
+from loomspark.session import materialize, table
+from loomspark.session import scratch as shared_dir
 
-#: ASCII white space that separates words wherever a contract says ``[^\x20\x09-\x0D]+``.
-WORD = r"[^\x20\x09-\x0D]+"
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder under the one that the cluster shares; a temporary one only where none is set (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="loomspark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/loomspark/{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write to the shared folder and read back: lineage ends in files that every executor sees."""
-    spark = df.sparkSession
-    path = shared_dir(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["materialize", "partitions", "shared_dir", "table"]
 
 
 def partitions(spark: SparkSession) -> int:
