@@ -33,8 +33,8 @@ BANDS, ROWS = 24, 4
 SKETCH, STEP = 64, 16
 #: A pair is dropped when its probability of reaching the threshold falls below this.
 TOLERANCE = 1e-6
-#: Documents of a bucket, and of a component, that one task compares with each other.
-BUCKET, BLOCK = 20_000, 1_000
+#: Documents of a bucket, and of a component, that one task compares with each other; n-grams of a component's block.
+BUCKET, BLOCK, BLOCK_GRAMS = 20_000, 1_000, 2_000_000
 _RNG = np.random.default_rng(41)
 _A = _RNG.integers(0, 1 << 31, BANDS * ROWS + SKETCH, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _RNG.integers(0, 1 << 32, BANDS * ROWS + SKETCH, dtype=np.uint32)
@@ -258,10 +258,12 @@ def jaccard_join(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD,
     classes = ids.groupBy("set_a", "set_b").agg(F.min("d").alias("lead"), F.count("*").alias("members"))
     member = ids.join(classes, ["set_a", "set_b"]).select("d", "lead", "members")
     leads = classes.select(F.col("lead").alias("d"), "set_a", "set_b", "members")
-    reps = materialize(signed.join(leads, ["d", "set_a", "set_b"]).dropDuplicates(["d", "set_a", "set_b"]).select("d", "members", "bands", "sketch"))
+    reps = materialize(signed.join(leads, ["d", "set_a", "set_b"]).dropDuplicates(["d", "set_a", "set_b"]).select("d", "members", "n", "bands", "sketch"))
     near = components(_candidates(reps, threshold, tolerance))
-    sized = near.join(near.groupBy("component").agg(F.count("*").alias("size")), "component").join(reps.groupBy("d").agg(F.max("members").alias("members")), near["node"] == reps["d"]).select("d", "component", "size", "members")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    known = reps.groupBy("d").agg(F.max("members").alias("members"), F.sum("n").alias("n"))
+    sized = near.withColumnRenamed("node", "d").join(known, "d")
+    sized = sized.join(sized.groupBy("component").agg(F.count("*").alias("size"), F.sum("n").alias("grams")), "component")
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int")
     sized = sized.withColumn("block", F.pmod(F.xxhash64("d"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     sized = sized.select("d", "component", "members", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
     texts = base.select("d", "text").join(sized, "d")
