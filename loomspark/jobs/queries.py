@@ -39,16 +39,16 @@ def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _registry(spark: SparkSession) -> DataFrame:
-    """Handlers of top-level domains, of domains and of language sections."""
-    rows = [("com/example/tionble", "site"), ("net/example", "host"), ("net/example/tionsh/en", "section"), ("com/example/tionble/blog/en", "section"), ("net/example/tionsh/fr", "section")]
+    """Handlers of hosts and of their language sections."""
+    rows = [("net/example/tionsh/blog", "site"), ("org/example/thther", "host"), ("net/example/ththan/blog", "host"), ("net/example/tionsh/blog/en", "section"), ("com/example/tiontion/blog/en", "section"), ("net/example/tionsh/blog/fr", "section")]
     return spark.createDataFrame(rows, "prefix string, handler string")
 
 
 _NETLOC = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1)"
 _PATH = r"regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1), ';[^/]*$', '')"
 _URLS_SQL = "u AS (SELECT url, page_id AS pos FROM pages UNION ALL SELECT url, page_id + 1000000000 FROM pages WHERE page_id % 5 = 0)"
-_REGISTRY_SQL = """r(prefix, handler) AS (VALUES ('com/example/tionble', 'site'), ('net/example', 'host'), ('net/example/tionsh/en', 'section'),
-  ('com/example/tionble/blog/en', 'section'), ('net/example/tionsh/fr', 'section'))"""
+_REGISTRY_SQL = """r(prefix, handler) AS (VALUES ('net/example/tionsh/blog', 'site'), ('org/example/thther', 'host'), ('net/example/ththan/blog', 'host'),
+  ('net/example/tionsh/blog/en', 'section'), ('com/example/tiontion/blog/en', 'section'), ('net/example/tionsh/blog/fr', 'section'))"""
 _ROUTED_SQL = f"""p AS (SELECT url, list_reverse(string_split({_NETLOC}, '.')) AS h, list_filter(string_split({_PATH}, '/'), lambda x: x <> '') AS s FROM (SELECT DISTINCT url FROM pages)),
 c AS (SELECT url, len(s) - i AS pos, replace(array_to_string(list_concat(h, s[1:i]), '/'), '.', '/') AS prefix FROM p, unnest(range(0, len(s) + 1)) AS t(i)),
 f AS (SELECT url, arg_min(handler, pos) AS handler FROM c JOIN r ON c.prefix = r.prefix GROUP BY url)"""
@@ -326,6 +326,80 @@ def find_repetition(spark, sf_dir):
     return found.select("doc_id", "repetition.pos", "repetition.window")
 
 
+def _builder():
+    from loomspark.jobs.build import Registry
+    from loomspark.operators.html_jobs import first_inner_html
+
+    def article(pages: DataFrame) -> DataFrame:
+        return first_inner_html(pages, "article").select(F.col("url").alias("source"), "text", F.lit(False).alias("ai_enhanced"), "error")
+
+    registry = Registry()
+    for prefix in ("net/example/tionsh/blog", "org/example/thther", "net/example/ththan/blog", "com/example/tiontion/blog/en"):
+        registry.register(prefix, article)
+    return registry
+
+
+_BUILT_SQL = f"""WITH {_REGISTRY_SQL.replace("'host'", "'article'").replace("'site'", "'article'").replace("'section'", "'article'")}, {_ROUTED_SQL},
+n AS (SELECT p.url, f.handler, contains(html, '<article>') AS good FROM p JOIN pages g ON p.url = g.url LEFT JOIN f ON p.url = f.url WHERE g.page_id % 3 > 0)
+SELECT CASE WHEN handler IS NULL THEN 'skipped' WHEN good THEN 'processed' ELSE 'failed' END AS status, count(*) AS n FROM n GROUP BY 1"""
+
+
+@query(_BUILT_SQL)
+def corpus_build(spark, sf_dir):
+    from loomspark.jobs.build import build
+
+    pages = table(spark, sf_dir, "pages").select("url", "html")
+    return frontier.run_summary(build(pages, _ledger(spark, sf_dir), _builder())[1])
+
+
+@query(f"WITH {_REGISTRY_SQL}, {_ROUTED_SQL} SELECT url, pos, prefix FROM c")
+def candidate_prefixes(spark, sf_dir):
+    from loomspark.functions.urls import candidate_prefixes as steps
+
+    return table(spark, sf_dir, "pages").select("url").distinct().select("url", F.posexplode(steps(F.col("url"))).alias("pos", "prefix")).withColumn("pos", F.col("pos").cast("long"))
+
+
+@query(f"SELECT doc_id AS url, '{SYSTEM}' AS system, text AS page, 2::BIGINT AS n_messages FROM documents WHERE length(text) >= 4000")
+def qa_candidates(spark, sf_dir):
+    asked = generated.qa_candidates(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("url"), F.col("text").alias("pretty")), SYSTEM)
+    m = F.col("messages")
+    return asked.select("url", m[0]["content"][0]["text"].alias("system"), m[1]["content"][0]["text"].alias("page"), F.size(m).cast("long").alias("n_messages"))
+
+
+@query(
+    """SELECT doc_id, CASE doc_id % 4 WHEN 2 THEN ' ' || chr(10) WHEN 1 THEN 'y<channel|>' || text ELSE text END AS part, CASE WHEN doc_id % 4 = 3 AND doc_id % 3 = 0 THEN 'thinking' ELSE 'response' END AS verdict
+FROM documents WHERE text IS NOT NULL AND source IS NOT NULL"""
+)
+def needs_answer_check(spark, sf_dir):
+    prompt = F.when(F.expr("doc_id % 3 = 0"), F.lit("prompt <think>")).otherwise(F.lit("prompt"))
+    return _outputs(spark, sf_dir).select("doc_id", generated.needs_answer_check(F.col("text"), prompt).alias("c")).select("doc_id", "c.*")
+
+
+@query("SELECT DISTINCT sha256(text) AS hash, 'bin' AS ext, 'other_media' AS media_type FROM documents WHERE text IS NOT NULL")
+def media_rows(spark, sf_dir):
+    from loomspark.sources.sinks import media_rows as rows
+
+    return rows(table(spark, sf_dir, "documents").select(F.col("text").cast("binary").alias("content"))).drop("content")
+
+
+@query(
+    """WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text, turn % 2 = 0 AS att FROM conversations),
+m AS (SELECT *, CASE WHEN role = 'user' THEN (text <> '')::INT + att::INT ELSE 1 END AS parts FROM c WHERE role IN ('user', 'assistant', 'system', 'tool'))
+SELECT conv_id, count(*) AS n_messages, sum(CASE WHEN role = 'assistant' THEN 0 ELSE parts END)::BIGINT AS n_parts, count(*) FILTER (WHERE role = 'user' AND att) AS n_media, bool_and(true) AS ai_enhanced FROM m GROUP BY conv_id"""
+)
+def instruct_chats(spark, sf_dir):
+    """Conversations as published chats: even turns refer to an attachment, odd ones to one that is not there."""
+    c = table(spark, sf_dir, "conversations")
+    ref = F.array(F.struct(F.lit("application/pdf/sha256sum").alias("type"), F.when(F.col("turn") % 2 == 0, F.concat(F.lit("h"), F.col("conv_id"))).otherwise(F.lit("gone")).alias("value")))
+    one = F.struct("role", F.coalesce("text", F.lit("")).alias("content"), ref.alias("attachments"))
+    published = c.groupBy("conv_id").agg(chats.ordered(F.col("turn"), one).alias("messages")).withColumn("mistakes", F.lit(True))
+    blobs = c.select(F.concat(F.lit("h"), F.col("conv_id")).alias("hash")).distinct().withColumn("content", F.encode("hash", "utf-8"))
+    made = chats.instruct_chats(published, blobs)
+    own = F.filter("messages", lambda m: m["content"].isNotNull())
+    parts = F.flatten(F.transform(own, lambda m: m["content"]))
+    return made.select("conv_id", F.size("messages").cast("long").alias("n_messages"), F.size(parts).cast("long").alias("n_parts"), F.size(F.filter(parts, lambda p: p["hash"].isNotNull())).cast("long").alias("n_media"), "ai_enhanced")
+
+
 @query(f"SELECT {_NETLOC} AS netloc, count(DISTINCT url) AS n FROM pages GROUP BY 1")
 def domains(spark, sf_dir):
     return _urls(spark, sf_dir).groupBy(url_netloc(F.col("url")).alias("netloc")).agg(F.countDistinct("url").alias("n"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.functions.text import media_type
+from loomspark.session import lookup
 
 _CONTENT = "struct<type:string,text:string,hash:string>"
 _MESSAGE = f"struct<role:string,content:array<{_CONTENT}>,text:{_CONTENT},tool_calls:array<struct<name:string,arguments:string>>>"
@@ -51,8 +52,12 @@ def chat_rows(turns: DataFrame, ai_enhanced: bool = False, roles: tuple[str, ...
     return kept.groupBy("conv_id").agg(ordered(F.col("turn"), made).alias("messages")).withColumn("ai_enhanced", F.lit(ai_enhanced))
 
 
-def translation_chats(pairs: DataFrame, prompt: str, least: int = 3) -> DataFrame:
-    """Pairs (source, question, answer), each of at least ``least`` characters, to system, user and assistant messages."""
+def translation_chats(pairs: DataFrame, prompt: str, least: int = 3, allow: DataFrame | None = None) -> DataFrame:
+    """Pairs (source, question, answer), each of at least ``least`` characters, to system, user and assistant messages.
+
+    allow: the sources whose pairs are translations; all of them without it."""
+    if allow is not None:
+        pairs = pairs.join(lookup(allow.select("source").distinct()), "source", "left_semi")
     kept = pairs.filter((F.length("question") >= least) & (F.length("answer") >= least))
     return kept.select("source", F.array(message("system", text_content(F.lit(prompt))), message("user", text_content(F.col("question"))), assistant(F.col("answer"))).alias("messages"))
 
