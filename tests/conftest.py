@@ -4,7 +4,9 @@ import sys
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HOME = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, HOME)
+os.environ["PYTHONPATH"] = os.pathsep.join([HOME, *os.environ.get("PYTHONPATH", "").split(os.pathsep)])  # the workers' too
 SF = "/root/testdata/sf0.001"
 
 
