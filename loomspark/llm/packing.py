@@ -165,4 +165,4 @@ def best_fit_packing(docs: DataFrame, path: str | None = None, capacity: int = C
     Null and empty texts are one piece, the end id alone. Only documents of more than ``capacity`` tokens are cut.
     """
     path = path or public_tokenizers.path("byte_bpe_50k.json")
-    return pack(tokenize(docs, path, capacity, with_ids), capacity)
+    return pack(materialize(tokenize(docs, path, capacity, with_ids)), capacity)  # range-sorting reads its input twice
