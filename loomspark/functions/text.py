@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 WS = r"[\s\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
+#: The same as single characters.
+WS_CHARS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def strip_ws(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^{WS}+|{WS}+$", "")
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def collapse_ws(c: Column) -> Column:

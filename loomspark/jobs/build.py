@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspark.operators.frontier import dedup_urls, route_urls, unseen_urls
+from loomspark.session import materialize
 
 #: Takes pages (url, html) and gives source, text, messages (or null), ai_enhanced, error.
 Handler = Callable[[DataFrame], DataFrame]
@@ -40,7 +41,7 @@ def build(pages: DataFrame, ledger: DataFrame, registry: Registry) -> tuple[Data
     """
     spark = pages.sparkSession
     urls = unseen_urls(dedup_urls(pages.select("url", F.lit(0).alias("pos"))), ledger)
-    routed = route_urls(urls.select("url"), registry.table(spark))
+    routed = materialize(route_urls(urls.select("url"), registry.table(spark)))
     todo = pages.join(routed.filter("handler is not null"), "url")
     outputs: DataFrame | None = None
     for name, handler in registry.handlers.items():
