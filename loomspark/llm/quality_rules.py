@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 _BLANK = r"[\x20\x09-\x0D]+"
 _SYMBOLS = r"[#*$%&|<>]"
+_MADE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "__text", "__w"]
 #: Rows on which rules are timed.
 SAMPLE = 1_000
 
@@ -92,6 +93,7 @@ def n_repeat_words(w: Column) -> Column:
 
 def measures(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text and any others) with __text (null read as empty) and the counts that rules use."""
+    docs = docs.drop(*_MADE)
     text = F.col("__text")
     counted = docs.withColumn("__text", F.coalesce("text", F.lit(""))).withColumn(
         "__w", let(words(text), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), n_repeat_words(w).alias("n_repeat_words")))
@@ -114,12 +116,12 @@ RULES = (
 )
 
 
-def plan(measured: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE) -> list[tuple[Rule, float, float]]:
+def plan(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE) -> list[tuple[Rule, float, float]]:
     """Rules with their share of rejections and seconds on a sample of at most sample_rows rows, best first."""
-    n = measured.count()
+    n = docs.count()
     if not n or not rules:
         return [(r, 0.0, 0.0) for r in rules]
-    sample = measured.sample(min(1.0, 1.5 * sample_rows / n), seed=7).limit(sample_rows).persist()
+    sample = measures(docs.sample(min(1.0, 1.5 * sample_rows / n), seed=7).limit(sample_rows)).persist()
     try:
         shares = sample.agg(F.count("*").alias("n"), *[F.sum(r.fails().cast("int")).alias(f"r{i}") for i, r in enumerate(rules)]).first()
         found = []
@@ -147,9 +149,8 @@ def quality_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: i
     repeated rows and null ids do not matter: each row is judged alone. Columns of docs that bear a name made here are replaced.
     An empty table gives an empty one.
     """
-    made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "__text", "__w"]
-    measured = measures(docs.drop(*made))
-    order = [r for r, _, _ in plan(measured, rules, sample_rows)]
+    measured = measures(docs)
+    order = [r for r, _, _ in plan(docs, rules, sample_rows)]
     flagged = measured.withColumn("base_failed", base_failed())
     return flagged.withColumn("kept", ~F.col("base_failed") & F.when(F.col("base_failed"), F.lit(False)).otherwise(cascade(measured, order).isNull())).drop("__text")
 
