@@ -31,12 +31,13 @@ def _step(text: str, cut: int, past: bool, opened: bool, token: str) -> tuple[st
     return joined[drop:], cut + drop, past, opened
 
 
-def repetition_guard(tokens: DataFrame, timeout: str = "1 hour") -> DataFrame:
+def repetition_guard(tokens: DataFrame, timeout: str | None = "1 hour") -> DataFrame:
     """Stream of tokens (gen_id, seq, token) to one row for each generation whose tail repeats: gen_id, verdict (thinking or
     response), pos (in the whole output), window. The first find ends a generation; later tokens of it are ignored.
 
     The state of a generation is its last characters and a few flags. Within a micro-batch tokens are taken by seq and the tail
-    is checked once after them; a generation without tokens for ``timeout`` is forgotten.
+    is checked once after them; a generation without tokens for ``timeout`` is forgotten. None keeps all,
+    which a run over what is there now needs: with a timeout the stream goes on for its sake.
     """
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -51,11 +52,12 @@ def repetition_guard(tokens: DataFrame, timeout: str = "1 hour") -> DataFrame:
             found = repeated_window(text, RULES, TAIL)
         done = done or found is not None
         state.update(("" if done else text, cut, past, opened, done))
-        state.setTimeoutDuration(_milliseconds(timeout))
+        if timeout:
+            state.setTimeoutDuration(_milliseconds(timeout))
         if found:
             yield pd.DataFrame({"gen_id": [key[0]], "verdict": ["thinking" if opened and not past else "response"], "pos": [cut + found[0]], "window": [found[1]]})
 
-    return tokens.groupBy("gen_id").applyInPandasWithState(update, OUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return tokens.groupBy("gen_id").applyInPandasWithState(update, OUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout if timeout else GroupStateTimeout.NoTimeout)
 
 
 def _milliseconds(text: str) -> int:

@@ -288,8 +288,8 @@ def test_repetition_guard(spark, tmp_path):
     rows += [("after", 0, "<think>" + "q" * 600 + "</thi"), ("after", 1, "nk>")] + [("after", i, f"ok{i} ") for i in range(2, 100)]
     spark.createDataFrame(rows, "gen_id string, seq long, token string").repartition(3).write.parquet(f"{tmp_path}/in")
     stream = spark.readStream.schema("gen_id string, seq long, token string").parquet(f"{tmp_path}/in")
-    q = repetition_guard(stream).writeStream.format("memory").queryName("guard").outputMode("append").trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/cp").start()
-    q.awaitTermination(180)
+    q = repetition_guard(stream, timeout=None).writeStream.format("memory").queryName("guard").outputMode("append").trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/cp").start()
+    assert q.awaitTermination(120)
     got = {r.gen_id: (r.verdict, r.pos) for r in spark.sql("select * from guard").collect()}
     assert set(got) == {"loop", "think"} and got["loop"][0] == "response" and got["think"][0] == "thinking"
     whole = "".join(t for _, _, t in sorted(x for x in rows if x[0] == "loop"))
