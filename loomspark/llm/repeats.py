@@ -92,7 +92,7 @@ def _anchors(spec: Repeats, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
     """The distinct anchors of each document, once, or twice if they occur more than once."""
     for batch in batches:
         data, offsets = X.flat(batch.column("text"))
-        for lo, hi in X.slices(offsets, 2 * X.PIECE):
+        for lo, hi in X.slices(offsets, X.PIECE):
             values, first, _, _ = _tokens(spec, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
             row, _, _, _, g = _segments(spec, values, first)
             order = np.lexsort((g, row))
@@ -107,7 +107,8 @@ SEGMENT = "part int, g long, d long, th long, anchor long, least int, most int,
 
 
 def _cut(spec: Repeats, splitters: list[int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments of the candidate anchors. Rows without body are spans already decided: repeats within one document."""
+    """Segments of the candidate anchors. Rows without body are spans already decided, repeats within one document: the last
+    ``most`` tokens before ``anchor``."""
     edges = np.array(splitters, np.int64)
     for batch in batches:
         data, offsets = X.flat(batch.column("text"))
@@ -116,7 +117,7 @@ def _cut(spec: Repeats, splitters: list[int], batches: Iterator[pa.RecordBatch])
         flat = hits.values
         hit_g, hit_n = flat.field("g").to_numpy(), flat.field("n").to_numpy()
         d, th = (batch.column(c).to_numpy() for c in _IDS)
-        for lo, hi in X.slices(offsets, 2 * X.PIECE):
+        for lo, hi in X.slices(offsets, X.PIECE):
             base = offsets[lo]
             values, first, word_at, word_to = _tokens(spec, data[base : offsets[hi]], offsets[lo : hi + 1] - base)
             row, start, end, anchor, g = _segments(spec, values, first)
@@ -161,19 +162,29 @@ def _cut(spec: Repeats, splitters: list[int], batches: Iterator[pa.RecordBatch])
             else:
                 from_, to_ = word_at[begin], word_to[stop - 1]
             text = data[base : offsets[hi]]
-            for some, whole in ((sent, False), (known_span, True)):
-                for k in range(0, len(some), 20_000):
-                    s = some[k : k + 20_000]
-                    if whole:
-                        bodies = pa.nulls(len(s), pa.binary())
-                    else:
-                        size = to_[s] - from_[s]
-                        blob = text[X.ranges(from_[s], size)]
-                        bodies = pa.Array.from_buffers(pa.binary(), len(s), [None, pa.py_buffer(X.starts_of(size).astype(np.int32)), pa.py_buffer(blob)])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(where[s]), pa.array(g[s]), pa.array(ids_d[s]), pa.array(ids_th[s]), pa.array(anchor[s]), pa.array(least[s].astype(np.int32)), pa.array(most[s].astype(np.int32)), bodies],
-                        ["part", "g", "d", "th", "anchor", "least", "most", "body"],
-                    )
+            for k in range(0, len(sent), 20_000):
+                i = sent[k : k + 20_000]
+                size = to_[i] - from_[i]
+                blob = text[X.ranges(from_[i], size)]
+                bodies = pa.Array.from_buffers(pa.binary(), len(i), [None, pa.py_buffer(X.starts_of(size).astype(np.int32)), pa.py_buffer(blob)])
+                yield _segment_batch(where[i], g[i], ids_d[i], ids_th[i], anchor[i], least[i], most[i], bodies)
+            if len(known_span):  # joined per document and dealt evenly: no one has to compare them
+                runs = merged(np.column_stack([begin[known_span], stop[known_span]]), len(values))
+                at_row = np.searchsorted(first, runs[:, 0], "right") - 1
+                parts = []
+                for i, (a, b) in zip(at_row, runs, strict=True):  # runs of neighbouring documents may touch
+                    while b > first[i + 1]:
+                        parts.append((i, a, first[i + 1]))
+                        i, a = i + 1, first[i + 1]
+                    parts.append((i, a, b))
+                i, a, b = np.array(parts, np.int64).T
+                deal = (X.mix(d[lo:hi][i].view(np.uint64) + a.astype(np.uint64)) % np.uint64(len(edges) + 1)).astype(np.int32)
+                yield _segment_batch(deal, np.zeros(len(i), np.int64), d[lo:hi][i], th[lo:hi][i], b - first[i], np.zeros(len(i), np.int64), b - a, pa.nulls(len(i), pa.binary()))
+
+
+def _segment_batch(part, g, d, th, anchor, least, most, bodies) -> pa.RecordBatch:
+    columns = [pa.array(part), pa.array(g), pa.array(d), pa.array(th), pa.array(anchor), pa.array(least.astype(np.int32)), pa.array(most.astype(np.int32)), bodies]
+    return pa.RecordBatch.from_arrays(columns, ["part", "g", "d", "th", "anchor", "least", "most", "body"])
 
 
 def _find(rows: np.ndarray, keys: np.ndarray, row: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -327,7 +338,7 @@ def _spans(spec: Repeats, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         known = batch.column("body").is_null().to_numpy(zero_copy_only=False)
         if known.any():
             c = {k: batch.column(k).to_numpy()[known] for k in ("d", "th", "anchor", "least", "most")}
-            yield out(c["d"], c["th"], c["anchor"] - c["most"], c["anchor"] - c["least"] + spec.length)
+            yield out(c["d"], c["th"], c["anchor"] - c["most"], c["anchor"])
             batch = batch.filter(pa.array(~known))
         if not len(batch):
             continue
