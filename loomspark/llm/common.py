@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from loomspark.session import materialize, table
 from loomspark.session import scratch as shared_dir
 
-__all__ = ["materialize", "partitions", "shared_dir", "table"]
+__all__ = ["materialize", "partitions", "shared_dir", "spread", "table"]
 
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores, where its files give fewer partitions than there are: one small file is one task otherwise."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

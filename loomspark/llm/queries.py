@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loomspark.llm import quality_rules as rules
 from loomspark.llm import warc
-from loomspark.llm.common import table
+from loomspark.llm.common import spread, table
 from loomspark.llm.embedding_dedup import embedding_dedup
 from loomspark.llm.jaccard_join import jaccard_join
 from loomspark.llm.language_id import language_id
@@ -20,7 +20,7 @@ from loomspark.llm.suffix_dedup import suffix_dedup
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return rules.quality_rules(spread(table(spark, sf_dir, "documents").select("doc_id", "text"))).drop("text")
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language_id(table(spark, sf_dir, "documents"))
+    return language_id(spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")))
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,11 +40,11 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan(table(spark, sf_dir, "documents")).drop("spans")
+    return license_scan(spread(table(spark, sf_dir, "documents").select("doc_id", "text"))).drop("spans")
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return best_fit_packing(table(spark, sf_dir, "documents"), with_ids=False)
+    return best_fit_packing(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), with_ids=False)
 
 
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
