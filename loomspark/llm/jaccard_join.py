@@ -187,14 +187,17 @@ def _candidates(reps: DataFrame, threshold: float, tolerance: float) -> DataFram
     def pruned(x: DataFrame) -> DataFrame:
         return x.select("key", "d", "sketch").sortWithinPartitions("key", "d").mapInArrow(lambda it: _prune(it, threshold, tolerance), "a long, b long")
 
-    usual = pruned(joined.filter(F.col("n") <= BUCKET))
+    # by a hash of the key, not the key itself: a repartition that equals the join's own is dropped from the plan, and the join may
+    # be carried out without a shuffle
+    n = partitions(reps.sparkSession)
+    usual = pruned(joined.filter(F.col("n") <= BUCKET).select("key", "d", "sketch").repartition(n, F.xxhash64("key")))
     hot = counts.filter(F.col("n") > BUCKET)
     blocks = F.ceil(F.col("n") / (BUCKET // 2)).cast("int")
     own = F.pmod(F.xxhash64("d"), F.col("blocks")).cast("int")
     dealt = rows.join(hot.withColumn("blocks", blocks), "key").withColumn("own", own)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumn("key", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
-    return usual.unionByName(pruned(dealt.repartition(partitions(reps.sparkSession), "key")))
+    return usual.unionByName(pruned(dealt.repartition(n, "key")))
 
 
 VERIFIED = "d long, links long, a long, b long"

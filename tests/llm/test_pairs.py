@@ -57,6 +57,26 @@ def test_jaccard(spark, monkeypatch, small):
     assert got == {i: (len(links[i]), component[i], component[i] == i) for i in sets}
 
 
+def test_jaccard_buckets_meet_across_files(spark, monkeypatch, tmp_path):
+    """Near-duplicates in different files, each read by a task of its own, where the counts of buckets are broadcast and the rows are not."""
+    r = random.Random(12)
+    data = []
+    for i in range(200):
+        words = [f"w{r.randrange(5000)}" for _ in range(120)]
+        data += [(i, " ".join(words), None, None), (1000 + i, " ".join([*words, f"x{i}"]), None, None)]
+    path = str(tmp_path / "reps")
+    for part in (data[::2], data[1::2]):
+        docs = frame(spark, part).coalesce(1).selectExpr("doc_id d", "text")
+        docs.mapInArrow(lambda it: jaccard_join._signatures(it, 5), "d long, set_a long, set_b long, n int, bands array<long>, sketch binary").write.mode("append").parquet(path)
+    reps = spark.read.parquet(path)
+    assert reps.select(F.spark_partition_id()).distinct().count() == 2
+    join = type(reps).join
+    monkeypatch.setattr(type(reps), "join", lambda self, other, *on: join(self, F.broadcast(other), *on))
+    edges = {(min(e), max(e)) for e in jaccard_join._candidates(reps, 0.8, 1e-6).collect()}
+    sets = {i: grams(t) for i, t, *_ in data}
+    assert edges >= {(i, j) for i in sets for j in sets if i < j and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])} >= {(i, 1000 + i) for i in range(200)}
+
+
 def test_jaccard_edges(spark):
     assert jaccard_join.jaccard_join(spark.createDataFrame([], SCHEMA)).count() == 0
     twice = jaccard_join.jaccard_join(frame(spark, [rows()[0]] * 2)).collect()
