@@ -7,7 +7,8 @@ one anchor is a *segment*. Steps:
 1. Each document lists its anchors' fingerprints; exact copies of a document count once (the one with the smallest id).
 2. Fingerprints that occur twice or more are candidates. All other windows are unique and never move.
 3. Segments of candidate anchors are dealt over partitions by splitters sampled from the anchors. An anchor with very many
-   segments is cut by the place of the anchor within the window: windows can only match at the same place, so nothing is lost.
+   segments is cut by the place of the anchor within the window (windows can only match at the same place) and dealt by the
+   content that all windows of a cell share, so nothing is lost; of its equal segments a task sends one, the others are decided.
 4. A partition sorts the segments' suffixes (from the anchor on) and reversed prefixes by multikey sort; the common lengths of
    neighbours give, for every place of the anchor, which windows are equal. No hash decides equality of bytes.
 5. Spans go back to their documents.
@@ -32,6 +33,8 @@ WHOLE = 1 << 62
 HOT = 50_000
 #: Segments that a task sorts at once.
 SORTED = 40_000
+#: Different segments of hot anchors that a task remembers.
+SEEN = 50_000
 _IDS = "d", "th"
 #: Places the cells of a hot anchor far from each other (wraps around 2**64).
 _CELL = np.int64(0x1E3779B97F4A7C15)
@@ -110,6 +113,7 @@ def _cut(spec: Repeats, splitters: list[int], batches: Iterator[pa.RecordBatch])
     """Segments of the candidate anchors. Rows without body are spans already decided, repeats within one document: the last
     ``most`` tokens before ``anchor``."""
     edges = np.array(splitters, np.int64)
+    seen: dict[tuple, tuple] = {}
     for batch in batches:
         data, offsets = X.flat(batch.column("text"))
         hits = batch.column("hits")
@@ -142,11 +146,16 @@ def _cut(spec: Repeats, splitters: list[int], batches: Iterator[pa.RecordBatch])
             n = most // width - least // width + 1
             i = np.repeat(np.arange(len(row)), n)
             cell = X.ranges(least // width, n)
-            row, anchor, g, width = row[i], anchor[i], g[i], width[i]
+            row, anchor, g, width, hot = row[i], anchor[i], g[i], width[i], cells[i] > 1
             least, most = np.maximum(least[i], cell * width), np.minimum(most[i], cell * width + width - 1)
             begin, stop = first[row] + anchor - most, first[row] + anchor - least + spec.length
             roll = X.Rolling(values, spec.unit == "bytes")
             same = roll.spans(begin, stop)
+            # a hot anchor is parted by cell and by the tokens that all windows of the cell hold
+            from_, to_ = cell * width, np.minimum(cell * width + width, spec.places) - 1
+            core = roll.spans(first[row] + anchor - from_, first[row] + anchor - to_ + spec.length)
+            parted = X.mix(core + (g + cell * _CELL).view(np.uint64))
+            g = np.where(hot, parted.view(np.int64), g)
             # repeats within the document: all but the first segment are decided here (the first too, unless it may stay)
             order = np.lexsort((begin, least, same, g, row))
             a = [x[order] for x in (row, g, same, least, most)]
@@ -155,8 +164,13 @@ def _cut(spec: Repeats, splitters: list[int], batches: Iterator[pa.RecordBatch])
             if not spec.first:
                 often = often | np.r_[~new[1:], False]
             sent, known_span = order[new], order[often]
-            where = np.searchsorted(edges, g + cell * _CELL, "right").astype(np.int32)
+            where = np.where(hot, parted % np.uint64(len(edges) + 1), np.searchsorted(edges, g, "right")).astype(np.int32)
             ids_d, ids_th = d[lo:hi][row], th[lo:hi][row]
+            again, told = _equal_ones(spec, seen, sent[hot[sent]], values, begin, stop, g, ids_d, ids_th, anchor, least, most)
+            if len(again):
+                sent = sent[~np.isin(sent, again)]
+            if len(told):
+                yield _told(spec, told, len(edges) + 1)
             if spec.unit == "bytes":
                 from_, to_ = begin, stop
             else:
@@ -182,6 +196,34 @@ def _cut(spec: Repeats, splitters: list[int], batches: Iterator[pa.RecordBatch])
                 yield _segment_batch(deal, np.zeros(len(i), np.int64), d[lo:hi][i], th[lo:hi][i], b - first[i], np.zeros(len(i), np.int64), b - a, pa.nulls(len(i), pa.binary()))
 
 
+def _equal_ones(spec: Repeats, seen: dict, rows: np.ndarray, values, begin, stop, g, d, th, anchor, least, most) -> tuple[np.ndarray, np.ndarray]:
+    """Which segments need not go, because an equal one has gone, and the decided ones among all (d, th, anchor, least, most)."""
+    again, told = [], []
+    for j in rows.tolist():
+        key = (int(g[j]), int(least[j]), int(most[j]), values[begin[j] : stop[j]].tobytes())
+        me = (int(d[j]), int(th[j]), int(anchor[j]))
+        one = seen.get(key)
+        if one is None or (spec.first and me < one):
+            if len(seen) >= SEEN:
+                seen.clear()
+            seen[key] = me
+            continue
+        again.append(j)
+        if one != me:  # a row that is there twice is one document
+            told.append((*me, key[1], key[2]))
+            if not spec.first:
+                told.append((*one, key[1], key[2]))
+    return np.array(again, np.int64), np.array(sorted(set(told)), np.int64).reshape(-1, 5)
+
+
+def _told(spec: Repeats, told: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Decided segments as rows without body, dealt evenly."""
+    d, th, anchor, least, most = told.T
+    end = anchor - least + spec.length
+    deal = (X.mix(d.astype(np.int64).view(np.uint64) + end.astype(np.uint64)) % np.uint64(parts)).astype(np.int32)
+    return _segment_batch(deal, np.zeros(len(d), np.int64), d, th, end, np.zeros(len(d), np.int64), end - (anchor - most), pa.nulls(len(d), pa.binary()))
+
+
 def _segment_batch(part, g, d, th, anchor, least, most, bodies) -> pa.RecordBatch:
     columns = [pa.array(part), pa.array(g), pa.array(d), pa.array(th), pa.array(anchor), pa.array(least.astype(np.int32)), pa.array(most.astype(np.int32)), bodies]
     return pa.RecordBatch.from_arrays(columns, ["part", "g", "d", "th", "anchor", "least", "most", "body"])
@@ -275,6 +317,49 @@ def equal_windows(spec: Repeats, g, least, most, after: np.ndarray, before: np.n
     return marked
 
 
+def _compact(spec: Repeats, t: pa.Table) -> tuple[pa.Table, tuple]:
+    """Segments of one anchor, of equal ones only the first, and the spans so decided."""
+    code = t["body"].combine_chunks().dictionary_encode().indices.to_numpy()
+    d, th, anchor, least, most = (t[c].to_numpy().astype(np.int64) for c in ("d", "th", "anchor", "least", "most"))
+    order = np.lexsort((anchor, th, d, code, most, least))
+    a = [x[order] for x in (least, most, code)]
+    new = np.r_[True, np.any([x[1:] != x[:-1] for x in a], 0)]
+    head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    other = (d[order] != d[head]) | (th[order] != th[head]) | (anchor[order] != anchor[head])
+    done = order[other] if spec.first else np.unique(np.r_[order[other], head[other]])
+    return t.take(pa.array(order[new])), (d[done], th[done], anchor[done] - most[done], anchor[done] - least[done] + spec.length)
+
+
+def _match_by_place(spec: Repeats, d, th, anchor, least, most, bodies: pa.Array):
+    """As _match for very many segments of one anchor: place after place, so that a row costs little more than its body."""
+    order = np.lexsort((least, anchor, th, d))
+    a = [x[order] for x in (d, th, anchor, least)]
+    order = order[np.r_[True, np.any([x[1:] != x[:-1] for x in a], 0)]]
+    d, th, anchor, least, most = (x[order].astype(np.int64) for x in (d, th, anchor, least, most))
+    data, offsets = X.flat(bodies.take(pa.array(order)))
+    for place in range(int(least.min()), int(most.max()) + 1):
+        rows = np.flatnonzero((least <= place) & (place <= most))
+        prints = np.zeros(len(least), np.uint64)
+        windows = np.zeros((len(rows), spec.length), np.uint8 if spec.unit == "bytes" else np.uint64)
+        for lo, hi in X.slices(offsets):
+            values, first, _, _ = _tokens(spec, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+            p, q = np.searchsorted(rows, [lo, hi])
+            if p == q:
+                continue
+            at = first[rows[p:q] - lo] + most[rows[p:q]] - place
+            prints[rows[p:q]] = X.Rolling(values, spec.unit == "bytes").spans(at, at + spec.length)
+            windows[p:q] = _matrix(values, at, np.full(q - p, spec.length), spec.length, 1)
+        by = np.argsort(prints[rows], kind="stable")
+        key = prints[rows][by]
+        head = by[np.maximum.accumulate(np.where(np.r_[True, key[1:] != key[:-1]], np.arange(len(by)), 0))]
+        equal = head != by
+        for k in range(0, len(by), 8192):
+            equal[k : k + 8192] &= (windows[by[k : k + 8192]] == windows[head[k : k + 8192]]).all(1)
+        hit = by[equal] if spec.first else np.unique(np.r_[by[equal], head[equal]])
+        hit = rows[hit]
+        yield d[hit], th[hit], anchor[hit] - place, anchor[hit] - place + spec.length
+
+
 def _match(spec: Repeats, g, d, th, anchor, least, most, bodies: pa.Array):
     """Spans (document, from, to) of the repeated windows of some anchors' segments."""
     order = np.lexsort((least, anchor, th, d))
@@ -322,16 +407,22 @@ def _spans(spec: Repeats, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
 
     held: list[pa.RecordBatch] = []
-    count = 0
+    count, limit = 0, SORTED
 
     def flush(upto: int | None):
-        nonlocal held, count
+        nonlocal held, count, limit
+        limit = SORTED
         t = pa.Table.from_batches(held).combine_chunks()
         rows = len(t) if upto is None else upto
         held, count = ([] if rows == len(t) else t.slice(rows).to_batches()), len(t) - rows
         t = t.slice(0, rows)
         if rows:
             c = {k: t[k].to_numpy() for k in ("g", "d", "th", "anchor", "least", "most")}
+            if rows > 2 * SORTED and c["g"][0] == c["g"][-1]:
+                del c["g"]
+                for found in _match_by_place(spec, *c.values(), t["body"].combine_chunks()):
+                    yield out(*found)
+                return
             yield out(*_match(spec, *c.values(), t["body"].combine_chunks()))
 
     for batch in batches:
@@ -344,11 +435,17 @@ def _spans(spec: Repeats, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
             continue
         held.append(batch)
         count += len(batch)
-        if count >= SORTED:
+        if count >= limit:
             g = np.concatenate([b.column("g").to_numpy() for b in held])
             last = int(np.searchsorted(g, g[-1]))  # the last anchor may go on in the next batch
             if last:
                 yield from flush(last)
+            else:
+                t, found = _compact(spec, pa.Table.from_batches(held))
+                held, count = t.combine_chunks().to_batches(), len(t)
+                limit = max(SORTED, 2 * count)
+                if len(found[0]):
+                    yield out(*found)
     if held:
         yield from flush(None)
 

@@ -85,3 +85,35 @@ def test_windows_that_meet_only_beyond_one_anchor(spark):
     data = [(0, text, None, None)] + [(1 + i, "!" * i + text[37 * i : 37 * i + 195 + i % 12] + "?", None, None) for i in range(40)]
     got = suffix_dedup(spark.createDataFrame(data, SCHEMA), with_text=False).collect()
     assert order(got) == order(by_bytes(data))
+
+
+@pytest.mark.parametrize("unit", ["bytes", "words"])
+@pytest.mark.parametrize("sort", [40_000, 20])
+def test_hot_anchor_is_bounded(monkeypatch, unit, sort):
+    """Many documents share a passage and differ around it: no key of the shuffle holds all of them."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(repeats, "SORTED", sort)
+    spec = repeats.Repeats("bytes", 200, 40, first=False) if unit == "bytes" else repeats.Repeats("words", 20, 5, first=True)
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    passage = " ".join(word() for _ in range(60))
+    data = [(i, f"{' '.join(word() for _ in range(40))} {passage} {' '.join(word() for _ in range(40))}", None, None) for i in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array([x[0] for x in data]), pa.array([0] * len(data)), pa.array([x[1] for x in data]), pa.array([""] * len(data))], ["d", "th", "text", "copy_of"])
+    grams = [x["g"] for b in repeats._anchors(spec, iter([batch])) for x in b.to_pylist()]
+    often = collections.Counter(g for x in grams for g in set(x))
+    hits = pa.array([[{"g": g, "n": 4} for g in set(x) if often[g] > 1] for x in grams], pa.list_(pa.struct([("g", pa.int64()), ("n", pa.int32())])))
+    cut = pa.Table.from_batches(repeats._cut(spec, [0], iter([batch.append_column("hits", hits)])))
+    keys = collections.Counter(cut.filter(cut["body"].is_valid())["g"].to_pylist())
+    found = {i: [] for i, *_ in data}
+    for b in repeats._spans(spec, iter(cut.sort_by("g").to_batches(max_chunksize=50))):
+        for x in b.to_pylist():
+            found[x["d"]].append((x["s"], x["e"]))
+    want = {x[0]: x[2] for x in (by_bytes(data) if unit == "bytes" else by_words(data))}
+    size = {i: len(t) if unit == "bytes" else len(t.split()) for i, t, *_ in data}
+    assert {i: sum(int(b - a) for a, b in repeats.merged(np.array(x), size[i])) if x else 0 for i, x in found.items()} == want
+    assert sum(n >= len(data) for n in keys.values()) <= 2  # a cell at each end of the passage, where segments differ
+    assert sum(keys.values()) < len(often) * len(data)
