@@ -8,6 +8,8 @@ counts and a spanning forest, never all pairs.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,6 +24,8 @@ THRESHOLD = 0.95
 #: Shards at least, vectors of a shard and queries of a block at most (about).
 SHARDS, SHARD_ROWS, BLOCK_ROWS = 8, 500_000, 200_000
 BEAM = 32
+#: Places in the beams of the queries handled at once, and the beam at which the whole shard is compared instead.
+FOUND, WIDE = 4096 * BEAM, 512
 #: Queries of a block that are audited, and the share of their links that must be found.
 AUDIT, RECALL = 48, 0.99
 _NULL = -(1 << 63)
@@ -81,16 +85,16 @@ def _load(table: pa.Table) -> tuple[hnsw.Graph, np.ndarray, np.ndarray, np.ndarr
     return hnsw.Graph(v.astype(np.float32), [len(x) for x in found], found), v, table["node"].to_numpy(), table["members"].to_numpy()
 
 
-def _links(graph: hnsw.Graph, v: np.ndarray, q: np.ndarray, threshold: float, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(query, row) of all found pairs at or over the threshold."""
-    rows, cols = [], []
+def _links(graph: hnsw.Graph, v: np.ndarray, q: np.ndarray, threshold: float, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(query, row) of all found pairs at or over the threshold, in pieces of at most about a million."""
     todo = np.arange(len(q))
     low = np.float32(threshold - 1e-4)
     q32 = q.astype(np.float32)
-    while len(todo):
+    while len(todo) and width < min(WIDE, len(v)):
         again = []
-        for at in range(0, len(todo), 4096):
-            some = todo[at : at + 4096]
+        step = max(1, FOUND // width)
+        for at in range(0, len(todo), step):
+            some = todo[at : at + step]
             ids, sims = graph.search(q32[some], width)
             full = (sims[:, -1] >= low) & (ids.shape[1] < len(v))
             again.append(some[full])
@@ -98,10 +102,13 @@ def _links(graph: hnsw.Graph, v: np.ndarray, q: np.ndarray, threshold: float, wi
             r, c = np.nonzero(hit)
             r, c = some[r], ids[r, c]
             exact = np.einsum("kd,kd->k", q[r], v[c]) >= threshold
-            rows.append(r[exact])
-            cols.append(c[exact])
+            yield r[exact], c[exact]
         todo, width = np.concatenate(again), width * 4
-    return np.concatenate(rows or [np.zeros(0, np.int64)]), np.concatenate(cols or [np.zeros(0, np.int64)])
+    for at in range(0, len(todo), 256):  # the queries of large groups are compared with the whole shard
+        some = todo[at : at + 256]
+        for k in range(0, len(v), 4096):
+            r, c = np.nonzero(q[some] @ v[k : k + 4096].T >= threshold)
+            yield some[r], c + k
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,17 +141,32 @@ def _ask(key: tuple, shard: pa.Table, queries: pa.Table, threshold: float, width
     true = q[audited] @ v.T >= threshold
     true &= asking[audited][:, None] != node[None, :]
     while True:
-        r, c = _links(graph, v, q[audited], threshold, width)
         found = np.zeros_like(true)
-        found[r, c] = True
+        for r, c in _links(graph, v, q[audited], threshold, width):
+            found[r, c] = True
         if (found & true).sum() >= RECALL * true.sum() or width >= len(v):
             break
         width *= 2
-    r, c = _links(graph, v, q, threshold, width)
-    other = asking[r] != node[c]
-    r, c = r[other], c[other]
-    count = np.bincount(r, members[c], len(asking)).astype(np.int64)
-    a, b = _forest(asking[r], node[c])
+    count = np.zeros(len(asking), np.int64)
+    names = np.unique(np.r_[asking, node])
+    from_, to_, group = np.searchsorted(names, asking), np.searchsorted(names, node), np.arange(len(names))
+    edges = [np.zeros((0, 2), np.int64)]
+    for r, c in _links(graph, v, q, threshold, width):
+        other = asking[r] != node[c]
+        r, c = r[other], c[other]
+        count += np.bincount(r, members[c], len(asking)).astype(np.int64)
+        x, y = group[from_[r]], group[to_[c]]
+        new = np.unique(np.minimum(x, y)[x != y] * len(names) + np.maximum(x, y)[x != y])
+        if len(new):  # groups that this piece joins
+            x, y = _forest(new // len(names), new % len(names))
+            edges.append(np.column_stack([names[x], names[y]]))
+            least = np.arange(len(names))
+            while (least[x] != least[y]).any():
+                low = np.minimum(least[x], least[y])
+                np.minimum.at(least, x, low)
+                np.minimum.at(least, y, low)
+            group = least[group]
+    a, b = np.concatenate(edges).T
     return pa.table(
         {
             "node": pa.array([*asking.tolist(), *[None] * len(a)], pa.int64()), "links": pa.array([*count.tolist(), *[None] * len(a)], pa.int64()),

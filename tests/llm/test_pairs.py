@@ -234,3 +234,28 @@ def test_stages_take_odd_documents(spark, sf):
     for _, f in corpus_pipeline.STAGES:
         assert f(spark, docs, sf).count() > 0
         assert f(spark, docs.limit(0), sf).count() == 0
+
+
+def test_large_groups_are_linked_in_bounded_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    r = np.random.default_rng(8)
+    v = r.normal(size=32) + 0.02 * r.normal(size=(1200, 32))
+    table = pa.table({"node": pa.array(range(1200), pa.int64()), "members": pa.array([1] * 1200, pa.int64()), "embedding": pa.array(v.tolist())})
+    key = (pa.scalar(32), pa.scalar(0))
+    shard = embedding_dedup._build(key, table)
+    tracemalloc.start()
+    got = embedding_dedup._ask(key, shard, table, 0.95, 32).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all(x["links"] == 1199 for x in got if x["node"] is not None)
+    edges = [(x["a"], x["b"]) for x in got if x["a"] is not None]
+    links = collections.defaultdict(set)
+    for a, b in edges:
+        links[a].add(b)
+        links[b].add(a)
+    assert len(edges) == 1199 and set(flood(range(1200), links).values()) == {0}
+    print("PEAK", peak)
+    assert peak < 150 << 20
