@@ -6,7 +6,9 @@ words that occur in some template are streamed through it, since any other word
 
 from __future__ import annotations
 
+import bisect
 import dataclasses
+import functools
 import re
 from collections.abc import Iterator, Sequence
 
@@ -57,6 +59,18 @@ class Automaton:
             for k, at in self.ends[state].items():
                 up[k] = min(at, up.get(k, at))
 
+    def places(self, sequences: Sequence[Sequence[int]], least: int) -> dict[int, dict[int, list[int]]]:
+        """For each state of at least ``least`` words and each sequence, every place where the state's words end."""
+        out: dict[int, dict[int, list[int]]] = {}
+        for k, sequence in enumerate(sequences):
+            state = 0
+            for at, token in enumerate(sequence):
+                state = up = self.next[state][token]
+                while up > 0 and self.length[up] >= least:
+                    out.setdefault(up, {}).setdefault(k, []).append(at)
+                    up = self.link[up]
+        return out
+
     def _extend(self, last: int, token: int) -> int:
         if token in self.next[last]:
             to = self.next[last][token]
@@ -124,7 +138,9 @@ class Scanner:
         number = {w: i for i, w in enumerate(self.vocabulary)}
         self.sequences = [[number[w] for w in s] for s in sequences]
         self.phrases = {label: [number[w] for w in s] for label, s in phrases.items()}
+        self.least = min([self.seed, *map(len, self.sequences)])
         self.automaton = Automaton(self.sequences)
+        self.places = self.automaton.places(self.sequences, self.least)
         blob = np.frombuffer(" ".join(self.vocabulary).encode() + b" ", np.uint8)
         prints = X.words_of(blob, np.array([0, len(blob)]))[0]
         self.order = np.argsort(prints)
@@ -136,28 +152,62 @@ class Scanner:
         return np.where(self.prints[at] == prints, self.order[at], -1)
 
     def spans(self, tokens: Sequence[int]) -> list[tuple[int, int, int, float]]:
-        """(template, first word, end, share covered) in a run of known words' numbers, -1 between such runs."""
-        hits: dict[int, list[tuple[int, int, int]]] = {}
+        """(template, first word, end, share covered) in a run of known words' numbers, -1 between such runs.
+
+        A span within a span of which more words agree is left out: a notice that is part of a whole licence, a licence that is
+        another one less a paragraph.
+        """
+        hits: dict[int, list[tuple[int, int, list[int]]]] = {}
         for end, length, state in self.automaton.matches(tokens):
-            for k, at in self.automaton.ends[state].items():
+            if length < self.least:
+                continue
+            for k, at in self.places[state].items():
                 if length >= min(self.seed, len(self.sequences[k])):
-                    hits.setdefault(k, []).append((end - length, end, at + 1))
-        out = []
-        for k, found in hits.items():
-            chain: list[tuple[int, int, int]] = []
-            for hit in [*found, (1 << 60, 0, 0)]:
-                if chain and (hit[0] - chain[-1][1] > self.gap or hit[2] <= chain[-1][2]):  # too far, or the template starts anew
-                    out.append((k, chain))
-                    chain = []
-                chain.append(hit)
+                    hits.setdefault(k, []).append((end - length, end, at))
         spans = []
-        for k, chain in out:
-            covered = np.zeros(len(self.sequences[k]), bool)
-            for a, b, to in chain:
-                covered[to - (b - a) : to] = True
-            if covered.mean() >= self.cover:
-                spans.append((k, chain[0][0], chain[-1][1], float(covered.mean())))
-        return spans
+        for k, found in hits.items():
+            for chain in self._chains(found, len(self.sequences[k])):
+                covered = np.zeros(len(self.sequences[k]), bool)
+                for a, b, to in chain:
+                    covered[to - (b - a) : to] = True
+                if covered.mean() >= self.cover:
+                    spans.append((k, chain[0][0], chain[-1][1], float(covered.mean()), int(covered.sum())))
+        spans.sort(key=lambda x: (-x[4], -x[3], x[0]))
+        kept: list[tuple] = []
+        for x in spans:
+            if not any(y[1] <= x[1] and x[2] <= y[2] for y in kept):
+                kept.append(x)
+        return sorted(x[:4] for x in kept)
+
+    def _chains(self, found: list[tuple[int, int, list[int]]], size: int) -> Iterator[list[tuple[int, int, int]]]:
+        """Matches near each other that follow the template's order, as (first word, end, end in the template).
+
+        Of several places in the template a match takes the one nearest to where the chain would go on. A match that only points
+        back begins a new chain; a short one that does is a phrase of a long template, and is passed over.
+        """
+        chain: list[tuple[int, int, int]] = []
+        for start, end, places in found:
+            far = bool(chain) and start - chain[-1][1] > self.gap
+            ahead = places[bisect.bisect_left(places, chain[-1][2]) :] if chain and not far else []
+            if chain and not far and not ahead and end - start < 2 * self.seed < size // 2:
+                continue
+            if chain and not ahead:
+                yield chain
+                chain = []
+            if ahead:
+                there = chain[-1][2] + end - chain[-1][1] - 1
+                near = bisect.bisect_left(ahead, there)
+                at = min(ahead[max(0, near - 1) : near + 1], key=lambda x: abs(x - there))
+            else:
+                at = places[0]
+            chain.append((start, end, at + 1))
+        if chain:
+            yield chain
+
+
+@functools.lru_cache(maxsize=1)
+def standard() -> Scanner:
+    return Scanner(TEMPLATES, BASE)
 
 
 _SPAN = pa.struct([("label", pa.string()), ("first", pa.int64()), ("last", pa.int64()), ("covered", pa.float64())])
@@ -182,21 +232,19 @@ def _scan(batches: Iterator[pa.RecordBatch], scanner: Scanner) -> Iterator[pa.Re
                     i, w = row[p], p - first[row[p]]
                     n[i] += 1
                     low[i] = w if low[i] < 0 else min(low[i], w)
-                    high[i] = max(high[i], w + len(phrase) - 1)
+                    high[i] = max(high[i], w)
                     base[i].add(label)
                     score[i] = 1
-            # runs of at least two words of the vocabulary; runs of one text within the gap are streamed together
+            # runs of words of the vocabulary that can hold a match; runs of one text within the gap are streamed together
             known = np.r_[False, token >= 0, False]
             edge = np.r_[True, row[1:] != row[:-1], True] if len(row) else np.zeros(1, bool)
             start = np.flatnonzero(known[1:-1] & (~known[:-2] | edge[:-1]))
             stop = np.flatnonzero(known[1:-1] & (~known[2:] | edge[1:])) + 1
-            keep = stop - start >= 2
+            keep = stop - start >= scanner.least
             start, stop = start[keep], stop[keep]
             far = np.r_[True, (start[1:] - stop[:-1] > scanner.gap) | (row[start[1:]] != row[start[:-1]])] if len(start) else np.zeros(0, bool)
             group = np.flatnonzero(far)
             for a, b in zip(start[group], np.r_[stop[group[1:] - 1], stop[-1:]] if len(group) else [], strict=True):
-                if b - a < 3:
-                    continue
                 i = row[a]
                 for k, s, e, share in scanner.spans(token[a:b].tolist()):
                     label = scanner.templates[k][0]
@@ -221,10 +269,12 @@ def license_scan(docs: DataFrame, scanner: Scanner | None = None) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans.
 
     Base phrases are found as they stand; labels adds those of templates of which a span covers enough; spans lists these, in
-    words from 0; score is the largest share covered, 1 with a base phrase. Null text has no words; texts without a find have
-    empty labels, null places and score 0. Rows are judged alone, so repeated rows and null ids change nothing. Empty gives empty.
+    words from 0; score is the largest share covered, 1 with a base phrase. first_word and last_word are where the first and the last
+    base phrase start. Null text has no words; texts without a find have empty labels, null places and score 0. Rows are judged
+    alone on their whole text, however long, so repeated rows, ties and null ids change nothing. Only doc_id and text are read; other
+    columns, whatever their names, do not come along. Empty gives empty.
     """
-    scanner = scanner or Scanner(TEMPLATES, BASE)
+    scanner = scanner or standard()
     shared = docs.sparkSession.sparkContext.broadcast(scanner)
     schema = f"doc_id {dict(docs.dtypes)['doc_id']}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans array<struct<label:string,first:long,last:long,covered:double>>"
     return docs.select("doc_id", "text").mapInArrow(lambda it: _scan(it, shared.value), schema)

@@ -1,21 +1,44 @@
-"""Short licence texts and notices to look for. The wording is that of the public texts."""
+"""Licence texts and notices to look for: whole texts from the folder ``licences`` and the short ones below. The wording
+is that of the public texts."""
+
+from importlib import resources
 
 #: Label of the base phrases, and the phrases.
 BASE = {"mit": "mit license", "apache": "apache license", "gpl": "general public license"}
 
-#: Label and wording of templates; a label may have several.
-TEMPLATES = [
-    (
-        "mit-text",
-        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
-        documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights
-        to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to
-        whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this
-        permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS
-        IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
-        FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.""",
-    ),
-    ("mit-notice", "Released under the MIT License."),
+#: Label and file of whole licences.
+FILES = {
+    "apache-2.0": "Apache-2.0", "artistic-1.0": "Artistic", "bsd-3-clause": "BSD", "cc0-1.0": "CC0-1.0", "gfdl-1.3": "GFDL-1.3", "gpl-1.0": "GPL-1", "gpl-2.0": "GPL-2", "gpl-3.0": "GPL-3",
+    "lgpl-2.0": "LGPL-2", "lgpl-2.1": "LGPL-2.1", "lgpl-3.0": "LGPL-3", "mpl-1.1": "MPL-1.1", "mpl-2.0": "MPL-2.0",
+}
+
+_MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge,
+publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"""
+_MIT_END = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES
+OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+_MIT_LIABLE = """IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF
+CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_ISC_GRANT = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+_ISC_END = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL
+DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER
+TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+_BSD_TWO = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer
+in the documentation and/or other materials provided with the distribution."""
+_BSD_END = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING,
+BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE
+COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING,
+BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED
+AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT
+OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+#: Label and wording of short licences and of the notices that longer ones ask for; a label may have several.
+SHORT = [
+    ("mit-text", f"{_MIT_GRANT}, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. {_MIT_END}"),
+    ("mit-text", f"{_MIT_GRANT}, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. {_MIT_END} {_MIT_LIABLE}"),
     (
         "apache-2.0",
         """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
@@ -24,24 +47,90 @@ TEMPLATES = [
         OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and
         limitations under the License.""",
     ),
-    ("apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("mit-0", f"{_MIT_GRANT}. {_MIT_END} {_MIT_LIABLE}"),
     (
         "gpl-3.0",
         """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
         License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
         version.""",
     ),
-    ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3."),
     (
-        "bsd-2-clause",
-        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
-        following conditions are met: Redistributions of source code must retain the above copyright notice, this list of
-        conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this
-        list of conditions and the following disclaimer in the documentation and/or other materials provided with the
-        distribution.""",
+        "gpl-2.0",
+        """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public
+        License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later
+        version.""",
+    ),
+    ("bsd-2-clause", _BSD_TWO),
+    ("bsd-2-clause", f"{_BSD_TWO} {_BSD_END}"),
+    (
+        "bsd-3-clause",
+        f"""{_BSD_TWO} Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+        products derived from this software without specific prior written permission. {_BSD_END}""",
+    ),
+    ("isc", f"{_ISC_GRANT}, provided that the above copyright notice and this permission notice appear in all copies. {_ISC_END}"),
+    ("0bsd", f"{_ISC_GRANT}. {_ISC_END}"),
+    (
+        "lgpl-2.1",
+        """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public
+        License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later
+        version.""",
+    ),
+    (
+        "agpl-3.0",
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public
+        License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
+        version.""",
+    ),
+    (
+        "mpl-2.0",
+        """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed
+        with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+    ),
+    (
+        "zlib",
+        """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any
+        damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including
+        commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this
+        software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product,
+        an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly
+        marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any
+        source distribution.""",
+    ),
+    (
+        "bsl-1.0",
+        """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying
+        documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software,
+        and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject
+        to the following: The copyright notices in the Software and this entire statement, including the above license grant, this
+        restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative
+        works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by
+        a source language processor. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+        LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE
+        COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR
+        OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    ),
+    (
+        "unlicense",
+        """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile,
+        sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or
+        non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate
+        any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large
+        and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of
+        all present and future rights to this software under copyright law.""",
+    ),
+    (
+        "wtfpl",
+        """Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as
+        long as the name is changed. DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE TERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND
+        MODIFICATION 0. You just DO WHAT THE FUCK YOU WANT TO.""",
+    ),
+    (
+        "postgresql",
+        """Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a
+        written agreement is hereby granted, provided that the above copyright notice and this paragraph and the following two paragraphs
+        appear in all copies.""",
     ),
-    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0."),
-    ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("all-rights-reserved", "All rights reserved."),
 ]
+
+#: All of them, label and wording, the short ones first.
+TEMPLATES = SHORT + [(label, resources.files(__package__).joinpath("licences", f"{name}.txt").read_text(encoding="utf-8")) for label, name in FILES.items()]
