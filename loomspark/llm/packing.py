@@ -24,6 +24,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from loomspark.llm.common import materialize, partitions
 
@@ -42,15 +43,28 @@ def _byte_of() -> dict[str, int]:
 def encoder(path: str) -> tiktoken.Encoding:
     """The tokenizer of a byte-level BPE file, in a library that gives the same ids several times faster."""
     model = json.load(open(path, encoding="utf-8"))
-    special = {x["content"] for x in model.get("added_tokens", [])}
+    special = {x["content"]: x["id"] for x in model.get("added_tokens", [])}
     byte = _byte_of()
     ranks = {bytes(byte[c] for c in word): i for word, i in model["model"]["vocab"].items() if word not in special}
-    return tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+
+@functools.lru_cache(maxsize=2)
+def _plain(path: str) -> Tokenizer:
+    return Tokenizer.from_file(path)
 
 
 def ids_of(text: str, path: str) -> np.ndarray:
-    """Token ids, names of special tokens read as ordinary text, with the end id behind them."""
-    return np.append(encoder(path).encode_to_numpy(text, disallowed_special=()).astype("<u4"), np.array([END], "<u4"))
+    """Token ids as ``tokenizers`` gives them with add_special_tokens=False, with the end id behind them.
+
+    Names of special tokens that stand in a text are those tokens. A text with a run of white space on which the fast library's
+    pattern gives up goes to the other one.
+    """
+    try:
+        ids = encoder(path).encode_to_numpy(text, allowed_special="all")
+    except ValueError:
+        ids = np.array(_plain(path).encode(text, add_special_tokens=False).ids)
+    return np.append(ids.astype("<u4"), np.array([END], "<u4"))
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
@@ -128,9 +142,9 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 
 def _place(batches: Iterator[pa.RecordBatch], keys: np.ndarray, runs: np.ndarray, top: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rank, length = batch.column("rank").to_numpy(), batch.column("length").to_numpy()
+        rank, length = batch.column("__pack_rank").to_numpy(), batch.column("length").to_numpy()
         at = np.searchsorted(keys, length * top + rank, "right") - 1
-        made = {n: batch.column(n) for n in batch.schema.names if n != "rank"}
+        made = {n: batch.column(n) for n in batch.schema.names if n != "__pack_rank"}
         made |= {"sequence_id": pa.array(runs[at, 3] + rank - runs[at, 1]), "offset": pa.array(runs[at, 4])}
         yield pa.RecordBatch.from_arrays(list(made.values()), list(made))
 
@@ -139,18 +153,18 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """pieces (doc_id, piece, length <= capacity, any others) with sequence_id and offset, packed best-fit.
 
     Ties of length go by doc_id and piece. Rows that repeat are packed each; a null doc_id is a value like others. Columns named
-    sequence_id or offset are replaced. An empty table gives an empty one.
+    sequence_id or offset are replaced, and those whose names begin with __pack_. An empty table gives an empty one.
     """
     spark = pieces.sparkSession
-    pieces = pieces.drop("sequence_id", "offset", "rank", "__p", "__i")
+    pieces = pieces.drop("sequence_id", "offset", *[c for c in pieces.columns if c.startswith("__pack_")])
     n = partitions(spark)
     ranked = pieces.repartitionByRange(n, "length", "doc_id", "piece").sortWithinPartitions("length", "doc_id", "piece")
-    ranked = materialize(ranked.withColumns({"__p": F.spark_partition_id(), "__i": F.monotonically_increasing_id()}))
+    ranked = materialize(ranked.withColumns({"__pack_p": F.spark_partition_id(), "__pack_i": F.monotonically_increasing_id()}))
     # a length has one run of rows in each partition that it reaches, so this has at most partitions + capacity rows
-    runs = ranked.groupBy("__p", "length").agg(F.min("__i").alias("__first"), F.count("*").alias("n"))
-    runs = runs.withColumn("__before", F.sum("n").over(W.partitionBy("length").orderBy("__p").rowsBetween(W.unboundedPreceding, -1)))
-    where = ranked.join(F.broadcast(runs.select("__p", "length", "__first", "__before")), ["__p", "length"])
-    where = where.select(*pieces.columns, (F.col("__i") - F.col("__first") + F.coalesce("__before", F.lit(0))).alias("rank"))
+    runs = ranked.groupBy("__pack_p", "length").agg(F.min("__pack_i").alias("__pack_first"), F.count("*").alias("n"))
+    runs = runs.withColumn("__pack_before", F.sum("n").over(W.partitionBy("length").orderBy("__pack_p").rowsBetween(W.unboundedPreceding, -1)))
+    where = ranked.join(F.broadcast(runs.select("__pack_p", "length", "__pack_first", "__pack_before")), ["__pack_p", "length"])
+    where = where.select(*pieces.columns, (F.col("__pack_i") - F.col("__pack_first") + F.coalesce("__pack_before", F.lit(0))).alias("__pack_rank"))
     counts = {r["length"]: r["n"] for r in ranked.groupBy("length").agg(F.count("*").alias("n")).toLocalIterator()}
     plan = np.array(sorted(best_fit(counts, capacity)), np.int64).reshape(-1, 5)
     top = int(max(counts.values(), default=0)) + 1
@@ -162,7 +176,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def best_fit_packing(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
     """docs (doc_id, text) tokenised and packed: doc_id, piece, start, length, ids_crc32, ids (with_ids), sequence_id, offset.
 
-    Null and empty texts are one piece, the end id alone. Only documents of more than ``capacity`` tokens are cut.
+    Null and empty texts are one piece, the end id alone. Only documents of more than ``capacity`` tokens are cut. Texts are tokenised
+    whole, however long. Rows that repeat and ties are packed each. Only doc_id and text are read; other columns, whatever their names,
+    do not come along. An empty table gives an empty one.
     """
     path = path or public_tokenizers.path("byte_bpe_50k.json")
     return pack(materialize(tokenize(docs, path, capacity, with_ids)), capacity)  # range-sorting reads its input twice

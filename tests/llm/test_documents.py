@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from loomspark.llm import license_scan, mixing, packing, quality_rules
-from loomspark.llm.language_id import language_id
+from loomspark.llm.language_id import fit, language_id
 from loomspark.llm.license_texts import BASE, TEMPLATES
 from tests.llm.data import SCHEMA, WORD, frame, rows
 
@@ -84,6 +84,55 @@ def test_language_cases(spark):
     assert nothing[0].lang_pred == "und"
 
 
+def naive_bayes(learn, texts, bits=15, smoothing=0.5):
+    """Multinomial naive Bayes over the same hashed n-grams, one text after another in plain numbers."""
+
+    def buckets(text):
+        t = [(ord(c.lower()) if len(c.lower()) == 1 else ord(c)) if c.isalpha() else 32 for c in text]
+        for order in (1, 2, 3):
+            for i in range(len(t) - order + 1):
+                if any(c != 32 for c in t[i : i + order]):
+                    h = order
+                    for c in t[i : i + order]:
+                        h = (h ^ c) * 0x9E3779B1 & 0xFFFFFFFF
+                        h ^= h >> 15
+                    yield h >> (32 - bits)
+
+    langs = sorted({lang for _, lang in learn})
+    counts = {x: collections.Counter() for x in langs}
+    for t, lang in learn:
+        counts[lang].update(buckets(t))
+    docs = collections.Counter(lang for _, lang in learn)
+    total = {x: sum(counts[x].values()) + smoothing * ((1 << bits) + 1 - 1) for x in langs}
+    out = []
+    for t in texts:
+        if not t or not any(c.isalpha() for c in t):
+            out.append(("und", 0.0))
+            continue
+        b = list(buckets(t))
+        logs = {x: math.log(docs[x] / len(learn)) + sum(math.log((counts[x][k] + smoothing) / total[x]) for k in b) for x in langs}
+        best = max(langs, key=lambda x: logs[x])
+        out.append((best, 1 / sum(math.exp(min(0, logs[x] - logs[best])) for x in langs)))
+    return out
+
+
+def test_language_is_naive_bayes(spark):
+    data = [r for r in rows() if r[0] is not None] + [(300, "\U00030000\U00030001", "en", "a"), (301, "ab " * 20, "en", "a"), (302, "12", "en", "a"), (303, None, "fr", "a")]
+    held = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    want = naive_bayes([(t, lang) for i, t, lang, _ in data if t is not None and lang and not held(i)], [t for _, t, *_ in data])
+    docs = frame(spark, data).withColumns({"lang_pred": F.lit("xx"), "score": F.lit("s"), "held_out": F.lit(5)})
+    got = {(r.doc_id, r.lang_pred, round(r.score, 3)) for r in language_id(docs).collect()}
+    assert got == {(i, lang, round(p, 3)) for (i, *_), (lang, p) in zip(data, want)}
+    assert next(lang for i, lang, _ in got if i == 300) != "und"
+
+
+def test_language_learns_a_bounded_number_of_labels(spark):
+    data = [(i, f"text of kind {i % 7}", f"l{i % 7 if i < 60 else i}", None) for i in range(100)]
+    df = spark.createDataFrame(data, SCHEMA)
+    langs, model = fit(df, languages=7)
+    assert langs == [f"l{i}" for i in range(7)] and model.shape[1] == 7
+
+
 def test_licences(spark):
     extra = [
         (200, "MIT License mit-LICENSE. x general public\nlicense"),
@@ -100,11 +149,83 @@ def test_licences(spark):
         w = license_scan.words(t or "")
         at = [(k, p, p + len(x.split()) - 1) for k, x in BASE.items() for p in range(len(w)) if w[p : p + len(x.split())] == x.split()]
         r = by_text[i]
-        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == (len(w), len(at), min((p for _, p, _ in at), default=None), max((e for *_, e in at), default=None), ",".join(sorted({k for k, *_ in at})))
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == (len(w), len(at), min((p for _, p, _ in at), default=None), max((p for _, p, _ in at), default=None), ",".join(sorted({k for k, *_ in at})))
     assert by_text[201].labels == "mit-text" and by_text[203].labels == "" and by_text[202].labels == "apache,apache-2.0"
     assert [(s.first, s.covered) for s in by_text[204].spans] == [(0, 1.0), (98, 1.0)]
 
 
+def plain_spans(templates, text, seed, gap, cover):
+    """Labels and shares by looking every stretch of the text up in every template."""
+    w, found = license_scan.words(text), []
+    for k, (label, template) in enumerate(templates):
+        t = license_scan.words(template)
+        ends = lambda x: [i + len(x) for i in range(len(t) - len(x) + 1) if t[i : i + len(x)] == x]  # noqa: B023, E731
+        chains, now = [], []
+        for end in range(1, len(w) + 1):
+            inside = lambda x: any(license_scan.words(y)[i : i + len(x)] == x for _, y in templates for i in range(len(license_scan.words(y))))
+            n = next((n for n in range(end, 0, -1) if inside(w[end - n : end])), 0)
+            if not n or end < len(w) and inside(w[end - n : end + 1]) or n < min(seed, len(t)) or not ends(w[end - n : end]):
+                continue
+            places = ends(w[end - n : end])
+            far = now and end - n - now[-1][1] > gap
+            ahead = [p for p in places if now and not far and p > now[-1][2]]
+            if now and not far and not ahead and n < 2 * seed < len(t) // 2:
+                continue
+            if now and not ahead:
+                chains.append(now)
+                now = []
+            to = min(ahead, key=lambda p: (abs(p - now[-1][2] - end + now[-1][1]), p)) if ahead else places[0]
+            now.append((end - n, end, to))
+        for chain in [*chains, now] if now else chains:
+            held = {p for a, b, to in chain for p in range(to - b + a, to)}
+            if len(held) >= cover * len(t):
+                found.append((k, chain[0][0], chain[-1][1], len(held) / len(t), len(held)))
+    found.sort(key=lambda x: (-x[4], -x[3], x[0]))
+    kept = []
+    for x in found:
+        if not any(y[1] <= x[1] and x[2] <= y[2] for y in kept):
+            kept.append(x)
+    return {(templates[k][0], a, b - 1, round(c, 9)) for k, a, b, c, _ in kept}
+
+
+def test_licence_spans_by_brute_force(spark):
+    import random
+
+    r = random.Random(7)
+    prose = lambda n: " ".join(r.choice("abcdefghijklmnop") for _ in range(n))
+    templates = [(f"t{i}", prose(n)) for i, n in enumerate([1, 2, 3, 6, 9, 14, 20])]
+    templates += [("inner", " ".join(templates[6][1].split()[4:13])), ("u", "the Unlicense")]
+    texts = []
+    for _ in range(25):
+        parts = [prose(r.randint(0, 9)) + " zz" * r.randint(0, 4) for _ in range(3)]
+        w = r.choice(templates)[1].split()
+        parts.insert(1, " ".join(x for x in w if r.random() > 0.1))
+        texts.append(" ".join(parts))
+    texts += ["The Unlicense", "x the unlicense", "", None, templates[6][1] + " " + templates[6][1]]
+    scanner = license_scan.Scanner(templates, BASE, gap=3)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").withColumns({"labels": F.lit(1), "score": F.lit("x"), "spans": F.lit(2), "n_words": F.lit(3)})
+    got = {x.doc_id: x for x in license_scan.license_scan(docs, scanner).collect()}
+    for i, t in enumerate(texts):
+        want = plain_spans(templates, t or "", 4, 3, license_scan.COVER)
+        assert {(s.label, s.first, s.last, round(s.covered, 9)) for s in got[i].spans} == want, (i, t)
+        assert got[i].labels == ",".join(sorted({x[0] for x in want})) and abs(got[i].score - max([x[3] for x in want], default=0)) < 1e-8
+    assert got[25].labels == got[26].labels == "u"
+
+
+def test_whole_licences_with_edits_are_found(spark):
+    import random
+
+    r = random.Random(3)
+    texts = []
+    for i, (label, t) in enumerate(TEMPLATES):
+        w = license_scan.words(t)
+        texts.append((i, "front " + " ".join(x if r.random() > 0.03 else "changed" for x in w) + " back"))
+    got = license_scan.license_scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert len(TEMPLATES) > 30
+    for x in got:
+        assert TEMPLATES[x.doc_id][0] in x.labels.split(",") and x.score > 0.8, (TEMPLATES[x.doc_id][0], x.labels, x.score)
+
+
 def test_matching_statistics():
     import random
 
@@ -128,10 +249,9 @@ def test_matching_statistics():
 
 
 def test_packing(spark):
-    data = rows() + [(400 + i, "word " * i, None, None) for i in range(1, 60)] + [(500, "I saw <|endoftext|> don't 日本語\n\n  x", None, None)]
+    data = rows() + [(400 + i, "word " * i, None, None) for i in range(1, 60)] + [(500, "I saw <|endoftext|> don't 日本語\n\n  x", None, None), (501, "<|endoftext|><|endoftext|>", None, None)]
     got = packing.best_fit_packing(frame(spark, data)).collect()
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     want = collections.Counter()
     for i, t, *_ in data:
         ids = tok.encode(t or "", add_special_tokens=False).ids + [2]
@@ -152,6 +272,21 @@ def test_packing(spark):
     assert packing.best_fit_packing(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+@pytest.mark.parametrize("text", [" " * 5_000_000, "\n" * 1_000_000 + "x", "a" * 5_000_000, "one two " * 700_000], ids=["blanks", "lines", "one word", "periodic"])
+def test_ids_of_very_long_texts(text):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    want = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert packing.ids_of(text, path).tolist() == [*want, 2]
+
+
+def test_packing_takes_clashing_columns(spark):
+    docs = frame(spark).withColumns({"piece": F.lit("p"), "sequence_id": F.lit("s"), "offset": F.lit("o"), "length": F.lit(1.5), "n_tokens": F.lit("t")})
+    a, b = packing.best_fit_packing(docs).collect(), packing.best_fit_packing(docs.select("doc_id", "text")).collect()
+    assert sorted(map(str, a)) == sorted(map(str, b))
+    pieces = spark.createDataFrame([(1, 0, 10, "first"), (2, 0, 20, "second")], "doc_id long, piece int, length long, rank string")
+    assert sorted((r.doc_id, r["rank"]) for r in packing.pack(pieces).collect()) == [(1, "first"), (2, "second")]
+
+
 def test_best_fit_is_best_fit():
     """As many sequences as one document after another, longest first, into the smallest gap."""
     import bisect
