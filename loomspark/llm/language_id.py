@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from loomspark.llm import textnum as X
 
-#: Labelled documents that a model is fitted on, at most.
-SAMPLE = 20_000
+#: Labelled documents that a model is fitted on, about at most, and languages that it tells apart: the most frequent of these documents.
+SAMPLE, LANGUAGES = 20_000, 256
 BITS = 15
 ORDERS = (1, 2, 3)
 SMOOTHING = 0.5
@@ -28,7 +28,7 @@ SMOOTHING = 0.5
 def _folded() -> np.ndarray:
     """Lower case of every code point that is a letter; a space for all others."""
     out = np.full(0x110000, 32, np.uint32)
-    for i in range(0x30000):
+    for i in range(0x110000):
         c = chr(i)
         if c.isalpha():
             low = c.lower()
@@ -84,21 +84,24 @@ def _count(batches: Iterator[pa.RecordBatch], langs: list[str]) -> Iterator[pa.R
     yield pa.RecordBatch.from_arrays([pa.array((hit // width).astype(np.int32)), pa.array((hit % width).astype(np.int32)), pa.array(total[hit])], ["lang", "bucket", "n"])
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE, seed: int = 3) -> tuple[list[str], np.ndarray]:
-    """Languages and log-probabilities (buckets + 1, languages) from at most ``sample`` rows of labelled (text, lang).
+def fit(labelled: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGES, seed: int = 3) -> tuple[list[str], np.ndarray]:
+    """Languages and log-probabilities (buckets + 1, languages) from about ``sample`` rows of labelled (text, lang), never many more.
 
-    The last row holds the logarithms of the languages' shares. Rows with null lang or text teach nothing.
+    The last row holds the logarithms of the languages' shares. Rows with null lang or text teach nothing. Of more labels than
+    ``languages`` the most frequent are learned (ties by name), so the model is at most 2**15 * languages numbers of 4 bytes.
     """
     labelled = labelled.filter("lang is not null and text is not null").select("text", F.col("lang").cast("string").alias("lang"))
     n = labelled.count()
-    chosen = labelled.sample(min(1.0, 0.95 * sample / max(1, n)), seed=seed).limit(sample) if n > sample else labelled
+    chosen = labelled.sample(0.95 * sample / n, seed=seed) if n > sample else labelled
     chosen = chosen.persist()
     try:
-        share = {r["lang"]: r["n"] for r in chosen.groupBy("lang").agg(F.count("*").alias("n")).toLocalIterator()}
+        often = chosen.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
+        share = {r["lang"]: r["n"] for r in often.collect()}  # languages rows at most
         langs = sorted(share)
         counts = np.full(((1 << BITS) + 1, max(1, len(langs))), SMOOTHING)
         if langs:
-            rows = chosen.mapInArrow(lambda it: _count(it, langs), "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+            known = chosen.filter(F.col("lang").isin(langs))
+            rows = known.mapInArrow(lambda it: _count(it, langs), "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
             got = rows.toPandas()  # buckets x languages at most
             counts[got["bucket"], got["lang"]] += got["n"]
     finally:
@@ -142,7 +145,9 @@ def language_id(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Per row of docs (doc_id, text, lang): doc_id, held_out, lang_pred, score (posterior probability of lang_pred).
 
     Learned from rows that are not held out and have a lang. lang_pred is 'und', with score 0, where text is null or has no
-    letter, or where there was nothing to learn from. Ties go to the language that is first in order. Empty gives empty.
+    letter, or where there was nothing to learn from. Ties go to the language that is first in order. Every row is judged alone on its
+    whole text, however long, so repeated rows change nothing. Only the three columns are read; others, whatever their names, do
+    not come along. Empty gives empty.
     """
     rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"), held_out().alias("held_out"))
     langs, model = fit(rows.filter(~F.col("held_out")), sample)
