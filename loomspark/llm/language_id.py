@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.llm import textnum as X
+from loomspark.llm.common import bounded
 
 #: Labelled documents that a model is fitted on, about at most, and languages that it tells apart: the most frequent of these documents.
 SAMPLE, LANGUAGES = 20_000, 256
@@ -149,7 +150,7 @@ def language_id(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     whole text, however long, so repeated rows change nothing. Only the three columns are read; others, whatever their names, do
     not come along. Empty gives empty.
     """
-    rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"), held_out().alias("held_out"))
+    rows = bounded(docs).select("doc_id", "text", F.col("lang").cast("string").alias("lang"), held_out().alias("held_out"))
     langs, model = fit(rows.filter(~F.col("held_out")), sample)
     schema = f"doc_id {dict(docs.dtypes)['doc_id']}, held_out boolean, lang_pred string, score double"
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from loomspark.llm import textnum as X
+from loomspark.llm.common import bounded
 from loomspark.llm.license_texts import BASE, TEMPLATES
 
 #: Words of a match that a chain may be built on (fewer for shorter templates).
@@ -277,4 +278,4 @@ def license_scan(docs: DataFrame, scanner: Scanner | None = None) -> DataFrame:
     scanner = scanner or standard()
     shared = docs.sparkSession.sparkContext.broadcast(scanner)
     schema = f"doc_id {dict(docs.dtypes)['doc_id']}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans array<struct<label:string,first:long,last:long,covered:double>>"
-    return docs.select("doc_id", "text").mapInArrow(lambda it: _scan(it, shared.value), schema)
+    return bounded(docs).select("doc_id", "text").mapInArrow(lambda it: _scan(it, shared.value), schema)

@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from loomspark.llm.common import materialize, partitions
+from loomspark.llm.common import bounded, materialize, partitions
 
 CAPACITY = 1024
 END = 2
@@ -92,7 +92,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_id
 def tokenize(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
     """Pieces of each document: doc_id, piece, start, length, ids_crc32 and, with_ids, ids. Only the first piece may be short."""
     schema = f"doc_id {dict(docs.dtypes)['doc_id']}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return docs.select("doc_id", "text").mapInArrow(lambda it: _pieces(it, path, capacity, with_ids), schema)
+    return bounded(docs).select("doc_id", "text").mapInArrow(lambda it: _pieces(it, path, capacity, with_ids), schema)
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:

@@ -4,13 +4,15 @@ Windows are 200 bytes or 20 words, say. Every window has one anchor that its con
 (k bytes or words) of least fingerprint. Equal windows so have equal anchors at equal places, and a run of windows with
 one anchor is a *segment*. Steps:
 
-1. Each document lists its anchors' fingerprints; exact copies of a document count once (the one with the smallest id).
-2. Fingerprints that occur twice or more are candidates. All other windows are unique and never move.
-3. Segments of candidate anchors are dealt over partitions by splitters sampled from the anchors. An anchor with very many
+1. Each document lists its anchors; exact copies of a document count once (the one with the smallest id). An anchor is named by its
+   leading tokens and, below them, by its fingerprint, so names sort as the suffixes that begin at the anchors do.
+2. Anchors that occur twice or more are candidates. All other windows are unique and never move.
+3. Segments of candidate anchors are range-partitioned by splitters sampled from the candidates. An anchor with very many
    segments is cut by the place of the anchor within the window (windows can only match at the same place) and dealt by the
    content that all windows of a cell share, so nothing is lost; of its equal segments a task sends one, the others are decided.
-4. A partition sorts the segments' suffixes (from the anchor on) and reversed prefixes by multikey sort; the common lengths of
-   neighbours give, for every place of the anchor, which windows are equal. No hash decides equality of bytes.
+4. A partition finds equal windows among the segments of an anchor, by sorted suffixes (:func:`equal_windows`) or by extending
+   from the anchor (:func:`extended_windows`). Should more segments of one cell meet than a task may hold, it sends their
+   windows on by digest, and they are counted by Spark's aggregation.
 5. Spans go back to their documents.
 """
 
@@ -25,14 +27,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.llm import textnum as X
-from loomspark.llm.common import materialize, partitions
+from loomspark.llm.common import bounded, materialize, partitions
 
 #: End of a span that reaches to the document's end.
 WHOLE = 1 << 62
 #: Segments of one anchor in one task; anchors with more are cut by place.
 HOT = 50_000
-#: Segments that a task sorts at once.
-SORTED = 40_000
+#: Segments that a task sorts at once, and of one anchor that it holds at most.
+SORTED, HELD = 15_000, 100_000
+#: Bytes or tokens that a task works on at once.
+PIECE = 1 << 19
 #: Different segments of hot anchors that a task remembers.
 SEEN = 50_000
 _IDS = "d", "th"
@@ -42,12 +46,14 @@ _CELL = np.int64(0x1E3779B97F4A7C15)
 
 @dataclasses.dataclass(frozen=True)
 class Repeats:
-    """unit: bytes or words. first: an occurrence is marked only if an equal window starts earlier (id, then place)."""
+    """unit: bytes or words. first: an occurrence is marked only if an equal window starts earlier (id, then place). extend: equal
+    windows are found by extending from the anchor instead of sorting."""
 
     unit: str
     length: int
     gram: int
     first: bool
+    extend: bool = False
 
     @property
     def places(self) -> int:
@@ -63,11 +69,11 @@ def _tokens(spec: Repeats, data: np.ndarray, offsets: np.ndarray):
 
 
 def _segments(spec: Repeats, values: np.ndarray, first: np.ndarray):
-    """row, first window, last window, anchor (token indices from the row's start), fingerprint of the anchor."""
+    """row, first window, last window, anchor (token indices from the row's start), name of the anchor."""
     out = []
-    for lo, hi in X.slices(first, X.PIECE // 2):
-        for at in range(first[lo], max(first[lo] + 1, first[hi] - spec.length + 1), X.PIECE):  # a long row goes in pieces
-            to = min(first[hi], at + X.PIECE + spec.length - 1)
+    for lo, hi in X.slices(first, PIECE // 2):
+        for at in range(first[lo], max(first[lo] + 1, first[hi] - spec.length + 1), PIECE):  # a long row goes in pieces
+            to = min(first[hi], at + PIECE + spec.length - 1)
             part = values[at:to]
             if len(part) < spec.length:
                 continue
@@ -81,12 +87,23 @@ def _segments(spec: Repeats, values: np.ndarray, first: np.ndarray):
                 continue
             ends = np.flatnonzero(ok & np.r_[(anchor[1 : len(row)] != anchor[: len(row) - 1]) | ~ok[1:] | (row[1:] != row[:-1]), True])
             base = at - first[row[starts]]
-            out.append((row[starts], starts + base, ends + base, anchor[starts] + base, grams[anchor[starts]].view(np.int64)))
+            out.append((row[starts], starts + base, ends + base, anchor[starts] + base, _names(part, anchor[starts], grams)))
     if not out:
         return tuple(np.zeros(0, np.int64) for _ in range(5))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
+def _names(values: np.ndarray, at: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Names of the grams at some places: their leading tokens above, 32 bits of the fingerprint below, in signed order."""
+    if values.dtype == np.uint64:
+        lead = values[at] >> np.uint64(32)
+    else:
+        lead = np.zeros(len(at), np.uint64)
+        for i in range(4):
+            lead = lead << np.uint64(8) | values[at + i]
+    return (lead << np.uint64(32) | grams[at] & np.uint64(0xFFFFFFFF) ^ np.uint64(1 << 63)).view(np.int64)
+
+
 def _lists(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(X.starts_of(lengths).astype(np.int32)), pa.array(values))
 
@@ -95,7 +112,7 @@ def _anchors(spec: Repeats, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
     """The distinct anchors of each document, once, or twice if they occur more than once."""
     for batch in batches:
         data, offsets = X.flat(batch.column("text"))
-        for lo, hi in X.slices(offsets, X.PIECE):
+        for lo, hi in X.slices(offsets, PIECE):
             values, first, _, _ = _tokens(spec, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
             row, _, _, _, g = _segments(spec, values, first)
             order = np.lexsort((g, row))
@@ -121,7 +138,7 @@ def _cut(spec: Repeats, splitters: list[int], batches: Iterator[pa.RecordBatch])
         flat = hits.values
         hit_g, hit_n = flat.field("g").to_numpy(), flat.field("n").to_numpy()
         d, th = (batch.column(c).to_numpy() for c in _IDS)
-        for lo, hi in X.slices(offsets, X.PIECE):
+        for lo, hi in X.slices(offsets, PIECE):
             base = offsets[lo]
             values, first, word_at, word_to = _tokens(spec, data[base : offsets[hi]], offsets[lo : hi + 1] - base)
             row, start, end, anchor, g = _segments(spec, values, first)
@@ -290,16 +307,17 @@ def _columns(units: np.ndarray) -> list[np.ndarray]:
     return [np.ascontiguousarray(wide[:, i]) for i in range(wide.shape[1])]
 
 
-def equal_windows(spec: Repeats, g, least, most, after: np.ndarray, before: np.ndarray) -> np.ndarray:
+def equal_windows(spec: Repeats, least, most, after: np.ndarray, before: np.ndarray) -> np.ndarray:
     """Which windows of distinct segments, in order of precedence, equal one of another: rows x places of the anchor.
 
-    after holds the tokens from the anchor on, before those ahead of it, nearest first.
+    after holds the tokens from the anchor on, before those ahead of it, nearest first. The suffixes that begin at the anchors are
+    sorted, and the reversed prefixes in front of them; the common lengths of neighbours tell, for every place of the anchor, which
+    windows are equal. The shortest of these is a gram, and a gram has one name, so no suffix of another bucket can match.
     """
-    m = len(g)
-    right = multikey_order([g.view(np.uint64), *_columns(after)])
+    m = len(least)
+    right = multikey_order(_columns(after))
     left = multikey_order(_columns(before)) if before.shape[1] else np.arange(m)
     forward = _common(after, right)
-    forward[1:][g[right[1:]] != g[right[:-1]]] = 0
     backward = _common(before, left) if before.shape[1] else np.zeros(m, np.int64)
     right_at, left_at = np.empty(m, np.int64), np.empty(m, np.int64)
     right_at[right], left_at[left] = np.arange(m), np.arange(m)
@@ -317,6 +335,39 @@ def equal_windows(spec: Repeats, g, least, most, after: np.ndarray, before: np.n
     return marked
 
 
+def extended_windows(spec: Repeats, least, most, after: np.ndarray, before: np.ndarray, roll: X.Rolling, at: np.ndarray) -> np.ndarray:
+    """As equal_windows. Windows of equal fingerprint join a segment to the first one that has them; from the anchor the two are
+    extended both ways, and the windows within a maximal repeat of ``length`` tokens or more are equal."""
+    m = len(least)
+    row = np.repeat(np.arange(m), most - least + 1)
+    place = X.ranges(least, most - least + 1)
+    start = at[row] - place
+    prints = roll.spans(start, start + spec.length)
+    order = np.argsort(prints, kind="stable")
+    key = prints[order]
+    head = order[np.maximum.accumulate(np.where(np.r_[True, key[1:] != key[:-1]], np.arange(len(key)), 0))]
+    one, other, where = row[order], row[head], place[order]
+    met = one != other
+    one, other, where = one[met], other[met], where[met]
+    pairs, pair = np.unique(one * np.int64(m) + other, return_inverse=True)
+    a, b = pairs // m, pairs % m
+    ahead, back = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
+    for k in range(0, len(a), 8192):
+        i, j = a[k : k + 8192], b[k : k + 8192]
+        for out, side in ((ahead, after), (back, before)):
+            if side.shape[1]:
+                differ = side[i] != side[j]
+                out[k : k + 8192] = np.where(differ.any(1), differ.argmax(1), side.shape[1])
+    same = (where <= back[pair]) & (spec.length - where <= ahead[pair])
+    if not same.all():  # equal fingerprints of unequal windows
+        return equal_windows(spec, least, most, after, before)
+    marked = np.zeros((m, spec.places), bool)
+    marked[one, where] = True
+    if not spec.first:
+        marked[other, where] = True
+    return marked
+
+
 def _compact(spec: Repeats, t: pa.Table) -> tuple[pa.Table, tuple]:
     """Segments of one anchor, of equal ones only the first, and the spans so decided."""
     code = t["body"].combine_chunks().dictionary_encode().indices.to_numpy()
@@ -383,7 +434,10 @@ def _match(spec: Repeats, g, d, th, anchor, least, most, bodies: pa.Array):
     rep = np.empty(len(order), np.int64)
     rep[order] = np.where(equal, head, order)
     lead = np.flatnonzero(rep == np.arange(len(rep)))
-    part = equal_windows(spec, g[lead], least[lead], most[lead], after[lead], before[lead])
+    if spec.extend:
+        part = extended_windows(spec, least[lead], most[lead], after[lead], before[lead], roll, at[lead])
+    else:
+        part = equal_windows(spec, least[lead], most[lead], after[lead], before[lead])
     marked = np.zeros((len(g), spec.places), bool)
     marked[lead] = part
     place = np.arange(spec.places)
@@ -399,15 +453,34 @@ def _match(spec: Repeats, g, d, th, anchor, least, most, bodies: pa.Array):
     return d[row], th[row], anchor[row] - high + 1, anchor[row] - low + spec.length
 
 
-def _spans(spec: Repeats, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments sorted by anchor -> spans. Whole anchors are gathered until there are enough to sort."""
-    names = ["d", "th", "s", "e"]
+SPANS = "d long, th long, s long, e long, k1 long, k2 long"
 
-    def out(*columns):
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
 
+def _windows(spec: Repeats, t: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Every window of some segments as a row with its digest of 128 bits: for the anchors of which a task can't hold all segments."""
+    for lo in range(0, len(t), SORTED // 8):
+        some = t.slice(lo, SORTED // 8)
+        values, first, _, _ = _tokens(spec, *X.flat(some["body"].combine_chunks()))
+        d, th, anchor, least, most = (some[c].to_numpy().astype(np.int64) for c in ("d", "th", "anchor", "least", "most"))
+        row = np.repeat(np.arange(len(d)), most - least + 1)
+        place = X.ranges(least, most - least + 1)
+        start = first[row] + most[row] - place
+        one = X.Rolling(values, spec.unit == "bytes").spans(start, start + spec.length)
+        two = X.Rolling(X.mix(values.astype(np.uint64) + np.uint64(0xD6E8FEB86659FD93)), bytes_in=False).spans(start, start + spec.length)
+        s = anchor[row] - place
+        yield _span_batch(d[row], th[row], s, s + spec.length, one.view(np.int64), two.view(np.int64))
+
+
+def _span_batch(d, th, s, e, k1=None, k2=None) -> pa.RecordBatch:
+    none = pa.nulls(len(d), pa.int64())
+    return pa.RecordBatch.from_arrays([*(pa.array(x) for x in (d, th, s, e)), none if k1 is None else pa.array(k1), none if k2 is None else pa.array(k2)], [x.split()[0] for x in SPANS.split(", ")])
+
+
+def _spans(spec: Repeats, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segments sorted by anchor -> spans, and windows yet to be counted. Whole anchors are gathered until there are enough to match."""
     held: list[pa.RecordBatch] = []
     count, limit = 0, SORTED
+    sent_on: int | None = None  # the anchor whose windows are being sent on
 
     def flush(upto: int | None):
         nonlocal held, count, limit
@@ -421,16 +494,21 @@ def _spans(spec: Repeats, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
             if rows > 2 * SORTED and c["g"][0] == c["g"][-1]:
                 del c["g"]
                 for found in _match_by_place(spec, *c.values(), t["body"].combine_chunks()):
-                    yield out(*found)
+                    yield _span_batch(*found)
                 return
-            yield out(*_match(spec, *c.values(), t["body"].combine_chunks()))
+            yield _span_batch(*_match(spec, *c.values(), t["body"].combine_chunks()))
 
     for batch in batches:
         known = batch.column("body").is_null().to_numpy(zero_copy_only=False)
         if known.any():
             c = {k: batch.column(k).to_numpy()[known] for k in ("d", "th", "anchor", "least", "most")}
-            yield out(c["d"], c["th"], c["anchor"] - c["most"], c["anchor"])
+            yield _span_batch(c["d"], c["th"], c["anchor"] - c["most"], c["anchor"])
             batch = batch.filter(pa.array(~known))
+        if sent_on is not None and len(batch):
+            end = int(np.searchsorted(batch.column("g").to_numpy(), sent_on, "right"))
+            yield from _windows(spec, pa.Table.from_batches([batch.slice(0, end)]))
+            batch = batch.slice(end)
+            sent_on = sent_on if not len(batch) else None
         if not len(batch):
             continue
         held.append(batch)
@@ -445,7 +523,10 @@ def _spans(spec: Repeats, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
                 held, count = t.combine_chunks().to_batches(), len(t)
                 limit = max(SORTED, 2 * count)
                 if len(found[0]):
-                    yield out(*found)
+                    yield _span_batch(*found)
+                if count > HELD:
+                    yield from _windows(spec, t)
+                    held, count, limit, sent_on = [], 0, SORTED, int(g[-1])
     if held:
         yield from flush(None)
 
@@ -457,14 +538,17 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def repeated_spans(spec: Repeats, docs: DataFrame) -> DataFrame:
     """docs must come from keyed(), dealt by (d, th). Returns d, th, spans array<struct<s,e>>: windows to remove, unmerged."""
-    spark = docs.sparkSession
+    spark = bounded(docs).sparkSession
     n = partitions(spark)
     texts = docs.select(*_IDS, "text")
     named = texts.withColumn("copy_of", F.sha2(F.coalesce("text", F.lit("")), 256))
     anchors = materialize(named.mapInArrow(lambda it: _anchors(spec, it), "d long, th long, copy_of string, g array<long>"))
     ids = anchors.select("copy_of", *_IDS, F.size("g").alias("n"))
-    classes = ids.groupBy("copy_of").agg(F.min("d").alias("d"), F.min_by("th", "d").alias("th"), F.count("*").alias("members"))
-    each = anchors.join(classes.select(*_IDS), [*_IDS], "left_semi").select(*_IDS, F.explode("g").alias("g"))
+    # written before it is joined, so that the join can deal the members of one large class to several tasks
+    classes = ids.groupBy("copy_of").agg(F.min("d").alias("lead"), F.min_by("th", "d").alias("lead_th"), F.count("*").alias("members")).filter("members > 1")
+    classes = materialize(classes)
+    copies = materialize(ids.join(classes, "copy_of").filter("d != lead or th != lead_th").select(*_IDS, "n"))
+    each = anchors.join(copies.select(*_IDS).distinct(), [*_IDS], "left_anti").select(*_IDS, F.explode("g").alias("g"))
     counts = each.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1")
     cells = F.least(F.lit(spec.places), F.ceil(F.col("n") / HOT)).cast("int")
     hits = materialize(each.join(counts.select("g", cells.alias("n")), "g"))
@@ -472,15 +556,25 @@ def repeated_spans(spec: Repeats, docs: DataFrame) -> DataFrame:
     listed = hits.groupBy(*_IDS).agg(F.collect_set(F.struct("g", "n")).alias("hits"))
     segments = texts.join(listed, [*_IDS]).select("text", *_IDS, "hits").mapInArrow(lambda it: _cut(spec, edges, it), SEGMENT)
     dealt = segments.repartitionById(n, F.col("part")).sortWithinPartitions("g")
-    spans = dealt.mapInArrow(lambda it: _spans(spec, it), "d long, th long, s long, e long")
+    found = materialize(dealt.mapInArrow(lambda it: _spans(spec, it), SPANS))
+    spans = found.filter("k1 is null").select(*_IDS, "s", "e").unionByName(_counted(spec, found.filter("k1 is not null")))
     # exact copies: all but the first go whole, or all of them
-    copies = ids.join(classes.select("copy_of", F.col("d").alias("lead"), F.col("th").alias("lead_th"), "members"), "copy_of").filter("members > 1")
-    if spec.first:
-        copies = copies.filter("d != lead")
-    whole = copies.filter(F.col("n") > 0).select(*_IDS, F.lit(0).cast("long").alias("s"), F.lit(WHOLE).alias("e"))
+    gone = copies
+    if not spec.first:
+        gone = gone.unionByName(classes.join(ids.withColumnsRenamed({"d": "lead", "th": "lead_th"}), ["copy_of", "lead", "lead_th"]).select(F.col("lead").alias("d"), F.col("lead_th").alias("th"), "n"))
+    whole = gone.filter(F.col("n") > 0).select(*_IDS, F.lit(0).cast("long").alias("s"), F.lit(WHOLE).alias("e"))
     return spans.unionByName(whole).groupBy(*_IDS).agg(F.collect_list(F.struct("s", "e")).alias("spans"))
 
 
+def _counted(spec: Repeats, windows: DataFrame) -> DataFrame:
+    """Of windows (d, th, s, e and a digest k1, k2) those that equal another one, or an earlier one."""
+    first = windows.groupBy("k1", "k2").agg(F.min(F.struct(*_IDS, "s")).alias("lead"), F.max(F.struct(*_IDS, "s")).alias("last")).filter("lead < last")
+    again = windows.join(first, ["k1", "k2"])
+    if spec.first:
+        again = again.filter(F.struct(*_IDS, "s") > F.col("lead"))
+    return again.select(*_IDS, "s", "e")
+
+
 def _splitters(hits: DataFrame, n: int) -> list[int]:
     """n - 1 keys that part the anchors evenly, from a sketch of the candidates."""
     if n < 2:

@@ -1,7 +1,8 @@
 """Substring deduplication by seed and extend: of a passage of N words or more that repeats, the first occurrence alone stays.
 
-Seeds are winnowed anchors (see :mod:`loomspark.llm.repeats`): documents meet on equal anchors, matches are extended to the
-right (from the anchor on) and to the left (in front of it), and maximal repeats of at least N words are kept for removal.
+Seeds are winnowed anchors (see :mod:`loomspark.llm.repeats`): documents are joined on equal anchors, each with the first one that
+agrees in a window; their match is extended to the right (from the anchor on) and to the left (in front of it), and maximal
+repeats of at least N words are kept for removal.
 """
 
 from __future__ import annotations
@@ -65,9 +66,10 @@ def substring_dedup(docs: DataFrame, length: int = 20, gram: int = GRAM, with_te
     A word goes if a window of ``length`` words covers it whose words also start earlier: in a document of smaller id, or
     earlier in the same one. Null text has no words; shorter texts stay whole; a null doc_id comes before all others; rows equal
     in id and text are one document; of rows with one id and several texts the smaller text fingerprint comes first. An empty
-    table gives an empty one. Columns other than doc_id and text are not read.
+    table gives an empty one. Texts are read whole, however long. Columns other than doc_id and text, whatever their names, are not
+    read.
     """
-    spec = Repeats("words", length, gram, first=True)
+    spec = Repeats("words", length, gram, first=True, extend=True)
     rows = keyed(docs.select("doc_id", "text")).repartition(partitions(docs.sparkSession), "d", "th")
     both = rows.join(repeated_spans(spec, rows), ["d", "th"], "left").select("doc_id", "text", _spans_or_none())
     schema = f"doc_id {dict(docs.dtypes)['doc_id']}, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text

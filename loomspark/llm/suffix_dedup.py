@@ -1,10 +1,11 @@
 """Suffix-array deduplication: every passage of N bytes that stands anywhere else is cut out, all its copies.
 
-The suffixes sorted are those at anchors (see :mod:`loomspark.llm.repeats`); splitters sampled from the candidates range-partition
-them by their leading token, the anchor's fingerprint. A bucket sorts its suffixes, and the reversed prefixes in front of
-them, by multikey sort and reads repeats off the common lengths of neighbours. Splitters fall between leading tokens, so no
-family of equal suffixes crosses a boundary, save those of a hot anchor, which are cut by the place of the anchor within the
-window; windows at different places can't be equal, so there is nothing to compare across.
+The suffixes sorted are those at anchors (see :mod:`loomspark.llm.repeats`), one for each 80 bytes or so of what may repeat. Splitters
+sampled from them range-partition them by their leading bytes; of suffixes that agree in these, by their anchor. A bucket
+sorts its suffixes, and the reversed prefixes in front of them, by multikey sort and reads repeats off the common lengths of
+neighbours. Suffixes that hold equal windows agree in an anchor of 40 bytes, and splitters fall between anchors: the last suffix of
+a bucket and the first of the next agree in less, so that comparing across the boundary can find nothing. Only a hot anchor is
+parted further, by content that equal windows share.
 """
 
 from __future__ import annotations
@@ -59,7 +60,7 @@ def suffix_dedup(docs: DataFrame, length: int = 200, gram: int = GRAM, with_text
     A byte goes if a window of ``length`` bytes covers it that also starts anywhere else in the corpus. Null text reads as empty
     and stays empty; texts shorter than ``length`` stay whole; equal texts of at least ``length`` bytes all go. A null doc_id
     is a value like any other; rows equal in id and text are copies. kept_text drops the bytes of characters that a cut split.
-    An empty table gives an empty one. Other columns are not read.
+    An empty table gives an empty one. Texts are read whole, however long. Other columns, whatever their names, are not read.
     """
     spec = Repeats("bytes", length, gram, first=False)
     keep = ["doc_id", "carried"] if carry else ["doc_id"]

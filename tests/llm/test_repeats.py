@@ -117,3 +117,76 @@ def test_hot_anchor_is_bounded(monkeypatch, unit, sort):
     assert {i: sum(int(b - a) for a, b in repeats.merged(np.array(x), size[i])) if x else 0 for i, x in found.items()} == want
     assert sum(n >= len(data) for n in keys.values()) <= 2  # a cell at each end of the passage, where segments differ
     assert sum(keys.values()) < len(often) * len(data)
+
+
+@pytest.mark.parametrize("unit", ["bytes", "words"])
+def test_an_anchor_that_no_task_can_hold(spark, monkeypatch, unit):
+    """Its windows go on by digest and are counted by Spark."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(repeats, "SORTED", 16)
+    monkeypatch.setattr(repeats, "HELD", 30)
+    spec = repeats.Repeats("bytes", 200, 40, first=False) if unit == "bytes" else repeats.Repeats("words", 20, 5, first=True, extend=True)
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    passage = " ".join(word() for _ in range(40))
+    data = [(i, f"{' '.join(word() for _ in range(20))} {passage} {' '.join(word() for _ in range(20))}", None, None) for i in range(120)]
+    batch = pa.RecordBatch.from_arrays([pa.array([x[0] for x in data]), pa.array([0] * len(data)), pa.array([x[1] for x in data]), pa.array([""] * len(data))], ["d", "th", "text", "copy_of"])
+    grams = [x["g"] for b in repeats._anchors(spec, iter([batch])) for x in b.to_pylist()]
+    often = collections.Counter(g for x in grams for g in set(x))
+    hits = pa.array([[{"g": g, "n": 1} for g in set(x) if often[g] > 1] for x in grams], pa.list_(pa.struct([("g", pa.int64()), ("n", pa.int32())])))
+    cut = pa.Table.from_batches(repeats._cut(spec, [0], iter([batch.append_column("hits", hits)])))
+    got = pa.Table.from_batches(repeats._spans(spec, iter(cut.sort_by("g").to_batches(max_chunksize=20))))
+    windows = got.filter(got["k1"].is_valid())
+    assert len(windows) > 1000
+    counted = repeats._counted(spec, spark.createDataFrame(windows.to_pandas(), repeats.SPANS)).collect()
+    found = {i: [] for i, *_ in data}
+    for x in [*got.filter(got["k1"].is_null()).to_pylist(), *(y.asDict() for y in counted)]:
+        found[x["d"]].append((x["s"], x["e"]))
+    want = {x[0]: x[2] for x in (by_bytes(data) if unit == "bytes" else by_words(data))}
+    size = {i: len(t) if unit == "bytes" else len(t.split()) for i, t, *_ in data}
+    assert {i: sum(int(b - a) for a, b in repeats.merged(np.array(x), size[i])) if x else 0 for i, x in found.items()} == want
+
+
+@pytest.mark.parametrize("first", [False, True])
+def test_extending_finds_what_sorting_finds(first):
+    import numpy as np
+
+    from loomspark.llm import textnum as X
+
+    r = np.random.default_rng(4)
+    spec = repeats.Repeats("words", 6, 2, first=first)
+    for _ in range(30):
+        values = r.integers(0, 2, 400).astype(np.uint64)
+        at = r.integers(10, 380, 40)
+        least, most = r.integers(0, 3, 40), r.integers(2, 5, 40)
+        after = repeats._matrix(values, at, 6 - least, 6, 1)
+        before = repeats._matrix(values, at - 1, most, int(most.max()), -1)
+        a = repeats.equal_windows(spec, least, most, after, before)
+        b = repeats.extended_windows(spec, least, most, after, before, X.Rolling(values, bytes_in=False), at)
+        assert (a == b).all()
+
+
+def test_very_long_texts(spark):
+    """One word, one run of blanks, one line of words, a period: a few MB each, among ordinary documents."""
+    import random
+
+    r = random.Random(2)
+    prose = " ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(40))
+    data = [(0, "x" * 5_000_000), (1, " " * 5_000_000), (2, "ab " * 400_000), (3, prose), (4, f"y {prose} z"), (5, " ".join(str(i) for i in range(400_000)))]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = {x.doc_id: x for x in suffix_dedup(df, with_text=False).collect()}
+    assert [(got[i].n_bytes, got[i].n_removed) for i, _ in data[:3]] == [(5_000_000,) * 2, (5_000_000,) * 2, (1_200_000,) * 2]
+    assert got[3].n_removed == len(prose) == got[4].n_removed and got[5].n_removed == 0
+    words = {x.doc_id: x for x in substring_dedup(df, with_text=False).collect()}
+    assert [(words[i].n_words, words[i].n_removed) for i, _ in data] == [(1, 0), (0, 0), (400_000, 399_999), (40, 0), (42, 40), (400_000, 0)]
+
+
+def test_clashing_columns(spark):
+    extra = {c: repeats.F.lit(c) for c in ("g", "s", "e", "k1", "copy_of", "hits", "part", "n_removed", "kept_sha256", "spans", "lead")}
+    for f in (suffix_dedup, substring_dedup):
+        a, b = f(frame(spark).withColumns(extra), with_text=False), f(frame(spark).select("doc_id", "text"), with_text=False)
+        assert order(a.collect()) == order(b.collect())
