@@ -259,3 +259,53 @@ def test_large_groups_are_linked_in_bounded_memory():
     assert len(edges) == 1199 and set(flood(range(1200), links).values()) == {0}
     print("PEAK", peak)
     assert peak < 150 << 20
+
+
+def test_queries_stream_past_a_shard_in_bounded_memory():
+    """A cluster of 20,000 near vectors, asked in chunks: every link is counted, one forest comes out."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    r = np.random.default_rng(8)
+    n = 20_000
+    v = (r.normal(size=16) + 0.02 * r.normal(size=(n, 16))).astype(np.float32)
+    table = pa.table({"node": pa.array(range(n), pa.int64()), "members": pa.array([1] * n, pa.int64()), "embedding": pa.array(list(v), pa.list_(pa.float32()))})
+    shard = embedding_dedup._build((pa.scalar(16), pa.scalar(0)), table.slice(0, n // 4))
+    shard = shard.set_column(0, "task", pa.array([7] * len(shard))).select(["task", "pos", "node", "members", "embedding", "links"])
+    queries = table.append_column("task", pa.array([7] * n)).append_column("pos", pa.nulls(n, pa.int32())).append_column("links", pa.nulls(n, shard["links"].type)).select(shard.column_names)
+    tracemalloc.start()
+    got = pa.Table.from_batches(embedding_dedup._answers(iter([*shard.sort_by("pos").to_batches(), *queries.to_batches(max_chunksize=3000)]), 0.95, 32, 4096)).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    count = {x["node"]: x["links"] for x in got if x["node"] is not None}
+    assert all(count[i] == n // 4 - (i < n // 4) for i in range(n))
+    links = collections.defaultdict(set)
+    edges = [(x["a"], x["b"]) for x in got if x["a"] is not None]
+    for a, b in edges:
+        links[a].add(b)
+        links[b].add(a)
+    assert len(edges) == n - 1 and set(flood(range(n), links).values()) == {0}
+    audits = [(x["found"], x["true"]) for x in got if x["true"]]
+    assert audits and all(f == t > 0 for f, t in audits)
+    assert peak < 250 << 20
+
+
+def test_an_audit_looks_until_it_has_seen_links(spark):
+    """Few links: the recall in the output comes from true ones."""
+    r = np.random.default_rng(5)
+    v = r.normal(size=(3000, 24))
+    v[1::20] = v[::20] + 0.001 * r.normal(size=(150, 24))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    got = embedding_dedup.embedding_dedup(df).collect()
+    assert {x.audited_recall for x in got} == {1.0}
+    assert [x.n_links for x in sorted(got, key=lambda x: x.vec_id)] == [1 if i % 20 < 2 else 0 for i in range(3000)]
+
+
+def test_embeddings_edges(spark):
+    twice = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [0.0, 1.0])], "vec_id long, embedding array<double>")
+    twice = twice.withColumns({c: F.lit("x") for c in ("n_links", "kept", "component_id", "dim", "shard", "members", "task", "pos", "links", "real", "k1")})
+    got = sorted((x.vec_id, x.n_links, x.component_id, x.kept) for x in embedding_dedup.embedding_dedup(twice).collect())
+    assert got == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True)]
+    lone = embedding_dedup.embedding_dedup(twice.filter("vec_id = 3")).collect()
+    assert [(x.n_links, x.audited_recall) for x in lone] == [(0, None)]
