@@ -9,11 +9,14 @@ from loomspark.llm.common import materialize
 
 
 def _stars(edges: DataFrame) -> DataFrame:
-    """One large-star and one small-star step over edges (a, b) with a > b; the result has that form too."""
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
-    small = large.groupBy("a").agg(F.min("b").alias("m"))
+    """One large-star and one small-star step over edges (a, b) with a > b; the result has that form too.
+
+    Minima are written before they are joined: a join of two plain tables broadcasts them while they are few, and has its skewed keys
+    (the node in the middle of a star) split by adaptive execution when they are many. A join on an aggregate's own shuffle could not.
+    """
+    lower = materialize(edges.groupBy("a").agg(F.min("b").alias("m")))  # nodes without a row are local minima and stay
+    large = materialize(edges.join(lower.withColumnRenamed("a", "b"), "b", "left").select("a", F.coalesce("m", "b").alias("b")).distinct())
+    small = materialize(large.groupBy("a").agg(F.min("b").alias("m")))
     moved = large.join(small, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(small.select("a", F.col("m").alias("b"))).distinct()
 

@@ -5,8 +5,10 @@
 3. Within a bucket, Bayesian pruning compares further MinHash values in steps and drops a pair as soon as the posterior
    probability that its similarity reaches the threshold is below a tolerance. Survivors leave as a spanning forest, so a
    bucket of m documents gives fewer than m edges. Hot buckets are compared in blocks, each pair of blocks a task of its own.
-4. Components of these edges hold every surviving pair. All pairs of a component are verified exactly on the sets, in blocks,
-   by products of incidence matrices; what leaves is each document's number of links and a spanning forest of the links.
+4. Components of these edges hold every surviving pair, so each text goes to its component once. There the pairs that share a band
+   and survive pruning, no others, are verified exactly on the sets. A component of more than a few blocks is not compared all with
+   all: its texts go to their buckets (as many as there are bands at most, however large the component), and a pair is verified
+   in the first bucket that it shares. What leaves is each document's number of links and a spanning forest of the links.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.llm import textnum as X
-from loomspark.llm.common import materialize, partitions
+from loomspark.llm.common import bounded, materialize, partitions
 from loomspark.llm.graph import components
 from loomspark.llm.repeats import _lists
 
@@ -35,6 +37,8 @@ SKETCH, STEP = 64, 16
 TOLERANCE = 1e-6
 #: Documents of a bucket, and of a component, that one task compares with each other; n-grams of a component's block.
 BUCKET, BLOCK, BLOCK_GRAMS = 20_000, 1_000, 2_000_000
+#: Blocks up to which a component is compared block by block; a larger one is compared bucket by bucket.
+MOST_BLOCKS = 8
 _RNG = np.random.default_rng(41)
 _A = _RNG.integers(0, 1 << 31, BANDS * ROWS + SKETCH, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _RNG.integers(0, 1 << 32, BANDS * ROWS + SKETCH, dtype=np.uint32)
@@ -58,6 +62,19 @@ def shingles(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray,
     return got[new], X.starts_of(np.bincount(row[new], minlength=len(count)))
 
 
+def signatures(got: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket keys (rows, BANDS) and sketches (rows, SKETCH) of sets of fingerprints, none empty, that begin at ``at``."""
+    low = (got & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    least = np.empty((len(at), len(_A)), np.uint32)
+    for i, (a, b) in enumerate(zip(_A, _B, strict=True)):
+        least[:, i] = np.minimum.reduceat(low * a + b, at) if len(at) else 0
+    bands = np.zeros((len(at), BANDS), np.uint64)
+    for i in range(ROWS):
+        bands = X.mix(bands * np.uint64(0x9E3779B97F4A7C15) + least[:, i * BANDS : (i + 1) * BANDS] + np.uint64(1))
+    bands = X.mix(bands + np.arange(BANDS, dtype=np.uint64))
+    return bands, np.ascontiguousarray(least[:, BANDS * ROWS :].astype(np.uint8))
+
+
 def _signatures(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = X.flat(batch.column("text"))
@@ -68,15 +85,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Record
             ids = batch.column("d").slice(lo, hi - lo)
             if not len(full):
                 continue
-            low = (got & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            least = np.empty((len(full), len(_A)), np.uint32)
-            for i, (a, b) in enumerate(zip(_A, _B, strict=True)):
-                least[:, i] = np.minimum.reduceat(low * a + b, at)
-            bands = np.zeros((len(full), BANDS), np.uint64)
-            for i in range(ROWS):
-                bands = X.mix(bands * np.uint64(0x9E3779B97F4A7C15) + least[:, i * BANDS : (i + 1) * BANDS] + np.uint64(1))
-            bands = X.mix(bands + np.arange(BANDS, dtype=np.uint64))
-            sketch = np.ascontiguousarray(least[:, BANDS * ROWS :].astype(np.uint8))
+            bands, sketch = signatures(got, at)
             size = np.full(len(full), SKETCH, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -200,21 +209,54 @@ def _candidates(reps: DataFrame, threshold: float, tolerance: float) -> DataFram
     return usual.unionByName(pruned(dealt.repartition(n, "key")))
 
 
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 5 * c >= 4 * (x.n + y.n - c)),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+k AS (SELECT a, least(a, min(b)) AS c FROM r GROUP BY a), m AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(c, doc_id) AS component_id, coalesce(c, doc_id) = doc_id AS kept
+FROM documents LEFT JOIN k ON doc_id = k.a LEFT JOIN m ON doc_id = m.a
+"""
+
+
 VERIFIED = "d long, links long, a long, b long"
 
 
-def _verify(key, batch: pd.DataFrame, n: int, threshold: float) -> pd.DataFrame:
-    """Links within one component, or between two of its blocks, and a spanning forest of them."""
-    batch = batch.sort_values("d", kind="stable")
-    text = pa.array(batch["text"], pa.string())
-    got, first = shingles(*X.flat(text), n)
-    size = np.diff(first)
-    d, block, weight = (batch[c].to_numpy() for c in ("d", "block", "members"))
-    one, two = key[1], key[2]
-    m = len(d)
+def _surviving(bands: np.ndarray, sketch: np.ndarray, apart: np.ndarray, bounds: np.ndarray, bucket: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows i < j, apart[i, j] true, that share a band and survive pruning. bucket: only if that is the first band they share."""
+    m = len(bands)
+    one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    step = max(1, (1 << 21) // max(1, m))
+    for lo in range(0, m, step):
+        shared = np.zeros((min(m, lo + step) - lo, m), bool)
+        own = np.zeros_like(shared)
+        for k in range(BANDS):
+            same = bands[lo : lo + step, None, k] == bands[None, :, k]
+            if bucket is not None:
+                own |= same & ~shared & (bands[lo : lo + step, None, k].view(np.int64) == bucket)
+            shared |= same
+        i, j = np.nonzero((shared if bucket is None else own) & apart[lo : lo + step])
+        up = i + lo < j
+        i, j = i[up] + lo, j[up]
+        for at in range(0, len(i), 200_000):
+            x, y = i[at : at + 200_000], j[at : at + 200_000]
+            stay = _survivors(sketch[x], sketch[y], bounds)
+            one.append(x[stay])
+            two.append(y[stay])
+    return np.concatenate(one), np.concatenate(two)
+
+
+def _common(got: np.ndarray, first: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Size of the intersections of sets i and j: pair by pair if they are few, else by products of incidence matrices."""
+    m = len(first) - 1
+    if len(i) <= 4 * m:
+        return np.array([first[x + 1] - first[x] + first[y + 1] - first[y] - len(np.unique(np.concatenate([got[first[x] : first[x + 1]], got[first[y] : first[y + 1]]]))) for x, y in zip(i, j, strict=True)], np.int64)
     _, column, often = np.unique(got, return_inverse=True, return_counts=True)
     shared = np.cumsum(often > 1) - 1
-    row = np.repeat(np.arange(m), size)
+    row = np.repeat(np.arange(m), np.diff(first))
     keep = often[column] > 1
     row, column = row[keep], shared[column[keep]]
     order = np.argsort(column, kind="stable")
@@ -226,36 +268,70 @@ def _verify(key, batch: pd.DataFrame, n: int, threshold: float) -> pd.DataFrame:
         x = np.zeros((m, min(width, int(column[-1]) + 1 - at)), np.float32)
         x[row[a:b], column[a:b] - at] = 1
         common += x @ x.T
-    whole = size[:, None] + size[None, :] - common.astype(np.float64)
-    link = common >= threshold * whole - 1e-9
-    link &= (block[:, None] == one) & (block[None, :] == two) | (block[:, None] == two) & (block[None, :] == one)
-    link &= d[:, None] != d[None, :]
-    links = link.astype(np.float64) @ weight.astype(np.float64)
-    edges, rest = [], np.arange(m)
-    while len(rest):
-        queue, rest = [rest[0]], rest[1:]
-        while queue and len(rest):
-            i = queue.pop()
-            hit = link[i, rest]
-            edges += [(d[i], x) for x in d[rest[hit]]]
-            queue += list(rest[hit])
-            rest = rest[~hit]
+    return np.rint(common[i, j]).astype(np.int64)
+
+
+def _verify(key, batch: pd.DataFrame, n: int, threshold: float, tolerance: float) -> pd.DataFrame:
+    """Links within one block of a component or bucket, or between two of them, and a spanning forest of the links."""
+    batch = batch.sort_values("d", kind="stable")
+    got, first = shingles(*X.flat(pa.array(batch["text"], pa.string())), n)
+    d, block, weight = (batch[c].to_numpy() for c in ("d", "block", "members"))
+    bucket, one, two = (None if key[1] is None or key[1] != key[1] else int(key[1])), key[2], key[3]
+    bands, sketch = signatures(got, first[:-1])
+    apart = (block[:, None] == one) & (block[None, :] == two) | (block[:, None] == two) & (block[None, :] == one)
+    apart &= d[:, None] != d[None, :]
+    i, j = _surviving(bands, sketch, apart, least_matches(threshold, tolerance), bucket)
+    common, size = _common(got, first, i, j), np.diff(first)
+    link = common >= threshold * (size[i] + size[j] - common) - 1e-9
+    i, j = i[link], j[link]
+    if len(np.unique(d)) < len(d):  # rows that share an id are one document
+        _, each = np.unique(np.sort(np.column_stack([d[i], d[j]]), axis=1), axis=0, return_index=True)
+        i, j = i[each], j[each]
+    links = np.bincount(i, weight[j], len(d)) + np.bincount(j, weight[i], len(d))
+    up = np.arange(len(d))
+
+    def root(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    edges = []
+    for x, y in zip(i.tolist(), j.tolist(), strict=True):
+        a, b = root(x), root(y)
+        if a != b:
+            up[max(a, b)] = min(a, b)
+            edges.append((d[x], d[y]))
     e = np.array(edges, np.int64).reshape(-1, 2)
-    none = pd.array([None] * m, "Int64")
+    none = pd.array([None] * len(d), "Int64")
     found = pd.DataFrame({"d": pd.array(d, "Int64"), "links": pd.array(np.rint(links).astype(np.int64), "Int64"), "a": none, "b": none})
     none = pd.array([None] * len(e), "Int64")
     return pd.concat([found, pd.DataFrame({"d": none, "links": none, "a": pd.array(e[:, 0], "Int64"), "b": pd.array(e[:, 1], "Int64")})], ignore_index=True)
 
 
+def _blocked(sized: DataFrame, by: list[str]) -> DataFrame:
+    """Rows (d, n, members and by) with the pairs of blocks, one and two, in which they are compared."""
+    total = sized.groupBy(*by).agg(F.count("*").alias("size"), F.sum("n").alias("grams"))
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int")
+    total = materialize(total.withColumn("blocks", blocks).filter("size > 1").select(*by, "blocks"))
+    return sized.join(total, by).withColumn("block", F.pmod(F.xxhash64("d"), "blocks").cast("int"))
+
+
+def _paired(blocked: DataFrame) -> DataFrame:
+    other = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return other.select("d", "component", "bucket", "members", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
+
+
 def jaccard_join(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_links (other documents at or over the threshold), component_id, kept.
 
     component_id is the smallest doc_id reachable by links, kept whether that is the row's own. Documents with fewer than n words
     are one gram of all of them; documents without words (null text too) link with nothing. Equal texts link with each other.
     A null doc_id counts as the least id, and component_id is null where it leads. Rows that share an id are one document.
-    An empty table gives an empty one. Columns other than doc_id and text are not read.
+    Texts are read whole, however long. An empty table gives an empty one. Columns other than doc_id and text, whatever their names, are
+    not read.
     """
-    base = docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("d"))
+    base = bounded(docs).select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("d"))
     signed = materialize(base.select("d", "text").mapInArrow(lambda it: _signatures(it, n), "d long, set_a long, set_b long, n int, bands array<long>, sketch binary"))
     ids = signed.select("d", "set_a", "set_b").distinct()
     classes = ids.groupBy("set_a", "set_b").agg(F.min("d").alias("lead"), F.count("*").alias("members"))
@@ -264,14 +340,12 @@ def jaccard_join(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD,
     reps = materialize(signed.join(leads, ["d", "set_a", "set_b"]).dropDuplicates(["d", "set_a", "set_b"]).select("d", "members", "n", "bands", "sketch"))
     near = components(_candidates(reps, threshold, tolerance))
     known = reps.groupBy("d").agg(F.max("members").alias("members"), F.sum("n").alias("n"))
-    sized = near.withColumnRenamed("node", "d").join(known, "d")
-    sized = sized.join(sized.groupBy("component").agg(F.count("*").alias("size"), F.sum("n").alias("grams")), "component")
-    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int")
-    sized = sized.withColumn("block", F.pmod(F.xxhash64("d"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    sized = sized.select("d", "component", "members", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
-    texts = base.select("d", "text").join(sized, "d")
-    groups = texts.groupBy("component", "one", "two")
-    verified = materialize(groups.applyInPandas(lambda key, x: _verify(key, x, n, threshold), VERIFIED))
+    sized = _blocked(near.withColumnRenamed("node", "d").join(known, "d"), ["component"])
+    few = sized.filter(F.col("blocks") <= MOST_BLOCKS).withColumn("bucket", F.lit(None).cast("long"))
+    many = sized.filter(F.col("blocks") > MOST_BLOCKS).drop("blocks", "block").join(reps.select("d", F.explode("bands").alias("bucket")), "d")
+    pairs = _paired(few).unionByName(_paired(_blocked(many, ["component", "bucket"])))
+    groups = base.select("d", "text").join(pairs, "d").groupBy("component", "bucket", "one", "two")
+    verified = materialize(groups.applyInPandas(lambda key, x: _verify(key, x, n, threshold, tolerance), VERIFIED))
     linked = verified.filter("d is not null").groupBy("d").agg(F.sum("links").alias("links"))
     final = components(verified.filter("a is not null").select("a", "b"))
     led = member.join(linked.withColumnRenamed("d", "lead"), "lead", "left").join(final.withColumnRenamed("node", "lead"), "lead", "left")

@@ -7,17 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from loomspark.llm import embedding_dedup as embeddings
+from loomspark.llm import jaccard_join as jaccard
 from loomspark.llm import quality_rules as rules
+from loomspark.llm import substring_dedup as substrings
+from loomspark.llm import suffix_dedup as suffixes
 from loomspark.llm import warc
 from loomspark.llm.common import spread, table
-from loomspark.llm.embedding_dedup import embedding_dedup
-from loomspark.llm.jaccard_join import jaccard_join
 from loomspark.llm.language_id import language_id
 from loomspark.llm.license_scan import license_scan
 from loomspark.llm.mixing import mix
 from loomspark.llm.packing import best_fit_packing
-from loomspark.llm.substring_dedup import substring_dedup
-from loomspark.llm.suffix_dedup import suffix_dedup
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,11 +32,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join(table(spark, sf_dir, "documents"))
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents"))
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup(table(spark, sf_dir, "documents"), with_text=False)
+    return substrings.substring_dedup(table(spark, sf_dir, "documents"), with_text=False)
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,13 +52,13 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embedding_dedup(table(spark, sf_dir, "embeddings"))
+    return embeddings.embedding_dedup(table(spark, sf_dir, "embeddings"))
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup(table(spark, sf_dir, "documents"), with_text=False)
+    return suffixes.suffix_dedup(table(spark, sf_dir, "documents"), with_text=False)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op2_warc, op3_language_id, op4_ngram_jaccard_join, op5_substring_dedup, op6_license_scan, op7_best_fit_packing, op8_source_mixing, op9_embedding_dedup, op10_suffix_dedup)}
 
-ORACLES: dict[str, str] = {"op1_quality_rules": rules.ORACLE, "op2_warc": warc.ORACLE, "op9_embedding_dedup": embeddings.ORACLE}
+ORACLES: dict[str, str] = {"op1_quality_rules": rules.ORACLE, "op2_warc": warc.ORACLE, "op4_ngram_jaccard_join": jaccard.ORACLE, "op5_substring_dedup": substrings.ORACLE, "op9_embedding_dedup": embeddings.ORACLE, "op10_suffix_dedup": suffixes.ORACLE}

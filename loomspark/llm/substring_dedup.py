@@ -74,3 +74,15 @@ def substring_dedup(docs: DataFrame, length: int = 20, gram: int = GRAM, with_te
     both = rows.join(repeated_spans(spec, rows), ["d", "th"], "left").select("doc_id", "text", _spans_or_none())
     schema = f"doc_id {dict(docs.dtypes)['doc_id']}, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
     return both.mapInArrow(lambda it: _cut_words(it, with_text), schema)
+
+
+ORACLE = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS k
+      FROM (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM w WHERE len(w) >= 20))),
+x AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS j, unnest(w) AS word FROM w),
+gone AS (SELECT DISTINCT doc_id, i + o AS j FROM g, range(0, 20) AS t(o) WHERE k > 1),
+k AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS kept FROM x ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id)
+SELECT w.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k ON w.doc_id = k.doc_id
+"""

@@ -75,3 +75,18 @@ def suffix_dedup(docs: DataFrame, length: int = 200, gram: int = GRAM, with_text
 
 def _spans_or_none():
     return F.coalesce("spans", F.array().cast("array<struct<s:long,e:long>>")).alias("spans")
+
+
+ORACLE = """
+WITH t AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+g AS (SELECT doc_id, i, md5_number(b[i:i + 199]) AS g FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - 198)) AS i FROM t WHERE octet_length(b) >= 200)),
+r AS (SELECT doc_id, i FROM g WHERE g IN (SELECT g FROM g GROUP BY g HAVING count(*) > 1)),
+e AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS n FROM r),
+s AS (SELECT doc_id, i AS s, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM e WHERE p IS NULL OR i - p > 200),
+z AS (SELECT doc_id, i + 200 AS z, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM e WHERE n IS NULL OR n - i > 200),
+v AS (SELECT doc_id, s, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY s), 1) AS was FROM s JOIN z USING (doc_id, k)),
+h AS (SELECT doc_id, count(*) AS n_spans, sum(z - s) AS n_removed, max(z) AS last, string_agg(CASE WHEN s > was THEN hex(b[was:s - 1]) ELSE '' END, '' ORDER BY s) AS kept FROM v JOIN t USING (doc_id) GROUP BY doc_id)
+SELECT t.doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, '') || CASE WHEN coalesce(last, 1) <= octet_length(b) THEN hex(b[coalesce(last, 1):octet_length(b)]) ELSE '' END)) AS kept_sha256
+FROM t LEFT JOIN h ON t.doc_id = h.doc_id
+"""
