@@ -2,8 +2,9 @@
 
 ARC headers of version 1 (5 fields) and 2 (10 fields) are parsed with their declared lengths; each record becomes a WARC record
 with a synthesised identifier, timestamp, type and digests. Files are rows (path, content), as Spark's binaryFile source gives
-them, plain or gzipped, so inputs may be in any store. Repeated payloads become revisits of one response: only digests are
-compared, payloads never meet. WARC files are written by Spark's own writer, so a lost executor leaves no half file.
+them, plain or gzipped, so inputs may be in any store; a file is decompressed and parsed as a stream, record after record. Repeated
+payloads become revisits of one response: only digests are compared, payloads never meet. WARC files are written by Spark's own
+writer, so a lost executor leaves no half file; they hold a bounded number of bytes, and each record is a gzip member of its own.
 """
 
 from __future__ import annotations
@@ -11,19 +12,26 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import materialize, shared_dir
+from loomspark.llm.common import bounded, materialize, partitions, shared_dir
 
 #: Smallest payload for which a revisit is written.
 LEAST_REVISIT = 1000
 #: Bytes of an ARC file made by to_arc, about.
 ARC_BYTES = 8 << 20
+#: Bytes of payload in a WARC file, about; a file holds one record at least.
+FILE_BYTES = 256 << 20
+#: Bytes of a gzip member at most. Its last byte, the highest of its length, is then zero.
+_MEMBER = (16 << 20) - 1
 DATE = "20240101000000"
 _FIELDS = {1: "URL IP-address Archive-date Content-type Archive-length", 2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"}
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
@@ -42,10 +50,12 @@ def _batch(rows: list[dict], names: list[str] | None = None) -> pa.RecordBatch:
 def _to_arc(batches: Iterator[pa.RecordBatch], date: str) -> Iterator[pa.RecordBatch]:
     held: list[bytes] = []
     size, made = 0, 0
+    task = TaskContext.get()
+    part = task.partitionId() if task else 0
 
     def file() -> pa.RecordBatch:
         version = 1 + made % 2
-        name = f"pages-{made:05d}.arc"
+        name = f"pages-{part:05d}-{made:05d}.arc"
         about = f"{version} 0 pages\n{_FIELDS[version]}\n".encode()
         more = b"" if version == 1 else f" 200 - - 0 {name}".encode()
         head = f"filedesc://{name} 0.0.0.0 {date} text/plain".encode() + more + b" %d\n" % len(about) + about
@@ -76,7 +86,7 @@ def _to_arc(batches: Iterator[pa.RecordBatch], date: str) -> Iterator[pa.RecordB
 def to_arc(pages: DataFrame, date: str = DATE) -> DataFrame:
     """pages (page_id, url, html) as ARC files (path, content), of version 1 and 2 by turns; the html is UTF-8, null is empty."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("binary").alias("html"))
-    return rows.mapInArrow(lambda it: _to_arc(it, date), "path string, content binary")
+    return bounded(rows).mapInArrow(lambda it: _to_arc(it, date), "path string, content binary")
 
 
 def _iso(date: str) -> str:
@@ -110,27 +120,42 @@ def _number(text: str | None) -> int | None:
         return None
 
 
+def _opened(content: bytes) -> io.BufferedIOBase:
+    return gzip.GzipFile(fileobj=io.BytesIO(content)) if content[:2] == b"\x1f\x8b" else io.BufferedReader(io.BytesIO(content))
+
+
+def _parsed(content: bytes, parse) -> Iterator[dict]:
+    """Rows of one file; where its compression breaks off, a row that says so ends it."""
+    with _opened(content) as f:
+        try:
+            yield from parse(f)
+        except (EOFError, OSError, zlib.error) as e:
+            yield {"type": "error", "error": str(e) or type(e).__name__}
+
+
 def parse_arc(content: bytes) -> Iterator[dict]:
     """Records of one ARC file. What can't be parsed ends the file with a row that says so."""
-    if content[:2] == b"\x1f\x8b":
-        content = gzip.decompress(content)
-    at, version = 0, 1
-    while at < len(content):
-        if content[at : at + 1] in b"\r\n":
-            at += 1
+    return _parsed(content, _arc)
+
+
+def _arc(f) -> Iterator[dict]:
+    version = 1
+    while True:
+        at, line = f.tell(), f.readline()
+        if not line:
+            return
+        header = line.rstrip(b"\r\n")
+        if not header:
             continue
-        end = content.find(b"\n", at)
-        line = content[at : end if end >= 0 else len(content)].rstrip(b"\r")
-        if line.startswith(b"filedesc:"):
-            version = 2 if content[end + 1 : end + 2] == b"2" else 1
-        parts = line.rsplit(b" ", 4 if version == 1 else 9)
+        if header.startswith(b"filedesc:"):
+            version = 2 if f.peek(1)[:1] == b"2" else 1
+        parts = header.rsplit(b" ", 4 if version == 1 else 9)
         length = _number(parts[-1].decode("ascii", "replace"))
-        if end < 0 or len(parts) != (5 if version == 1 else 10) or length is None or length < 0:
+        if not line.endswith(b"\n") or len(parts) != (5 if version == 1 else 10) or length is None or length < 0:
             yield {"type": "error", "error": f"no ARC header at byte {at}"}
             return
-        body = content[end + 1 : end + 1 + length]
+        body = f.read(length)
         uri, ip, date, kind = (p.decode("utf-8", "replace") for p in parts[:4])
-        at = end + 1 + length
         if uri.startswith("filedesc:"):
             continue
         head, payload = _http(body)
@@ -162,7 +187,7 @@ def arc_records(files: DataFrame, columns: list[str] | None = None) -> DataFrame
     names = columns or _NAMES
     schema = ", ".join(x for x in RECORD.split(", ") if x.split()[0] in names)
     names = [x.split()[0] for x in schema.split(", ")]
-    return files.select("content").mapInArrow(lambda it: _records(it, parse_arc, names), schema)
+    return bounded(files).select("content").mapInArrow(lambda it: _records(it, parse_arc, names), schema)
 
 
 def revisits(records: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
@@ -175,6 +200,14 @@ def revisits(records: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     return rows.join(lead, "payload_digest").filter("page_id < lead").select("record_id", "refers_to").dropDuplicates(["record_id"])
 
 
+def _packed(record: bytes) -> bytes:
+    """One gzip member, more for a record beyond 16 MB, without the last byte: that is zero, and the writer's line end."""
+    out = []
+    for k in range(0, len(record), _MEMBER):
+        out.append(gzip.compress(record[k : k + _MEMBER], 1, mtime=0))
+    return b"".join(out)[:-1]
+
+
 def _render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first = True
     for batch in batches:
@@ -183,7 +216,7 @@ def _render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if first:
                 about = b"software: archive converter\r\nformat: WARC File Format 1.0\r\n"
                 name = uuid.uuid5(_SPACE, f"info|{r['record_id']}")
-                out.append(f"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:{name}>\r\nWARC-Date: {r['date']}\r\nContent-Type: application/warc-fields\r\nContent-Length: {len(about)}\r\n\r\n".encode() + about + b"\r\n\r")
+                out.append(_packed(f"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:{name}>\r\nWARC-Date: {r['date']}\r\nContent-Type: application/warc-fields\r\nContent-Length: {len(about)}\r\n\r\n".encode() + about + b"\r\n\r\n"))
                 first = False
             block = r["http"] + (b"" if r["refers_to"] else r["payload"])
             head = ["WARC/1.0", f"WARC-Type: {'revisit' if r['refers_to'] else r['type']}", f"WARC-Record-ID: {r['record_id']}", f"WARC-Date: {r['date']}", f"WARC-Target-URI: {r['uri']}", f"WARC-IP-Address: {r['ip']}"]
@@ -193,31 +226,42 @@ def _render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 head += ["WARC-Truncated: length"]
             digest = base64.b32encode(bytes.fromhex(r["payload_digest"])).decode()
             head += [f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Block-Digest: sha1:{base64.b32encode(hashlib.sha1(block).digest()).decode()}", f"Content-Type: {r['content_type']}", f"Content-Length: {len(block)}"]
-            out.append("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r")  # the writer ends the line
+            out.append(_packed("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"))
         blob = pa.array(out, pa.binary())
         yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.string(), len(blob), blob.buffers())], ["value"])
 
 
 def write_warc(records: DataFrame, path: str) -> None:
-    """One gzipped WARC file for each partition that has rows, each with a warcinfo record in front. Error rows are left out."""
-    rows = records.filter("type != 'error'").mapInArrow(_render, "value string")
-    rows.write.option("compression", "gzip").option("lineSep", "\n").option("zlib.compress.level", "BEST_SPEED").text(path)
+    """One WARC file for each partition that has rows, its records gzip members, a warcinfo record in front. Error rows are left out.
+
+    Rows go through Spark's text writer as bytes; a partition must hold what a file may, see :func:`convert`.
+    """
+    rows = bounded(records.filter("type != 'error'")).mapInArrow(_render, "value string")
+    rows.write.option("compression", "none").option("lineSep", "\x00").text(path)
 
 
 def parse_warc(content: bytes) -> Iterator[dict]:
     """Records of one WARC file, gzipped or not, save warcinfo."""
-    if content[:2] == b"\x1f\x8b":
-        content = gzip.decompress(content)
-    at = content.find(b"WARC/")
-    while 0 <= at < len(content):
-        end = content.find(b"\r\n\r\n", at)
-        head = content[at:end]
+    return _parsed(content, _warc)
+
+
+def _warc(f) -> Iterator[dict]:
+    while True:
+        at, line = f.tell(), f.readline()
+        if not line:
+            return
+        if not line.strip():
+            continue
+        head = []
+        while line.strip():
+            head.append(line)
+            line = f.readline()
+        head = b"".join(head)
         length = _number(_field(head, b"content-length"))
-        if end < 0 or not head.startswith(b"WARC/") or length is None:
+        if not head.startswith(b"WARC/") or length is None:
             yield {"type": "error", "error": f"no WARC header at byte {at}"}
             return
-        block = content[end + 4 : end + 4 + length]
-        at = end + 4 + length + 4
+        block = f.read(length)
         kind = _field(head, b"warc-type")
         if kind == "warcinfo":
             continue
@@ -242,17 +286,20 @@ def read_warc(spark: SparkSession, path: str, columns: list[str] | None = None)
     schema = ", ".join(x for x in RECORD.split(", ") if x.split()[0] in names)
     names = [x.split()[0] for x in schema.split(", ")]
     files = spark.read.format("binaryFile").load(path)
-    return files.select("content").mapInArrow(lambda it: _records(it, parse_warc, names), schema)
+    return bounded(files).select("content").mapInArrow(lambda it: _records(it, parse_warc, names), schema)
 
 
-def convert(files: DataFrame, path: str, least: int = LEAST_REVISIT) -> None:
-    """ARC files (path, content) to WARC files under path; repeated payloads become revisits.
+def convert(files: DataFrame, path: str, least: int = LEAST_REVISIT, file_bytes: int = FILE_BYTES) -> None:
+    """ARC files (path, content) to WARC files of about ``file_bytes`` under path; repeated payloads become revisits.
 
-    Empty and truncated files, records without payload and repeated records are converted as they are; files are independent.
+    Files are read twice, for the digests and for the records, and not stored in between. Empty and truncated files, records
+    without payload and repeated records are converted as they are; files are independent. Other columns are not read.
     """
-    small = arc_records(files, ["record_id", "payload_bytes", "payload_digest", "page_id"])
-    again = revisits(small.filter("record_id is not null"), least)
-    records = arc_records(files).drop("refers_to")
+    small = materialize(arc_records(files, ["record_id", "payload_bytes", "payload_digest", "page_id"]).filter("record_id is not null"))
+    again = materialize(revisits(small, least))
+    held = small.agg(F.sum("payload_bytes")).first()[0] or 0
+    n = max(partitions(files.sparkSession), -(-held // file_bytes))  # records are hashed, so files are of about equal size
+    records = arc_records(files).drop("refers_to").repartition(n, "record_id")
     write_warc(records.join(again, "record_id", "left"), path)
 
 
@@ -260,7 +307,8 @@ def convert_pages(pages: DataFrame) -> DataFrame:
     """Pages as ARC, converted and read back: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
     pages (page_id, url, html): null html is an empty payload, a null url about:blank; a null page_id comes back as null. Rows that
-    repeat are records each. An empty table gives no file and an empty result.
+    repeat are records each, and all responses where they tie for the largest page_id. Html is kept whole, however long. Other columns,
+    whatever their names, are not read. An empty table gives no file and an empty result.
     """
     spark = pages.sparkSession
     path = shared_dir(spark)

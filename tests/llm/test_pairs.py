@@ -309,3 +309,46 @@ def test_embeddings_edges(spark):
     assert got == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True)]
     lone = embedding_dedup.embedding_dedup(twice.filter("vec_id = 3")).collect()
     assert [(x.n_links, x.audited_recall) for x in lone] == [(0, None)]
+
+
+def test_archive_files_are_bounded_and_records_are_members(spark):
+    import glob
+    import os
+    import zlib
+
+    path = shared_dir(spark)
+    bodies = [("%d " % i + "".join(random.Random(i).choices("abcdefgh", k=5000))) for i in range(200)]
+    pages = spark.createDataFrame([(i, f"http://h/{i}", b) for i, b in enumerate(bodies)], "page_id long, url string, html string")
+    warc.convert(warc.to_arc(pages), path, file_bytes=20_000)
+    names = [x for x in glob.glob(f"{path}/part-*") if os.path.getsize(x)]
+    assert len(names) > 25
+    records = 0
+    for name in names:
+        content, members = open(name, "rb").read(), []
+        assert len(gzip.decompress(content)) < 150_000
+        while content:
+            one = zlib.decompressobj(31)
+            members.append(one.decompress(content))
+            assert one.eof
+            content = one.unused_data
+        assert all(x.startswith(b"WARC/1.0\r\n") and x.count(b"WARC-Type:") == 1 for x in members) and b"warcinfo" in members[0]
+        records += len(members) - 1
+    assert records == 200
+    back = {r.page_id: bytes(r.payload).decode() for r in warc.read_warc(spark, path).collect()}
+    assert back == dict(enumerate(bodies))
+
+
+def test_archives_of_long_and_equal_pages(spark):
+    long = "é" * 9_000_000
+    data = [(1, "u", long), (2, "v", long), (3, "w", "x" * 1000), (3, "w", "x" * 1000), (2, "y", "x" * 1000), (4, "z", "x" * 999), (5, "z", "x" * 999)]
+    df = spark.createDataFrame(data, "page_id long, url string, html string").withColumns({c: F.lit("c") for c in ("content", "path", "payload", "refers_to", "payload_bytes")})
+    got = sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.convert_pages(df).collect())
+    assert got[0] == (1, 18_000_000, "revisit", 2) and (2, 18_000_000, "response", None) in got
+    assert [x for x in got if x[1] == 1000] == [(2, 1000, "revisit", 3), (3, 1000, "response", None), (3, 1000, "response", None)]
+    assert [x[2] for x in got if x[1] == 999] == ["response"] * 2
+
+
+def test_a_file_that_breaks_off_is_told():
+    content = gzip.compress(b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n" * 50)
+    rows = list(warc.parse_warc(content[:-20]))
+    assert rows[-1]["type"] == "error" and list(warc.parse_arc(content[:20]))[-1]["type"] == "error"
