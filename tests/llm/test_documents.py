@@ -66,6 +66,21 @@ def test_cascade_order_changes_nothing(spark):
     assert scores == sorted(scores, reverse=True)
 
 
+def test_accepted_are_the_kept(spark):
+    extra = [(200, "a b c " * 40, "en", "a"), (202, " ".join(f"w{i}***" for i in range(90)), "en", "a"), (203, " ".join(f"WORD{i}!!" for i in range(90)), "en", "a"), (204, "x" * 5_000_000, "en", "a"), (205, "one two three " * 200_000, "en", "a"), (206, "\n" * 2_000_000, "en", "a")]
+    docs = frame(spark, rows() + extra)
+    got = quality_rules.accepted(docs)
+    assert got.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in got.collect()) == sorted(str(r.doc_id) for r in quality_rules.quality_rules(docs).filter("kept").collect())
+    assert quality_rules.accepted(docs.limit(0)).count() == 0
+
+
+def test_costs_tell_cheap_rules_from_costly_ones(spark):
+    sample = spark.createDataFrame([(" ".join(f"w{i * j % 97}" for j in range(400)),) for i in range(100)], "__text string").coalesce(1).persist()
+    cost = quality_rules.costs(sample, (*quality_rules.BASE, *quality_rules.RULES))
+    assert cost["repeated_windows"][0] > 2 * cost["few_words"][0] and all(t > 0 and s >= 0 for t, s in cost.values())
+
+
 def test_language(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
     got = language_id(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
