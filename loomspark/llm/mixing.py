@@ -1,7 +1,7 @@
 """Temperature mixing of sources, with DataFrame functions alone.
 
-A source with share p of the tokens gets weight p**a / sum of all. The exponent a is bisected, in millionths: the smallest one,
-so the flattest mixture, with which no source is repeated more often than a limit, or with which the entropy of the weights
+A source with share p of the tokens gets weight p**a / sum of all. The exponent a is bisected in millionths, 32 ways at a time so that
+four small jobs do: the smallest one, so the flattest mixture, with which no source is repeated more often than a limit, or with which the entropy of the weights
 is at most a target. Weights become token budgets; a budget is spent in epochs, each a new permutation of the source's blocks
 and of the documents within each block, the last one cut off where the budget ends.
 """
@@ -63,13 +63,14 @@ def mix(docs: DataFrame, max_repeat: float | None = MAX_REPEAT, entropy: float |
     block_key and doc_key; sorted by epoch, block_key, doc_key the rows of a source are its permuted blocks.
 
     Tokens are words. budget is in multiples of all tokens; None is the least with which every document is used. Null text
-    has no tokens; a null source is a source of its own; sources without tokens are taken once. Ties of doc_key (repeated rows,
-    null ids) are in or out together. Columns that bear a name made here are replaced. An empty table gives an empty one.
+    has no tokens; a null source is a source of its own; sources without tokens are taken once. Blocks are dealt by id and text, so
+    rows of one id, or of none, spread over them; rows equal in both tie and are in or out together. Texts are counted whole. Columns
+    that bear a name made here, or one that begins with __m_, are replaced, others kept. An empty table gives an empty one.
     """
     made = ["n_tokens", "epoch", "block", "block_key", "doc_key"]
     kept = [c for c in docs.columns if c not in made and not c.startswith("__m_")]
-    sized = docs.select(*kept, F.size(words(F.coalesce("text", F.lit("")))).cast("long").alias("n_tokens"), _key().alias("__m_s"))
-    meta = materialize(sized.select("doc_id", "n_tokens", "__m_s"))
+    sized = docs.select(*kept, F.size(words(F.coalesce("text", F.lit("")))).cast("long").alias("n_tokens"), _key().alias("__m_s"), F.xxhash64("doc_id", "text").alias("__m_d"))
+    meta = materialize(sized.select("__m_d", "n_tokens", "__m_s"))
     totals = meta.groupBy("__m_s").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n"))
     total = totals.agg(F.sum("tokens")).first()[0] or 0
     sources = materialize(totals.withColumn("share", F.col("tokens") / F.lit(float(max(1, total)))))
@@ -86,8 +87,8 @@ def mix(docs: DataFrame, max_repeat: float | None = MAX_REPEAT, entropy: float |
         plan = F.broadcast(plan)
 
     def keyed(x: DataFrame, epoch) -> DataFrame:
-        x = x.withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("__m_blocks")).cast("int"))
-        return x.withColumns({"block_key": F.xxhash64(F.lit(seed), epoch, "__m_s", "block"), "doc_key": F.xxhash64(F.lit(seed + 1), epoch, "doc_id")})
+        x = x.withColumn("block", F.pmod(F.xxhash64("__m_d", F.lit(seed)), F.col("__m_blocks")).cast("int"))
+        return x.withColumns({"block_key": F.xxhash64(F.lit(seed), epoch, "__m_s", "block"), "doc_key": F.xxhash64(F.lit(seed + 1), epoch, "__m_d")})
 
     # where the last epoch ends: first the block, then the document within it
     last = keyed(meta.join(plan, "__m_s"), F.col("__m_full"))

@@ -366,3 +366,10 @@ def test_mixing(spark, monkeypatch, how):
     epochs = collections.Counter((r.doc_id, r.text, r.epoch) for r in got)
     assert max(epochs.values()) <= 2  # the row that is there twice
     assert mixing.mix(spark.createDataFrame([], SCHEMA), **how).count() == 0
+
+
+def test_mixing_spreads_rows_of_one_id(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 10)
+    docs = spark.createDataFrame([(None, f"word {i} and more", "en", "a") for i in range(400)] + [(i, "x y", "en", "b") for i in range(20)], SCHEMA)
+    got = mixing.mix(docs).filter("source = 'a'").collect()
+    assert len({r.block for r in got}) > 20 and len({r.doc_key for r in got if r.epoch == 0}) == 400

@@ -231,6 +231,10 @@ def test_stages(spark, sf):
 
 def test_stages_take_odd_documents(spark, sf):
     docs = frame(spark).withColumn("n_chars", F.length("text").cast("long"))
+    docs = docs.withColumns({c: F.lit("mine") for c in ("epoch", "block", "block_key", "n_tokens", "base_failed", "n_links", "component_id", "row", "carried", "removed", "kept_text")})
+    for _, f in corpus_pipeline.STAGES[:-1]:
+        got = f(spark, docs, sf)
+        assert got.columns == docs.columns and {r.block for r in got.collect()} == {"mine"} == {r.row for r in got.collect()}
     for _, f in corpus_pipeline.STAGES:
         assert f(spark, docs, sf).count() > 0
         assert f(spark, docs.limit(0), sf).count() == 0
