@@ -1,4 +1,8 @@
-"""From raw documents to packed training sequences: five of the training-data operators, one after another."""
+"""From raw documents to packed training sequences: five of the training-data operators, one after another.
+
+Every stage takes texts whole, however long, null and empty ones too, repeated rows and null ids as rows of their own, columns of any
+name beside those of documents, and gives no rows for an empty table. All but the last return the columns that they were given.
+"""
 
 from __future__ import annotations
 
@@ -9,13 +13,13 @@ from loomspark.llm.common import materialize, table
 from loomspark.llm.jaccard_join import jaccard_join
 from loomspark.llm.mixing import mix
 from loomspark.llm.packing import best_fit_packing
-from loomspark.llm.quality_rules import quality_rules
+from loomspark.llm.quality_rules import accepted
 from loomspark.llm.suffix_dedup import suffix_dedup
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base conditions and every rule accept."""
-    return quality_rules(docs).filter("kept").select(*docs.columns)
+    """Documents that the base conditions and every rule accept; null and empty texts go."""
+    return accepted(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +36,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its source's weight takes it, once at least."""
-    return mix(docs).select(*docs.columns)
+    """Each document as often as its source's weight takes it, once at least. The whole row comes along, whatever its columns are called."""
+    return mix(docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("row"))).select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +47,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality rules", quality), ("n-gram Jaccard join", near_duplicates), ("suffix-array dedup", repeated_passages), ("mixing sources to target weights", mixture), ("best-fit packing", packing)]
 
-#: SQL can express neither minimum hashes nor packing; the stages are tested one by one against brute force.
+#: SQL can't express packing by token ids; the stages are tested one by one against brute force.
 ORACLE_SQL = None
 
 
