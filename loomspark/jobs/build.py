@@ -36,19 +36,24 @@ class Registry:
 def build(pages: DataFrame, ledger: DataFrame, registry: Registry) -> tuple[DataFrame, DataFrame]:
     """Pages (url, html) that are new, converted by the handler of their longest prefix.
 
-    Returns outputs (source, text, ai_enhanced, error; error rows have no text) and outcomes (url, status: processed, skipped, failed).
-    Only urls are shuffled to decide what is new and who handles it; pages meet that decision once.
+    A url that is there more than once is handled once, with the html of its first row: the one of least pos, if pages have that column,
+    else the least html. Returns outputs (source, text, ai_enhanced, error; error rows have no text) and outcomes (url, status:
+    processed, skipped, failed). Only urls are shuffled to decide what is new and who handles it; pages meet that decision once and
+    are written by handler, so each handler reads its own alone. Outputs are written once, and outcomes are read off what was written.
     """
     spark = pages.sparkSession
     urls = unseen_urls(dedup_urls(pages.select("url", F.lit(0).alias("pos"))), ledger)
     routed = materialize(route_urls(urls.select("url"), registry.table(spark)))
     todo = pages.join(routed.filter("handler is not null"), "url")
+    html = F.min_by("html", "pos") if "pos" in pages.columns else F.min("html")
+    todo = materialize(todo.groupBy("url", "handler").agg(html.alias("html")).select("url", "html", "handler"), by="handler")
     outputs: DataFrame | None = None
     for name, handler in registry.handlers.items():
         made = handler(todo.filter(F.col("handler") == name).select("url", "html")).select(*OUTPUT)
         outputs = made if outputs is None else outputs.unionByName(made)
     if outputs is None:
         outputs = spark.createDataFrame([], "source string, text string, ai_enhanced boolean, error string")
+    outputs = materialize(outputs)
     good = outputs.groupBy(F.col("source").alias("url")).agg(F.max(F.col("error").isNull()).alias("good"))
     status = F.when(F.col("handler").isNull(), "skipped").when(F.coalesce("good", F.lit(False)), "processed").otherwise("failed")
     return outputs, routed.join(good, "url", "left").select("url", status.alias("status"))

@@ -348,8 +348,9 @@ SELECT CASE WHEN handler IS NULL THEN 'skipped' WHEN good THEN 'processed' ELSE
 def corpus_build(spark, sf_dir):
     from loomspark.jobs.build import build
 
-    pages = table(spark, sf_dir, "pages").select("url", "html")
-    return frontier.run_summary(build(pages, _ledger(spark, sf_dir), _builder())[1])
+    pages = table(spark, sf_dir, "pages").select("url", "html", F.col("page_id").alias("pos"))
+    again = pages.filter("pos % 4 = 0").select("url", F.lit("<p>fetched again</p>").alias("html"), (F.col("pos") + 1_000_000_000).alias("pos"))
+    return frontier.run_summary(build(pages.unionByName(again), _ledger(spark, sf_dir), _builder())[1])
 
 
 @query(f"WITH {_REGISTRY_SQL}, {_ROUTED_SQL} SELECT url, pos, prefix FROM c")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loomspark.functions import page_html, wiki_html
 from loomspark.operators.chats import assistant, message, text_content
-from loomspark.session import lookup
+from loomspark.session import bounded, lookup
 
 #: Plain HTML of an article that makes a chat is shorter than this. Fixed value.
 ARTICLE_MOST = 100
@@ -33,17 +33,17 @@ def _converted(pages: DataFrame, keep: list[str], made: str, convert: Callable[[
 
     kinds = dict(pages.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + f", {made}, error string"
-    return pages.select(*keep, "html").mapInPandas(run, schema)
+    return bounded(pages).select(*keep, "html").mapInPandas(run, schema)
 
 
-def wiki_plain_html(pages: DataFrame) -> DataFrame:
-    """Pages (url, html) to url, plain, pretty, error."""
+def wiki_plain_html(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Pages (url, html) to url (or the columns to keep), plain, pretty, error."""
 
     def convert(text: str) -> dict:
         plain = wiki_html.plain_html(text)
         return {"plain": plain, "pretty": wiki_html.pretty(plain)}
 
-    return _converted(pages, ["url"], "plain string, pretty string", convert)
+    return _converted(pages, keep or ["url"], "plain string, pretty string", convert)
 
 
 def wiki_text_rows(pages: DataFrame, version: str) -> DataFrame:
@@ -51,9 +51,9 @@ def wiki_text_rows(pages: DataFrame, version: str) -> DataFrame:
 
     Where the HTML can't be converted the raw row is there all the same.
     """
-    raw = pages.select(F.concat(F.lit(version), F.col("raw")).alias("text"), F.col("url").alias("source"))
-    plain = wiki_plain_html(pages).filter("error is null").select(F.concat(F.lit(version), F.col("pretty")).alias("text"), F.col("url").alias("source"))
-    return raw.unionByName(plain).withColumn("ai_enhanced", F.lit(False))
+    both = wiki_plain_html(pages, keep=["url", "raw"])
+    texts = F.when(F.col("error").isNull(), F.array("raw", "pretty")).otherwise(F.array("raw"))
+    return both.select(F.concat(F.lit(version), F.explode(texts)).alias("text"), F.col("url").alias("source"), F.lit(False).alias("ai_enhanced"))
 
 
 def law_html_rows(pages: DataFrame) -> DataFrame:

@@ -2,24 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.functions import law_xml
 from loomspark.functions.text import strip_ws
 from loomspark.operators.chats import assistant, message, text_content
-from loomspark.session import lookup
+from loomspark.session import bounded, lookup
 
 LANGUAGES = ("de", "fr", "it")
 _ARTICLES = "array<struct<key:string,article_id:string,eId:string,heading:string,markdown:string,path:string>>"
 _META = "struct<sr_number:string,country:string,eli:string,eli_expression:string,language:string,title:string,short_title:string,titles:map<string,string>,dates:map<string,string>>"
 
 
-def law_xml_convert(rows: DataFrame, options: law_xml.Options = law_xml.Options()) -> DataFrame:
-    """Rows (row_id, title, lang, xml) with pretty_xml, markdown, meta, articles and error instead of xml. A bad act ends no job."""
+def law_xml_convert(rows: DataFrame, convert: Callable[[str, str], dict], pretty: Callable[[str], str]) -> DataFrame:
+    """Rows (row_id, title, lang, xml) with pretty_xml, markdown, meta, articles and error instead of xml. A bad act ends no job.
+
+    pretty(xml) lays the XML out; convert(xml, title) gives markdown, meta and articles. Which converter suits a publisher's schema is
+    the caller's choice; an act that fails in the second keeps what the first made of it.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -27,17 +30,15 @@ def law_xml_convert(rows: DataFrame, options: law_xml.Options = law_xml.Options(
             for title, xml in zip(batch["title"], batch["xml"], strict=True):
                 row = dict.fromkeys(("pretty_xml", "markdown", "meta", "articles", "error"))
                 try:
-                    row["pretty_xml"] = law_xml.pretty_xml(xml or "")
-                    found = law_xml.convert(xml, title or "", options)
-                    row |= {k: found[k] for k in ("markdown", "articles")}
-                    row["meta"] = found["meta"] or None
+                    row["pretty_xml"] = pretty(xml or "")
+                    row |= {k: v for k, v in convert(xml or "", title or "").items() if v}
                 except Exception as e:  # noqa: BLE001
                     row["error"] = str(e) or type(e).__name__
                 made.append(row)
             yield pd.concat([batch[["row_id", "title", "lang"]], pd.DataFrame(made, columns=["pretty_xml", "markdown", "meta", "articles", "error"], index=batch.index)], axis=1)
 
     kind = dict(rows.dtypes)["row_id"]
-    return rows.select("row_id", "title", "lang", "xml").mapInPandas(run, f"row_id {kind}, title string, lang string, pretty_xml string, markdown string, meta {_META}, articles {_ARTICLES}, error string")
+    return bounded(rows).select("row_id", "title", "lang", "xml").mapInPandas(run, f"row_id {kind}, title string, lang string, pretty_xml string, markdown string, meta {_META}, articles {_ARTICLES}, error string")
 
 
 def law_candidates(table: DataFrame) -> DataFrame:
@@ -47,12 +48,12 @@ def law_candidates(table: DataFrame) -> DataFrame:
     return table.select("title", lang.alias("lang"), "xml").filter(F.col("lang").isin(*LANGUAGES) & ~F.coalesce(junk, F.lit(True)))
 
 
-def law_csv_rows(table: DataFrame, source: str, prompts: DataFrame) -> DataFrame:
+def law_csv_rows(table: DataFrame, source: str, prompts: DataFrame, convert: Callable[[str, str], dict], pretty: Callable[[str], str]) -> DataFrame:
     """Law table to kind, text, messages, source, ai_enhanced: the XML, the Markdown, and a chat for each article.
 
     prompts: lang, prompt with %TITLE% and %ID%, warning. Of an act that fails midway the XML row stays.
     """
-    acts = law_xml_convert(law_candidates(table).withColumn("row_id", F.lit(0)))
+    acts = law_xml_convert(law_candidates(table).withColumn("row_id", F.lit(0)), convert, pretty)
     acts = acts.join(lookup(prompts), "lang")
     asked = F.replace(F.replace("prompt", F.lit("%TITLE%"), F.coalesce("title", F.lit(""))), F.lit("%ID%"), F.col("a.key"))
     return _fan_out(acts, asked, source)

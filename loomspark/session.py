@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -17,22 +21,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@functools.lru_cache(maxsize=1)
+def _temporary() -> str:
+    root = tempfile.mkdtemp(prefix="loomspark-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def scratch(spark: SparkSession) -> str:
-    """A new folder under the one that the cluster shares; a temporary one only where none is set (tests)."""
+    """A new folder of this application under the one that the cluster shares, spark.checkpoint.dir.
+
+    Without that setting only a local master has a temporary folder to write to; elsewhere executors would not see each other's files.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="loomspark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/loomspark/{uuid.uuid4().hex}"
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
+        root = _temporary()
+    return f"{root.rstrip('/')}/loomspark/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write to the shared folder and read back."""
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch tables. Results that were read from them and not written yet are lost: call it at the end."""
+    root = scratch(spark).rsplit("/", 1)[0]
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def materialize(df: DataFrame, by: str | None = None) -> DataFrame:
+    """Write to the shared folder and read back; by: a column whose values are folders, so that a filter on it reads only these."""
     path = scratch(df.sparkSession)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded(df: DataFrame, most: int = 32 << 20) -> DataFrame:
+    """df, with the session's bound on the bytes of the Arrow batches that go to Python lowered to ``most`` unless it is lower already."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)i?b?", df.sparkSession.conf.get(key).lower()).groups()
+    if not 0 < int(number) << 10 * " kmgtp".index(unit or " ") <= most:
+        df.sparkSession.conf.set(key, str(most))
+    return df
+
+
 def lookup(df: DataFrame, limit: int = SMALL) -> DataFrame:
     """df marked for broadcast if it has at most ``limit`` rows; a larger one is joined by shuffle."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

@@ -33,39 +33,39 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 class _Part(InputPartition):
-    def __init__(self, files: list[str]):
-        self.files = files
+    """A folder with all below it, or only the files that lie in it."""
+
+    def __init__(self, folder: str, deep: bool):
+        self.folder, self.deep = folder, deep
 
 
 class _TreeReader(DataSourceReader):
-    def __init__(self, root: str, batch: int):
-        self.root, self.batch = root, batch
+    def __init__(self, root: str, depth: int):
+        self.root, self.depth = root, depth
 
     def partitions(self) -> list[InputPartition]:
-        """Files in runs of about so many bytes."""
-        parts, now, size = [], [], 0
-        for folder, names, files in os.walk(self.root):
-            names[:] = sorted(n for n in names if n != ".git")
-            for name in sorted(files):
-                path = os.path.join(folder, name)
-                if name == ".git" or not os.path.isfile(path):
-                    continue
-                now.append(path)
-                size += os.path.getsize(path)
-                if size >= self.batch:
-                    parts.append(_Part(now))
-                    now, size = [], 0
-        return [*parts, _Part(now)]
+        """One for each folder ``depth`` levels down, and one for the files of each folder above. The driver lists these levels alone and
+        asks for no file; tasks walk the rest."""
+        parts, level = [], [self.root]
+        for _ in range(self.depth):
+            parts += [_Part(folder, False) for folder in level]
+            level = [e.path for folder in level for e in os.scandir(folder) if e.name != ".git" and e.is_dir(follow_symlinks=False)]
+        return [*parts, *(_Part(folder, True) for folder in level)]
 
     def read(self, partition: _Part) -> Iterator[tuple]:
-        for path in partition.files:
-            with open(path, "rb") as f:
-                yield os.path.relpath(path, self.root), f.read()
+        for folder, names, files in os.walk(partition.folder):
+            names[:] = sorted(n for n in names if n != ".git") if partition.deep else []
+            for name in sorted(files):
+                path = os.path.join(folder, name)
+                if name != ".git" and os.path.isfile(path):
+                    with open(path, "rb") as f:
+                        yield os.path.relpath(path, self.root), f.read()
 
 
 class FileTree(DataSource):
     """Format ``file_tree``: path (relative), content of all regular files below ``path`` but those in .git. Hidden files and those
-    with a leading underscore are there, which Spark's own file sources leave out. The tree must be mounted on every node."""
+    with a leading underscore are there, which Spark's own file sources leave out. ``depth``: levels of folders that become partitions, 1
+    for a folder of repositories. The tree must be mounted on every node."""
 
     @classmethod
     def name(cls) -> str:
@@ -75,12 +75,12 @@ class FileTree(DataSource):
         return "path string, content binary"
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return _TreeReader(self.options["path"], int(self.options.get("batchBytes", 32 << 20)))
+        return _TreeReader(self.options["path"], int(self.options.get("depth", 1)))
 
 
-def read_file_tree(spark: SparkSession, root: str) -> DataFrame:
+def read_file_tree(spark: SparkSession, root: str, depth: int = 1) -> DataFrame:
     spark.dataSource.register(FileTree)
-    return spark.read.format("file_tree").load(root)
+    return spark.read.format("file_tree").option("depth", depth).load(root)
 
 
 def read_law_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from loomspark.operators.generated import RULES, TAIL, repeated_window
 
 OUT = "gen_id string, verdict string, pos long, window string"
-STATE = "tail string, cut long, past boolean, opened boolean, done boolean"
+STATE = "thought string, tail string, cut long, past boolean, opened boolean, done boolean"
 _CLOSE, _OPEN = ("</think>", "<channel|>"), ("<think>", "<|channel>thought")
 #: Characters kept so that a tag split over two tokens is seen.
 _TAG = 32
@@ -31,31 +31,75 @@ def _step(text: str, cut: int, past: bool, opened: bool, token: str) -> tuple[st
     return joined[drop:], cut + drop, past, opened
 
 
-def repetition_guard(tokens: DataFrame, timeout: str | None = "1 hour") -> DataFrame:
+_WIDTH, _LEAST = min(w for w, _ in RULES), min(k for _, k in RULES)
+
+
+def _may_repeat(text: str, new: int) -> bool:
+    """Whether a window that ends in the last ``new`` characters can complete a rule: its last characters, as many as the shortest
+    window has, then stand in the tail as often as the rule of fewest occurrences asks."""
+    for end in range(max(_WIDTH, len(text) - new + 1), len(text) + 1):
+        piece, seen, at = text[end - _WIDTH : end], 0, -1
+        while seen < _LEAST and (at := text.find(piece, at + 1)) >= 0:
+            seen += 1
+        if seen >= _LEAST:
+            return True
+    return False
+
+
+def first_repetition(state: tuple[str, str, int, bool, bool], tokens: Iterator[tuple[str, str]], dialect: str) -> tuple[tuple, tuple[int, str] | None]:
+    """State after some tokens (content, reasoning), and the repetition that the first token to complete one completes.
+
+    The state is the tail of the reasoning, the tail of the content, the characters dropped in front (``fields``: all characters), and
+    whether the reasoning has ended and had begun. Each token is judged alone, so it does not matter how a stream is cut into batches.
+    """
+    thought, text, cut, past, opened = state
+    for content, reasoning in tokens:
+        if dialect == "tags":
+            text, cut, past, opened = _step(text, cut, past, opened, content)
+            grown, new, front = text, len(content), cut
+        else:  # reasoning stands in front of the content, whichever comes first
+            thought, text, cut = (thought + reasoning)[-TAIL:], (text + content)[-TAIL:], cut + len(content) + len(reasoning)
+            past, opened = past or bool(content), opened or bool(reasoning)
+            grown = (thought + text)[-TAIL:]
+            new, front = len(grown) if reasoning and text else len(content) + len(reasoning), cut - len(grown)
+        if _may_repeat(grown, new):
+            found = repeated_window(grown, RULES, TAIL)
+            if found:
+                return (thought, text, cut, past, opened), (front + found[0], found[1])
+    return (thought, text, cut, past, opened), None
+
+
+def repetition_guard(tokens: DataFrame, timeout: str | None = "1 hour", dialect: str = "tags") -> DataFrame:
     """Stream of tokens (gen_id, seq, token) to one row for each generation whose tail repeats: gen_id, verdict (thinking or
     response), pos (in the whole output), window. The first find ends a generation; later tokens of it are ignored.
 
-    The state of a generation is its last characters and a few flags. Within a micro-batch tokens are taken by seq and the tail
-    is checked once after them; a generation without tokens for ``timeout`` is forgotten. None keeps all,
-    which a run over what is there now needs: with a timeout the stream goes on for its sake.
+    Dialect ``tags``: reasoning and response stand in one text, with tags between. ``fields``: tokens also have ``reasoning``, and what is
+    judged is all reasoning with all content behind it.
+
+    The state of a generation is its last characters and a few flags. Tokens are taken by seq within a micro-batch and judged one by
+    one, so the outcome does not depend on how they are cut into batches; a generation without tokens for ``timeout`` is
+    forgotten. None keeps all, which a run over what is there now needs: with a timeout the stream goes on for its sake.
     """
+    if dialect not in ("tags", "fields"):
+        raise ValueError(f"unknown dialect {dialect!r}")
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        text, cut, past, opened, done = state.get if state.exists else ("", 0, False, False, False)
+        thought, text, cut, past, opened, done = state.get if state.exists else ("", "", 0, False, False, False)
         found = None
         if not done:
-            for token in pd.concat(list(batches)).sort_values("seq", kind="stable")["token"]:
-                text, cut, past, opened = _step(text, cut, past, opened, token or "")
-            found = repeated_window(text, RULES, TAIL)
+            rows = pd.concat(list(batches)).sort_values("seq", kind="stable")
+            reasoning = rows["reasoning"] if dialect == "fields" else [""] * len(rows)
+            pairs = ((c if isinstance(c, str) else "", r if isinstance(r, str) else "") for c, r in zip(rows["token"], reasoning, strict=True))
+            (thought, text, cut, past, opened), found = first_repetition((thought, text, cut, past, opened), pairs, dialect)
         done = done or found is not None
-        state.update(("" if done else text, cut, past, opened, done))
+        state.update(("" if done else thought, "" if done else text, cut, past, opened, done))
         if timeout:
             state.setTimeoutDuration(_milliseconds(timeout))
         if found:
-            yield pd.DataFrame({"gen_id": [key[0]], "verdict": ["thinking" if opened and not past else "response"], "pos": [cut + found[0]], "window": [found[1]]})
+            yield pd.DataFrame({"gen_id": [key[0]], "verdict": ["thinking" if opened and not past else "response"], "pos": [found[0]], "window": [found[1]]})
 
     return tokens.groupBy("gen_id").applyInPandasWithState(update, OUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout if timeout else GroupStateTimeout.NoTimeout)
 

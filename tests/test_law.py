@@ -1,48 +1,36 @@
-"""Law XML: hand-written acts, expected Markdown written out from the rules."""
+"""Law tables: candidates, fan-out to text rows and chats, payloads; the converter is the caller's."""
 
 import json
+import xml.etree.ElementTree as ET
 
-from loomspark.functions import law_xml
 from loomspark.operators import law_jobs
 
-ACT = """<akomaNtoso xmlns="http://docs.oasis-open.org/legaldocml/ns/akn/3.0"><act><meta><identification><FRBRWork><FRBRnumber value="1.1"/>
-<FRBRname xml:lang="de" value="Ge&lt;i&gt;setz&lt;/i&gt;" shortForm="G"/><FRBRdate name="jolux:dateEntry" date="2020-01-01"/></FRBRWork>
-<FRBRExpression><FRBRlanguage language="de"/></FRBRExpression></identification></meta>
-<preface><p><docNumber>1.1</docNumber></p><p><docTitle>Gesetz</docTitle></p><p>vom 1. Mai</p></preface>
-<body><title><num>1. Titel</num><heading>Allgemeines<authorialNote><p>Fassung.</p></authorialNote></heading>
-<article eId="art_1"><num><b>Art. 1</b></num><heading>Zweck</heading>
-<paragraph><num>1</num><content><p>Text mit <b> fett </b> und x_y.<authorialNote><p>AS 1</p></authorialNote></p></content></paragraph>
-<paragraph><num>2</num><content><blockList><listIntroduction>Es gilt:</listIntroduction><item><num>a.</num><p>eins</p></item>
-<item><num>b.</num><p>zwei</p><blockList><item><num>1.</num><p>innen</p></item></blockList></item></blockList></content></paragraph></article>
-<article eId="art_1_bis"><num>Art. 1</num><content><table><tr><th>A</th><th>B</th></tr><tr><td>a|b</td><td/></tr><tr><td/><td/></tr></table></content></article>
-<article eId="art_2_a"><content><table><tr><td colspan="2">w</td></tr></table><p>a<br/>b</p></content></article></title></body></act>
-<components><component><doc name="annex"><mainBody><container name="headerOfAnnex"><p>Anhang 1</p></container><p>Ende</p></mainBody></doc></component></components></akomaNtoso>"""
-
-
-def test_act():
-    found = law_xml.convert(ACT, "src")
-    head, _, body = found["markdown"].partition("\n\n")
-    assert head == '---\nsource_file: "src"\nsr_number: "1.1"\nlanguage: "de"\ntitle: "Gesetz"\nshort_title: "G"\ndate_date_entry: 2020-01-01\n---'
-    assert body == (
-        "# Gesetz\n\n**1.1**\n\n## Gesetz\n\n*vom 1. Mai*\n\n## 1. Titel Allgemeines[^1]\n\n### Art. 1  Zweck\n\n"
-        "<sup>1</sup> Text mit  **fett**  und x\\_y.[^2]\n\n<sup>2</sup> Es gilt:\n\n- a. eins\n- b. zwei\n\n  - 1. innen\n\n"
-        "### Art. 1\n\n| A | B |\n| --- | --- |\n| a\\|b |  |\n\n### Art. 2a\n\n<table>\n  <tr>\n    <td colspan=\"2\">w</td>\n  </tr>\n</table>\n\na  \nb\n\n"
-        "## Anhang 1\n\n### Anhang 1\n\nEnde\n\n---\n\n[^1]: Fassung.\n[^2]: AS 1\n"
-    )
-    assert [(a["key"], a["path"]) for a in found["articles"]] == [("Art. 1", "1. Titel Allgemeines"), ("Art. 1 [art_1_bis]", "1. Titel Allgemeines"), ("Art. 2a", "1. Titel Allgemeines")]
-    assert found["articles"][0]["markdown"].endswith("- 1. innen\n\n[^2]: AS 1\n")
+
+def act(*articles):
+    return "<act>" + "".join(f"<article id='{i}'>{t}</article>" for i, t in articles) + "</act>"
+
+
+def convert(xml, title):
+    found = [{"key": f"Art. {a.get('id')}", "article_id": a.get("id"), "eId": f"art_{a.get('id')}", "heading": "", "markdown": f"### {a.text}", "path": title} for a in ET.fromstring(xml)]
+    return {"markdown": f"# {title}", "meta": {"language": "de", "titles": {}, "dates": {}}, "articles": found}
+
+
+def pretty(xml):
+    return xml.replace("><", ">\n<")
 
 
 def test_law_rows(spark):
-    table = spark.createDataFrame([("T", " DE ", ACT), ("U", "fr", "<a><b>cut"), ("V", "en", ACT), ("W", "it", "short"), ("title", "language", "xml of the header row")], "title string, language string, xml string")
+    good = act((1, "Zweck"), (2, "Ort"), ("2a", "Zeit"))
+    table = spark.createDataFrame([("T", " DE ", good), ("U", "fr", "<a><b>cut without an end"), ("V", "en", good), ("W", "it", "short"), ("X", "fr", "<no-script></no-script><!DOCTYPE html>"), ("title", "language", "xml of the header row"), ("Y", "de", None)], "title string, language string, xml string")
     prompts = spark.createDataFrame([("de", "Artikel %ID% von `%TITLE%`?", "Achtung"), ("fr", "Article %ID%?", "Attention")], "lang string, prompt string, warning string")
-    rows = law_jobs.law_csv_rows(table, "src", prompts).collect()
-    assert [r.kind for r in rows].count("text") == 2 and [r.kind for r in rows].count("chat") == 3
-    chat = next(r.messages for r in rows if r.kind == "chat")
-    assert chat[0].content[0].text == "Artikel Art. 1 von `T`?" and chat[1].text.text.startswith("**Achtung**\n\n### Art. 1  Zweck")
-    acts = law_jobs.law_xml_convert(spark.createDataFrame([(1, "T", "de", ACT), (2, "U", "fr", "<a><b>cut"), (3, None, "de", None)], "row_id long, title string, lang string, xml string"))
+    rows = law_jobs.law_csv_rows(table, "src", prompts, convert, pretty).collect()
+    assert [r.kind for r in rows].count("text") == 3 and [r.kind for r in rows].count("chat") == 3
+    assert {r.text for r in rows if r.kind == "text"} == {pretty(good), "# T", "<a>\n<b>cut without an end"}
+    chats = {r.messages[0].content[0].text: r.messages[1].text.text for r in rows if r.kind == "chat"}
+    assert chats["Artikel Art. 1 von `T`?"] == "**Achtung**\n\n### Zweck" and len(chats) == 3
+    acts = law_jobs.law_xml_convert(spark.createDataFrame([(1, "T", "de", good), (2, "U", "fr", "<a><b>cut"), (3, None, "de", None)], "row_id long, title string, lang string, xml string"), convert, pretty)
     assert {r.row_id: r.error is None for r in acts.collect()} == {1: True, 2: False, 3: False}
-    good = acts.filter("row_id = 1")
-    assert set(json.loads(law_jobs.articles_payload(good, flat=True).first().payload)) == {"Art. 1", "Art. 1 [art_1_bis]", "Art. 2a"}
-    rich = json.loads(law_jobs.articles_payload(good, rich=True).first().payload)
-    assert rich["meta"]["sr_number"] == "1.1" and rich["articles"]["Art. 2a"]["eId"] == "art_2_a"
+    one = acts.filter("row_id = 1")
+    assert set(json.loads(law_jobs.articles_payload(one, flat=True).first().payload)) == {"Art. 1", "Art. 2", "Art. 2a"}
+    rich = json.loads(law_jobs.articles_payload(one, rich=True).first().payload)
+    assert rich["meta"]["language"] == "de" and rich["articles"]["Art. 2a"]["eId"] == "art_2a"

@@ -296,6 +296,115 @@ def test_repetition_guard(spark, tmp_path):
     assert got["loop"][1] == naive_repetition(whole)[0]
 
 
+def test_guard_does_not_depend_on_batches():
+    import random
+
+    from loomspark.operators.generated import repeated_window
+    from loomspark.streaming.repetition import first_repetition
+
+    r = random.Random(3)
+    streams = [["again and again the same. "] * 60, ["<think>", *["z" * 40] * 39], ["<think>" + "q" * 1200 + "</thi", "nk>", *[f"ok{i} " for i in range(50)]], ["ab" * 5] * 3 + [f"w{r.random()}" for _ in range(900)]]
+    streams.append([*["<think>"], *["loop it. "] * 200, "</think>", *[f"fine{i} " for i in range(30)]])
+    for tokens in streams:
+        pairs = [(t, "") for t in tokens]
+        outcomes = set()
+        for parts in (1, 2, 7, len(pairs)):
+            state, found = ("", "", 0, False, False), None
+            size = -(-len(pairs) // parts)
+            for k in range(0, len(pairs), size):
+                state, found = first_repetition(state, iter(pairs[k : k + size]), "tags")
+                if found:
+                    break
+            outcomes.add((found, state[3:] if found else None))
+        assert len(outcomes) == 1
+        want = None
+        for n in range(1, len(tokens) + 1):  # what a look at the whole text after each token says
+            text = "".join(tokens[:n])
+            part = text.rpartition("</think>")[2]
+            got = repeated_window(part)
+            if got:
+                want = (len(text) - len(part) + got[0], got[1])
+                break
+        assert next(iter(outcomes))[0] == want
+
+
+def test_guard_over_two_fields():
+    from loomspark.operators.generated import repeated_window
+    from loomspark.streaming.repetition import first_repetition
+
+    for pairs in ([("", "think ")] * 20 + [("say it. ", "")] * 300, [("a b c d. ", "x y. ")] * 300, [(f"c{i} ", f"r{i} ") for i in range(300)]):
+        want = None
+        for n in range(1, len(pairs) + 1):
+            whole = "".join(x for _, x in pairs[:n]) + "".join(x for x, _ in pairs[:n])
+            want = repeated_window(whole)
+            if want:
+                break
+        assert first_repetition(("", "", 0, False, False), iter(pairs), "fields")[1] == want
+
+
+def test_writers_bound_their_files(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    rows = spark.createDataFrame([("text", f"{i} " + "x" * 2000, f"s{i}") for i in range(500)], "kind string, text string, source string").withColumn("ai_enhanced", F.lit(None).cast("boolean"))
+    rows = rows.withColumn("messages", F.array(chats.message("user", chats.text_content(F.col("text")))))
+    sinks.save(rows, f"{tmp_path}/t", f"{tmp_path}/c", "now", target=100_000)
+    sizes = [pq.read_metadata(f).num_rows for f in glob.glob(f"{tmp_path}/t/*.parquet")]
+    assert sum(sizes) == 500 and max(sizes) <= 50
+    assert spark.read.parquet(f"{tmp_path}/t").columns == ["text", "source", "collected_at", "ai_enhanced"]
+    sinks.write_text(rows, f"{tmp_path}/t", "now", target=100_000)
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 1000
+
+
+def test_is_repetitive(spark):
+    texts = ["again and again the same. " * 60, "short", None, "z" * 900, "z" * 899, "ok " * 20 + "".join(chr(97 + i % 26) + str(i) for i in range(4000))]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, text string")
+    got = {r.i: r.bad for r in df.select("i", generated.is_repetitive(F.col("text")).alias("bad")).collect()}
+    assert got == {i: naive_repetition(t) is not None if t else False for i, t in enumerate(texts)}
+
+
+def test_one_row_of_each_url_is_built(spark):
+    from loomspark.jobs.build import Registry, build
+
+    seen = spark.createDataFrame([("https://a.org/3",)], "source string")
+    pages = spark.createDataFrame([("https://a.org/1", "first", 1), ("https://a.org/1", "second", 2), ("https://a.org/2", "only", 3), ("https://a.org/3", "old", 4), ("https://b.org/1", "none", 5)], "url string, html string, pos long")
+    upper = lambda p: p.select(F.col("url").alias("source"), F.upper("html").alias("text"), F.lit(False).alias("ai_enhanced"), F.lit(None).cast("string").alias("error"))
+    outputs, outcomes = build(pages, seen, Registry().register("org/a", upper, "upper"))
+    assert sorted((r.source, r.text) for r in outputs.collect()) == [("https://a.org/1", "FIRST"), ("https://a.org/2", "ONLY")]
+    assert sorted(map(tuple, outcomes.collect())) == [("https://a.org/1", "processed"), ("https://a.org/2", "processed"), ("https://b.org/1", "skipped")]
+
+
+def test_no_machine_local_scratch_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from loomspark import session
+
+    away = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="spark://host:7077", applicationId="app"))
+    with pytest.raises(ValueError, match="checkpoint"):
+        session.scratch(away)
+    away.conf["spark.checkpoint.dir"] = "hdfs://x/y/"
+    assert session.scratch(away).startswith("hdfs://x/y/loomspark/app/")
+
+
+def test_arrow_batches_are_bounded(spark):
+    from loomspark.session import bounded
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "64m")
+        rows = bounded(spark.range(64).selectExpr("repeat('x', 1000000) t").coalesce(1), 4 << 20)
+        assert spark.conf.get(key) == str(4 << 20)
+        sizes = rows.mapInArrow(lambda it: (__import__("pyarrow").RecordBatch.from_pydict({"n": [b.nbytes]}) for b in it), "n long").collect()
+        assert max(r.n for r in sizes) < 8 << 20
+        spark.conf.set(key, "1m")
+        bounded(rows)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_every_query_agrees_with_its_sql(spark, sf):
     import os
 
