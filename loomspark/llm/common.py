@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 
+from loomspark import session
 from loomspark.session import materialize, table
 from loomspark.session import scratch as shared_dir
 
@@ -13,7 +12,6 @@ __all__ = ["bounded", "materialize", "partitions", "shared_dir", "spread", "tabl
 
 #: Bytes of the Arrow batches that go to Python workers, about; one row at least.
 BATCH_BYTES = 8 << 20
-_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def partitions(spark: SparkSession) -> int:
@@ -26,12 +24,7 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def bounded(df: DataFrame, most: int = BATCH_BYTES) -> DataFrame:
-    """df, with the session's bound on the bytes of an Arrow batch lowered to ``most`` unless it is lower already: rows are counted by
-    thousands otherwise, and ten thousand long texts are more than a worker may hold."""
-    conf = df.sparkSession.conf
-    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)i?b?", conf.get(_LIMIT).lower()).groups()
-    now = int(number) << 10 * " kmgtp".index(unit or " ")
-    if not 0 < now <= most:
-        conf.set(_LIMIT, str(most))
-    return df
+def bounded(df: DataFrame) -> DataFrame:
+    """df, with the session's bound on the bytes of an Arrow batch lowered: rows are counted by thousands otherwise, and ten thousand long
+    texts are more than a worker may hold."""
+    return session.bounded(df, BATCH_BYTES)
