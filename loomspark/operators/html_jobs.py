@@ -53,7 +53,8 @@ def wiki_text_rows(pages: DataFrame, version: str) -> DataFrame:
     """
     both = wiki_plain_html(pages, keep=["url", "raw"])
     texts = F.when(F.col("error").isNull(), F.array("raw", "pretty")).otherwise(F.array("raw"))
-    return both.select(F.concat(F.lit(version), F.explode(texts)).alias("text"), F.col("url").alias("source"), F.lit(False).alias("ai_enhanced"))
+    texts = F.transform(texts, lambda t: F.concat(F.lit(version), t))
+    return both.select(F.explode(texts).alias("text"), F.col("url").alias("source"), F.lit(False).alias("ai_enhanced"))
 
 
 def law_html_rows(pages: DataFrame) -> DataFrame:
