@@ -344,7 +344,9 @@ def jaccard_join(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD,
     few = sized.filter(F.col("blocks") <= MOST_BLOCKS).withColumn("bucket", F.lit(None).cast("long"))
     many = sized.filter(F.col("blocks") > MOST_BLOCKS).drop("blocks", "block").join(reps.select("d", F.explode("bands").alias("bucket")), "d")
     pairs = _paired(few).unionByName(_paired(_blocked(many, ["component", "bucket"])))
-    groups = base.select("d", "text").join(pairs, "d").groupBy("component", "bucket", "one", "two")
+    by = ["component", "bucket", "one", "two"]
+    # the work of a group grows faster than its bytes, so groups are dealt to all tasks instead of being joined by size
+    groups = base.select("d", "text").join(pairs, "d").repartition(partitions(docs.sparkSession), *by).groupBy(*by)
     verified = materialize(groups.applyInPandas(lambda key, x: _verify(key, x, n, threshold, tolerance), VERIFIED))
     linked = verified.filter("d is not null").groupBy("d").agg(F.sum("links").alias("links"))
     final = components(verified.filter("a is not null").select("a", "b"))
