@@ -35,7 +35,7 @@ def _measured(sources: DataFrame, exponents: list[int]) -> dict[int, tuple[float
     a = F.col("k") / _GRID
     rows = sources.select("share", F.explode(F.array(*map(F.lit, exponents))).alias("k")).select("k", "share", F.pow("share", a).alias("q"))
     rows = rows.groupBy("k").agg(F.sum("q"), F.sum(F.col("q") * F.ln("q")), F.max(F.col("q") / F.col("share")), F.max(F.col("share") / F.col("q")))
-    return {r[0]: tuple(r)[1:] for r in rows.toLocalIterator()}
+    return {r[0]: tuple(r)[1:] for r in rows.collect()}  # a row for each exponent; an iterator would run a job for each partition
 
 
 def exponent(sources: DataFrame, max_repeat: float | None, entropy: float | None, budget: float | None) -> float:
