@@ -165,7 +165,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     runs = runs.withColumn("__pack_before", F.sum("n").over(W.partitionBy("length").orderBy("__pack_p").rowsBetween(W.unboundedPreceding, -1)))
     where = ranked.join(F.broadcast(runs.select("__pack_p", "length", "__pack_first", "__pack_before")), ["__pack_p", "length"])
     where = where.select(*pieces.columns, (F.col("__pack_i") - F.col("__pack_first") + F.coalesce("__pack_before", F.lit(0))).alias("__pack_rank"))
-    counts = {r["length"]: r["n"] for r in ranked.groupBy("length").agg(F.count("*").alias("n")).toLocalIterator()}
+    counts = {r["length"]: r["n"] for r in ranked.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows at most, in one job
     plan = np.array(sorted(best_fit(counts, capacity)), np.int64).reshape(-1, 5)
     top = int(max(counts.values(), default=0)) + 1
     keys = plan[:, 0] * top + plan[:, 1]
