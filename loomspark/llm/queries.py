@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loomspark.llm import byte_bpe, divergence, periodic_runs
 from loomspark.llm import embedding_dedup as embeddings
 from loomspark.llm import jaccard_join as jaccard
 from loomspark.llm import quality_rules as rules
@@ -59,6 +60,18 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.suffix_dedup(table(spark, sf_dir, "documents"), with_text=False)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op2_warc, op3_language_id, op4_ngram_jaccard_join, op5_substring_dedup, op6_license_scan, op7_best_fit_packing, op8_source_mixing, op9_embedding_dedup, op10_suffix_dedup)}
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(spread(table(spark, sf_dir, "documents").select("text", "lang", "source")))
 
-ORACLES: dict[str, str] = {"op1_quality_rules": rules.ORACLE, "op2_warc": warc.ORACLE, "op4_ngram_jaccard_join": jaccard.ORACLE, "op5_substring_dedup": substrings.ORACLE, "op9_embedding_dedup": embeddings.ORACLE, "op10_suffix_dedup": suffixes.ORACLE}
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), with_text=False, plant=True)
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.decode(byte_bpe.encode(spread(table(spark, sf_dir, "documents").select("doc_id", "text"))), with_text=False)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op2_warc, op3_language_id, op4_ngram_jaccard_join, op5_substring_dedup, op6_license_scan, op7_best_fit_packing, op8_source_mixing, op9_embedding_dedup, op10_suffix_dedup, op11_source_divergence, op12_periodic_runs, op13_byte_bpe)}
+
+ORACLES: dict[str, str] = {"op1_quality_rules": rules.ORACLE, "op2_warc": warc.ORACLE, "op4_ngram_jaccard_join": jaccard.ORACLE, "op5_substring_dedup": substrings.ORACLE, "op9_embedding_dedup": embeddings.ORACLE, "op10_suffix_dedup": suffixes.ORACLE, "op11_source_divergence": divergence.ORACLE}

@@ -87,9 +87,9 @@ def slices(offsets: np.ndarray, limit: int = PIECE):
         lo = hi
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end (bytes) of each word of consecutive rows; first[i]:first[i + 1] are the words of row i."""
-    solid = ~_SPACE[data]
+def word_spans(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end (bytes) of each word of consecutive rows; first[i]:first[i + 1] are the words of row i. gap: which bytes part words."""
+    solid = ~gap[data]
     n = len(data)
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
