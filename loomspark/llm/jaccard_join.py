@@ -1,6 +1,6 @@
 """Join of documents whose sets of word n-grams have a Jaccard similarity of at least a threshold.
 
-1. Documents with equal sets form a class; one representative of each goes on.
+1. Documents with equal words form a class, by a digest of them; one representative of each goes on.
 2. Banded MinHash puts representatives into buckets (of a pair at the threshold, 3 in a million miss every band).
 3. Within a bucket, Bayesian pruning compares further MinHash values in steps and drops a pair as soon as the posterior
    probability that its similarity reaches the threshold is below a tolerance. Survivors leave as a spanning forest, so a
@@ -8,12 +8,13 @@
 4. Components of these edges hold every surviving pair, so each text goes to its component once. There the pairs that share a band
    and survive pruning, no others, are verified exactly on the sets. A component of more than a few blocks is not compared all with
    all: its texts go to their buckets (as many as there are bands at most, however large the component), and a pair is verified
-   in the first bucket that it shares. What leaves is each document's number of links and a spanning forest of the links.
+   in the first bucket that it shares. N-grams count as equal there if their words are, not their fingerprints. What leaves is each document's number of links and a spanning forest of the links.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -62,6 +63,33 @@ def shingles(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray,
     return got[new], X.starts_of(np.bincount(row[new], minlength=len(count)))
 
 
+def exact_shingles(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """As shingles, with a number for each n-gram that is equal for equal n-grams alone, within this call."""
+    starts, ends, first = X.word_spans(data, offsets)
+    codes = X.word_numbers(data, starts, ends).astype(np.int64)
+    count = np.diff(first)
+
+    def pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.unique(a * (int(b.max(initial=0)) + 1) + b, return_inverse=True)[1]
+
+    ids, have = codes, 1
+    while have < n and len(ids) > min(have, n - have):
+        step = min(have, n - have)  # two runs that overlap make up a longer one
+        ids = pairs(ids[:-step], ids[step:])
+        have += step
+    long = np.flatnonzero(count >= n)
+    size = count[long] - n + 1
+    row, got = np.repeat(long, size), ids[X.ranges(first[long], size)]
+    short = np.flatnonzero((count > 0) & (count < n))
+    known: dict[bytes, int] = {}
+    other = np.array([-1 - known.setdefault(codes[first[i] : first[i + 1]].tobytes(), len(known)) for i in short], np.int64)
+    row, got = np.concatenate([row, short]), np.concatenate([got, other])
+    order = np.lexsort((got, row))
+    row, got = row[order], got[order]
+    new = np.r_[True, (row[1:] != row[:-1]) | (got[1:] != got[:-1])][: len(row)]
+    return got[new], X.starts_of(np.bincount(row[new], minlength=len(count)))
+
+
 def signatures(got: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bucket keys (rows, BANDS) and sketches (rows, SKETCH) of sets of fingerprints, none empty, that begin at ``at``."""
     low = (got & np.uint64(0xFFFFFFFF)).astype(np.uint32)
@@ -87,9 +115,14 @@ def _signatures(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Record
                 continue
             bands, sketch = signatures(got, at)
             size = np.full(len(full), SKETCH, np.int64)
+            starts, ends, word = X.word_spans(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+            blob, place = X.joined(data[offsets[lo] : offsets[hi]], starts, ends)
+            blob, edges = memoryview(blob), place[word].tolist()
+            same = b"".join(hashlib.blake2b(blob[edges[i] : edges[i + 1]], digest_size=16).digest() for i in full.tolist())
+            same = np.frombuffer(same, "<i8").reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [
-                    ids.take(pa.array(full)), pa.array(np.add.reduceat(X.mix(got + np.uint64(1)), at).view(np.int64)), pa.array(np.bitwise_xor.reduceat(got, at).view(np.int64)), pa.array(np.diff(first)[full].astype(np.int32)),
+                    ids.take(pa.array(full)), pa.array(same[:, 0].copy()), pa.array(same[:, 1].copy()), pa.array(np.diff(first)[full].astype(np.int32)),
                     _lists(bands.reshape(-1).view(np.int64), np.full(len(full), BANDS)), pa.Array.from_buffers(pa.binary(), len(full), [None, pa.py_buffer(X.starts_of(size).astype(np.int32)), pa.py_buffer(sketch)]),
                 ],
                 ["d", "set_a", "set_b", "n", "bands", "sketch"],
@@ -191,6 +224,7 @@ def _candidates(reps: DataFrame, threshold: float, tolerance: float) -> DataFram
     """Edges (a, b) that span every surviving pair."""
     rows = reps.select("d", "sketch", F.explode("bands").alias("key"))
     counts = reps.select(F.explode("bands").alias("key")).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    counts = materialize(counts)  # so that the join can deal the rows of a common key to several tasks
     joined = rows.join(counts, "key")
 
     def pruned(x: DataFrame) -> DataFrame:
@@ -274,13 +308,15 @@ def _common(got: np.ndarray, first: np.ndarray, i: np.ndarray, j: np.ndarray) ->
 def _verify(key, batch: pd.DataFrame, n: int, threshold: float, tolerance: float) -> pd.DataFrame:
     """Links within one block of a component or bucket, or between two of them, and a spanning forest of the links."""
     batch = batch.sort_values("d", kind="stable")
-    got, first = shingles(*X.flat(pa.array(batch["text"], pa.string())), n)
+    data = X.flat(pa.array(batch["text"], pa.string()))
+    got, first = shingles(*data, n)
     d, block, weight = (batch[c].to_numpy() for c in ("d", "block", "members"))
     bucket, one, two = (None if key[1] is None or key[1] != key[1] else int(key[1])), key[2], key[3]
     bands, sketch = signatures(got, first[:-1])
     apart = (block[:, None] == one) & (block[None, :] == two) | (block[:, None] == two) & (block[None, :] == one)
     apart &= d[:, None] != d[None, :]
     i, j = _surviving(bands, sketch, apart, least_matches(threshold, tolerance), bucket)
+    got, first = exact_shingles(*data, n)
     common, size = _common(got, first, i, j), np.diff(first)
     link = common >= threshold * (size[i] + size[j] - common) - 1e-9
     i, j = i[link], j[link]

@@ -19,6 +19,7 @@ one anchor is a *segment*. Steps:
 from __future__ import annotations
 
 import dataclasses
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,6 +69,14 @@ def _tokens(spec: Repeats, data: np.ndarray, offsets: np.ndarray):
     return values, first, starts, ends
 
 
+def _units(spec: Repeats, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes, or numbers of words that are equal for equal words alone, and the first of each row: what decisions rest on."""
+    if spec.unit == "bytes":
+        return data, offsets
+    starts, ends, first = X.word_spans(data, offsets)
+    return X.word_numbers(data, starts, ends), first
+
+
 def _segments(spec: Repeats, values: np.ndarray, first: np.ndarray):
     """row, first window, last window, anchor (token indices from the row's start), name of the anchor."""
     out = []
@@ -177,22 +186,26 @@ def _cut(spec: Repeats, splitters: list[int], batches: Iterator[pa.RecordBatch])
             order = np.lexsort((begin, least, same, g, row))
             a = [x[order] for x in (row, g, same, least, most)]
             new = np.r_[True, np.any([x[1:] != x[:-1] for x in a], 0)]
+            if not new.all():
+                units = values if spec.unit == "bytes" else X.word_numbers(data[base : offsets[hi]], word_at, word_to)
+                k = np.flatnonzero(~new)
+                new[k] = ~_same_spans(units, begin[order[k]], begin[order[k - 1]], (stop - begin)[order[k]])
             often = ~new
             if not spec.first:
                 often = often | np.r_[~new[1:], False]
             sent, known_span = order[new], order[often]
             where = np.where(hot, parted % np.uint64(len(edges) + 1), np.searchsorted(edges, g, "right")).astype(np.int32)
             ids_d, ids_th = d[lo:hi][row], th[lo:hi][row]
-            again, told = _equal_ones(spec, seen, sent[hot[sent]], values, begin, stop, g, ids_d, ids_th, anchor, least, most)
-            if len(again):
-                sent = sent[~np.isin(sent, again)]
-            if len(told):
-                yield _told(spec, told, len(edges) + 1)
             if spec.unit == "bytes":
                 from_, to_ = begin, stop
             else:
                 from_, to_ = word_at[begin], word_to[stop - 1]
             text = data[base : offsets[hi]]
+            again, told = _equal_ones(spec, seen, sent[hot[sent]], text, from_, to_, g, ids_d, ids_th, anchor, least, most)
+            if len(again):
+                sent = sent[~np.isin(sent, again)]
+            if len(told):
+                yield _told(spec, told, len(edges) + 1)
             for k in range(0, len(sent), 20_000):
                 i = sent[k : k + 20_000]
                 size = to_[i] - from_[i]
@@ -213,11 +226,21 @@ def _cut(spec: Repeats, splitters: list[int], batches: Iterator[pa.RecordBatch])
                 yield _segment_batch(deal, np.zeros(len(i), np.int64), d[lo:hi][i], th[lo:hi][i], b - first[i], np.zeros(len(i), np.int64), b - a, pa.nulls(len(i), pa.binary()))
 
 
-def _equal_ones(spec: Repeats, seen: dict, rows: np.ndarray, values, begin, stop, g, d, th, anchor, least, most) -> tuple[np.ndarray, np.ndarray]:
+def _same_spans(units: np.ndarray, one: np.ndarray, two: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether spans of one length, unit by unit, are equal."""
+    out = np.empty(len(one), bool)
+    for k in range(0, len(one), 8192):
+        n = size[k : k + 8192]
+        equal = units[X.ranges(one[k : k + 8192], n)] == units[X.ranges(two[k : k + 8192], n)]
+        out[k : k + 8192] = np.logical_and.reduceat(equal, X.starts_of(n)[:-1])
+    return out
+
+
+def _equal_ones(spec: Repeats, seen: dict, rows: np.ndarray, text, from_, to_, g, d, th, anchor, least, most) -> tuple[np.ndarray, np.ndarray]:
     """Which segments need not go, because an equal one has gone, and the decided ones among all (d, th, anchor, least, most)."""
     again, told = [], []
     for j in rows.tolist():
-        key = (int(g[j]), int(least[j]), int(most[j]), values[begin[j] : stop[j]].tobytes())
+        key = (int(g[j]), int(least[j]), int(most[j]), text[from_[j] : to_[j]].tobytes())
         me = (int(d[j]), int(th[j]), int(anchor[j]))
         one = seen.get(key)
         if one is None or (spec.first and me < one):
@@ -336,8 +359,8 @@ def equal_windows(spec: Repeats, least, most, after: np.ndarray, before: np.ndar
 
 
 def extended_windows(spec: Repeats, least, most, after: np.ndarray, before: np.ndarray, roll: X.Rolling, at: np.ndarray) -> np.ndarray:
-    """As equal_windows. Windows of equal fingerprint join a segment to the first one that has them; from the anchor the two are
-    extended both ways, and the windows within a maximal repeat of ``length`` tokens or more are equal."""
+    """As equal_windows. A window joins its segment to the first one that seems to have it too (by fingerprint); from the anchor the two
+    are extended both ways, unit by unit, and the windows within their maximal repeat are marked."""
     m = len(least)
     row = np.repeat(np.arange(m), most - least + 1)
     place = X.ranges(least, most - least + 1)
@@ -361,11 +384,14 @@ def extended_windows(spec: Repeats, least, most, after: np.ndarray, before: np.n
     same = (where <= back[pair]) & (spec.length - where <= ahead[pair])
     if not same.all():  # equal fingerprints of unequal windows
         return equal_windows(spec, least, most, after, before)
-    marked = np.zeros((m, spec.places), bool)
-    marked[one, where] = True
-    if not spec.first:
-        marked[other, where] = True
-    return marked
+    # the places whose windows lie within the extended match
+    low = np.maximum.reduce([spec.length - ahead, least[a], least[b]])
+    high = np.minimum.reduce([back, most[a], most[b]]) + 1
+    step = np.zeros((m, spec.places + 1), np.int32)
+    for rows in (a,) if spec.first else (a, b):
+        np.add.at(step, (rows, low), 1)
+        np.add.at(step, (rows, high), -1)
+    return np.cumsum(step, axis=1)[:, :-1] > 0
 
 
 def _compact(spec: Repeats, t: pa.Table) -> tuple[pa.Table, tuple]:
@@ -388,17 +414,20 @@ def _match_by_place(spec: Repeats, d, th, anchor, least, most, bodies: pa.Array)
     order = order[np.r_[True, np.any([x[1:] != x[:-1] for x in a], 0)]]
     d, th, anchor, least, most = (x[order].astype(np.int64) for x in (d, th, anchor, least, most))
     data, offsets = X.flat(bodies.take(pa.array(order)))
+    if spec.unit == "words":
+        data, offsets = _units(spec, data, offsets)
+        data = data.astype(np.uint32)
     for place in range(int(least.min()), int(most.max()) + 1):
         rows = np.flatnonzero((least <= place) & (place <= most))
         prints = np.zeros(len(least), np.uint64)
-        windows = np.zeros((len(rows), spec.length), np.uint8 if spec.unit == "bytes" else np.uint64)
-        for lo, hi in X.slices(offsets):
-            values, first, _, _ = _tokens(spec, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+        windows = np.zeros((len(rows), spec.length), data.dtype)
+        for lo, hi in X.slices(offsets, X.PIECE // data.itemsize):
+            values, first = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
             p, q = np.searchsorted(rows, [lo, hi])
             if p == q:
                 continue
             at = first[rows[p:q] - lo] + most[rows[p:q]] - place
-            prints[rows[p:q]] = X.Rolling(values, spec.unit == "bytes").spans(at, at + spec.length)
+            prints[rows[p:q]] = X.Rolling(values if spec.unit == "bytes" else values.astype(np.uint64), spec.unit == "bytes").spans(at, at + spec.length)
             windows[p:q] = _matrix(values, at, np.full(q - p, spec.length), spec.length, 1)
         by = np.argsort(prints[rows], kind="stable")
         key = prints[rows][by]
@@ -417,8 +446,7 @@ def _match(spec: Repeats, g, d, th, anchor, least, most, bodies: pa.Array):
     a = [x[order] for x in (d, th, anchor, least, g)]
     order = order[np.r_[True, np.any([x[1:] != x[:-1] for x in a], 0)]]  # a row that is there twice is one document
     g, d, th, anchor, least, most = (x[order] for x in (g, d, th, anchor, least.astype(np.int64), most.astype(np.int64)))
-    data, offsets = X.flat(bodies.take(pa.array(order)))
-    values, first, _, _ = _tokens(spec, data, offsets)
+    values, first = _units(spec, *X.flat(bodies.take(pa.array(order))))
     at = first[:-1] + most
     size = first[1:] - at
     after = _matrix(values, at, size, spec.length, 1)
@@ -460,15 +488,22 @@ def _windows(spec: Repeats, t: pa.Table) -> Iterator[pa.RecordBatch]:
     """Every window of some segments as a row with its digest of 128 bits: for the anchors of which a task can't hold all segments."""
     for lo in range(0, len(t), SORTED // 8):
         some = t.slice(lo, SORTED // 8)
-        values, first, _, _ = _tokens(spec, *X.flat(some["body"].combine_chunks()))
+        data, offsets = X.flat(some["body"].combine_chunks())
+        if spec.unit == "bytes":
+            first, blob, place_of, gap = offsets, data, np.arange(len(data) + 1), 0
+        else:
+            starts, ends, first = X.word_spans(data, offsets)
+            (blob, place_of), gap = X.joined(data, starts, ends), 1
         d, th, anchor, least, most = (some[c].to_numpy().astype(np.int64) for c in ("d", "th", "anchor", "least", "most"))
         row = np.repeat(np.arange(len(d)), most - least + 1)
         place = X.ranges(least, most - least + 1)
         start = first[row] + most[row] - place
-        one = X.Rolling(values, spec.unit == "bytes").spans(start, start + spec.length)
-        two = X.Rolling(X.mix(values.astype(np.uint64) + np.uint64(0xD6E8FEB86659FD93)), bytes_in=False).spans(start, start + spec.length)
+        view = memoryview(np.ascontiguousarray(blob))
+        ends_at = place_of[start + spec.length] - gap
+        digest = b"".join(hashlib.blake2b(view[a:b], digest_size=16).digest() for a, b in zip(place_of[start].tolist(), ends_at.tolist(), strict=True))
+        keys = np.frombuffer(digest, "<i8").reshape(-1, 2)
         s = anchor[row] - place
-        yield _span_batch(d[row], th[row], s, s + spec.length, one.view(np.int64), two.view(np.int64))
+        yield _span_batch(d[row], th[row], s, s + spec.length, np.ascontiguousarray(keys[:, 0]), np.ascontiguousarray(keys[:, 1]))
 
 
 def _span_batch(d, th, s, e, k1=None, k2=None) -> pa.RecordBatch:
@@ -551,7 +586,8 @@ def repeated_spans(spec: Repeats, docs: DataFrame) -> DataFrame:
     each = anchors.join(copies.select(*_IDS).distinct(), [*_IDS], "left_anti").select(*_IDS, F.explode("g").alias("g"))
     counts = each.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1")
     cells = F.least(F.lit(spec.places), F.ceil(F.col("n") / HOT)).cast("int")
-    hits = materialize(each.join(counts.select("g", cells.alias("n")), "g"))
+    # written before it is joined, so that the join can deal the documents of a common anchor to several tasks
+    hits = materialize(each.join(materialize(counts.select("g", cells.alias("n"))), "g"))
     edges = _splitters(hits, n)
     listed = hits.groupBy(*_IDS).agg(F.collect_set(F.struct("g", "n")).alias("hits"))
     segments = texts.join(listed, [*_IDS]).select("text", *_IDS, "hits").mapInArrow(lambda it: _cut(spec, edges, it), SEGMENT)
@@ -569,6 +605,7 @@ def repeated_spans(spec: Repeats, docs: DataFrame) -> DataFrame:
 def _counted(spec: Repeats, windows: DataFrame) -> DataFrame:
     """Of windows (d, th, s, e and a digest k1, k2) those that equal another one, or an earlier one."""
     first = windows.groupBy("k1", "k2").agg(F.min(F.struct(*_IDS, "s")).alias("lead"), F.max(F.struct(*_IDS, "s")).alias("last")).filter("lead < last")
+    first = materialize(first)  # as above: a common window is in very many documents
     again = windows.join(first, ["k1", "k2"])
     if spec.first:
         again = again.filter(F.struct(*_IDS, "s") > F.col("lead"))

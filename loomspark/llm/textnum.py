@@ -105,19 +105,47 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = _SPACE)
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """As word_spans, with the fingerprint of each word in front."""
+    """As word_spans, with the fingerprint of each word in front.
+
+    Blocks of eight bytes are mixed, each with its number, before they are summed: sums of powers alone agree on words of a certain build
+    (Thue-Morse sequences), whatever the base. Fingerprints name and part; what is decided on them is compared word by word first.
+    """
     starts, ends, first = word_spans(data, offsets)
     hashes = np.empty(len(starts), np.uint64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
     at = 0
     while at < len(starts):  # a very long row is fingerprinted in pieces, so that the temporary arrays stay small
-        to = max(at + 1, int(np.searchsorted(starts, starts[at] + 2 * PIECE)))
-        base = starts[at]
-        roll = Rolling(data[base : ends[to - 1]])
-        hashes[at:to] = roll.spans(starts[at:to] - base, ends[at:to] - base)
+        to = max(at + 1, int(np.searchsorted(starts, starts[at] + PIECE)))
+        size = ends[at:to] - starts[at:to]
+        blocks = (size + 7) >> 3
+        number = ranges(np.zeros(to - at, np.int64), blocks)
+        left = np.repeat(size, blocks) - 8 * number
+        part = eight[np.repeat(starts[at:to], blocks) + 8 * number]
+        part &= np.uint64(0xFFFFFFFFFFFFFFFF) >> (8 * np.maximum(8 - left, 0)).astype(np.uint64)
+        part = mix(part + (number + 1).astype(np.uint64) * np.uint64(_BASE))
+        hashes[at:to] = mix(np.add.reduceat(part, starts_of(blocks)[:-1]) + size.astype(np.uint64))
         at = to
     return hashes, starts, ends, first
 
 
+def word_numbers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A number from 1 on for each word, equal for equal words alone, within this call."""
+    size = ends - starts
+    solid = np.ascontiguousarray(data[ranges(starts, size)])
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(starts_of(size)), pa.py_buffer(solid)])
+    return words.dictionary_encode().indices.to_numpy().astype(np.uint64) + np.uint64(1)
+
+
+def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words with one space behind each, and where each begins."""
+    size = ends - starts
+    place = starts_of(size + 1)
+    blob = np.full(place[-1], 0x20, np.uint8)
+    blob[ranges(place[:-1], size)] = data[ranges(starts, size)]
+    return blob, place
+
+
 def window_min(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of each run of width values, by doubling."""
     out, have = values, 1

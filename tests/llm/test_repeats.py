@@ -1,10 +1,14 @@
 import collections
 import hashlib
+import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from loomspark.llm import repeats
+from loomspark.llm import textnum as X
 from loomspark.llm.substring_dedup import substring_dedup
 from loomspark.llm.suffix_dedup import suffix_dedup
 from tests.llm.data import SCHEMA, WORD, frame, key, rows
@@ -190,3 +194,43 @@ def test_clashing_columns(spark):
     for f in (suffix_dedup, substring_dedup):
         a, b = f(frame(spark).withColumns(extra), with_text=False), f(frame(spark).select("doc_id", "text"), with_text=False)
         assert order(a.collect()) == order(b.collect())
+
+
+def morse(n: int) -> str:
+    """Letters a and b by the parity of the ones of a number: sums of powers of a base can't tell them from their complements."""
+    return "".join("ab"[i.bit_count() & 1] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_long_words_are_told_apart_by_their_letters(spark, n):
+    from loomspark.llm.jaccard_join import exact_shingles, jaccard_join
+
+    one, two = morse(n), morse(n).translate(str.maketrans("ab", "ba"))
+    front = " ".join(f"w{i}" for i in range(19))
+    texts = [f"{front} {one}", f"{front} {two}", one, two, f"{front} {one}  "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in substring_dedup(docs).collect()}
+    assert [got[i].n_removed for i in range(5)] == [0, 0, 0, 0, 20]
+    links = {r.doc_id: r for r in jaccard_join(docs).collect()}
+    assert [links[i].n_links for i in range(5)] == [2, 2, 0, 0, 2]  # 15 of 17 grams of the long ones; the words alone are different texts
+    prints = X.words_of(np.frombuffer(f"{one} {two}".encode(), np.uint8), np.array([0, 2 * n + 1]))[0]
+    assert prints[0] != prints[1]
+    grams, first = exact_shingles(*X.flat(pa.array([f"{one} a b", f"{two} a b", "x", "x ", "", None, f"a  b {one} a b c"])), 3)
+    sets = [set(grams[a:b].tolist()) for a, b in zip(first, first[1:], strict=False)]
+    assert [len(s) for s in sets] == [1, 1, 1, 1, 0, 0, 4] and not sets[0] & sets[1] and sets[2] == sets[3] and sets[0] < sets[6]
+
+
+def test_exact_shingles_are_sets_of_words():
+    from loomspark.llm.jaccard_join import exact_shingles
+
+    r = random.Random(12)
+    for n in (1, 2, 3, 4, 5, 7, 8):
+        texts = [" ".join(r.choice("abc") for _ in range(r.randint(0, 40))) for _ in range(12)]
+        grams, first = exact_shingles(*X.flat(pa.array(texts)), n)
+        sets = [set(grams[a:b].tolist()) for a, b in zip(first, first[1:], strict=False)]
+        want = []
+        for t in texts:
+            w = tuple(t.split())
+            want.append({w[i : i + n] for i in range(max(1, len(w) - n + 1))} if w else set())
+        assert all(len(x) == len(y) for x, y in zip(sets, want, strict=True))
+        assert all(len(sets[i] & sets[j]) == len(want[i] & want[j]) for i in range(12) for j in range(12))
