@@ -350,7 +350,7 @@ def corpus_build(spark, sf_dir):
 
     pages = table(spark, sf_dir, "pages").select("url", "html", F.col("page_id").alias("pos"))
     again = pages.filter("pos % 4 = 0").select("url", F.lit("<p>fetched again</p>").alias("html"), (F.col("pos") + 1_000_000_000).alias("pos"))
-    return frontier.run_summary(build(pages.unionByName(again), _ledger(spark, sf_dir), _builder())[1])
+    return frontier.run_summary(build(pages.unionByName(again), _ledger(spark, sf_dir), _builder()).outcomes)
 
 
 @query(f"WITH {_REGISTRY_SQL}, {_ROUTED_SQL} SELECT url, pos, prefix FROM c")
