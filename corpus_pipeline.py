@@ -41,8 +41,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their places in sequences of 1024 tokens."""
-    return best_fit_packing(docs, with_ids=False)
+    """Pieces of the documents with their ids and their places in sequences of 1024 tokens."""
+    return best_fit_packing(docs)
 
 
 STAGES = [("quality rules", quality), ("n-gram Jaccard join", near_duplicates), ("suffix-array dedup", repeated_passages), ("mixing sources to target weights", mixture), ("best-fit packing", packing)]
