@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspark.functions.urls import download_url, is_pdf_source, parse_repo_url
-from loomspark.jobs.queries import AT, SYSTEM, _answers, query
+from loomspark.jobs.queries import _REPEATED_SQL, AT, SYSTEM, _answers, query
 from loomspark.operators import chats, frontier, generated, law_jobs, repofiles
 from loomspark.operators.html_jobs import law_html_chats as article_chats
 from loomspark.session import scratch, table
@@ -269,7 +269,9 @@ def _looped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
 
 
-@query()
+_LOOPED_SQL = """l AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN text || repeat('over and over ', 60) WHEN 1 THEN repeat('z', (850 + doc_id % 100)::INT) ELSE text END AS text FROM documents)"""
+
+
+@query(f"WITH {_LOOPED_SQL}, {_REPEATED_SQL.format('l')} SELECT l.doc_id, f.doc_id IS NOT NULL AS repetitive FROM l LEFT JOIN f ON l.doc_id = f.doc_id")
 def is_repetitive(spark, sf_dir):
-    """SQL takes minutes over whole tables; tests compare with brute force."""
     return _looped(spark, sf_dir).select("doc_id", generated.is_repetitive(F.col("text")).alias("repetitive"))

@@ -320,7 +320,15 @@ def pdf_rows(spark, sf_dir):
     return rows.select("source", "kind", F.coalesce("text", m[1]["text"]["text"]).alias("text"), m[0]["content"][1]["hash"].alias("hash"), "ai_enhanced")
 
 
-@query()
+_REPEATED_SQL = """t AS MATERIALIZED (SELECT doc_id, right(text, 10000) AS tail, greatest(length(text) - 10000, 0) AS base FROM {0} WHERE length(text) >= 900),
+few AS MATERIALIZED (SELECT DISTINCT doc_id FROM (SELECT doc_id, substr(tail, i + 1, 30) AS s FROM (SELECT doc_id, tail, unnest(range(0, length(tail) - 29)) AS i FROM t)) GROUP BY doc_id, s HAVING count(*) >= 4),
+r(k, w, m) AS (VALUES (0, 30, 30), (1, 50, 25), (2, 80, 15), (3, 150, 12), (4, 300, 6), (5, 1000, 4)),
+x AS (SELECT doc_id, base, k, m, i, substr(tail, i + 1, w) AS s FROM (SELECT t.*, r.*, unnest(range(0, length(tail) - w + 1)) AS i FROM t JOIN few ON t.doc_id = few.doc_id JOIN r ON length(tail) >= w * m)),
+o AS (SELECT *, row_number() OVER (PARTITION BY doc_id, k, s ORDER BY i) AS n FROM x),
+f AS (SELECT doc_id, base + i AS pos, s AS "window" FROM o WHERE n = m QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY k, i) = 1)"""
+
+
+@query(f"WITH {_REPEATED_SQL.format('documents')} SELECT d.doc_id, pos, \"window\" FROM documents d LEFT JOIN f ON d.doc_id = f.doc_id")
 def find_repetition(spark, sf_dir):
     found = generated.find_repetition(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "repetition.pos", "repetition.window")

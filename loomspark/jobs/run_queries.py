@@ -105,3 +105,28 @@ def incremental_ingest(spark, sf_dir):
     read = lambda k, text: spark.read.parquet(at[k]).select(F.lit(k).alias("kind"), F.col("batch").cast("long").alias("batch"), "source", text.alias("text"))
     texts = read("text", F.col("text")).unionByName(read("chat", answer))
     return texts.unionByName(read("failed", F.substring_index("error", ":", 1))).unionByName(read("ledger", F.lit(None).cast("string")))
+
+
+@query(
+    """WITH c AS (SELECT conv_id, min(turn) AS lead, sum(100 + length(coalesce(text, '')) % 400) AS n FROM conversations WHERE conv_id % 3 = 0 GROUP BY conv_id)
+SELECT conv_id::VARCHAR AS gen_id, CASE WHEN conv_id % 2 = 0 THEN 'thinking' ELSE 'response' END AS verdict, (CASE WHEN conv_id % 2 = 0 THEN 36 ELSE 29 END)::BIGINT AS pos, repeat(chr((97 + conv_id % 26)::INT), 30) AS "window"
+FROM c WHERE n + CASE WHEN conv_id % 2 = 0 THEN 7 ELSE 0 END >= 900"""
+)
+def repetition_guard(spark, sf_dir):
+    """Turns as tokens: of every third conversation each is one letter over and over, behind an opening tag for even ones. They come in two
+    halves, in micro-batches of one file each, so most generations grow over several batches."""
+    from loomspark.streaming.repetition import repetition_guard as guard
+
+    root = scratch(spark)
+    c = table(spark, sf_dir, "conversations")
+    lead = c.groupBy("conv_id").agg(F.min("turn").alias("lead"))
+    loop = F.repeat(F.char((97 + F.col("conv_id") % 26).cast("int")), (100 + F.length(F.coalesce("text", F.lit(""))) % 400).cast("int"))
+    opened = F.when((F.col("conv_id") % 2 == 0) & (F.col("turn") == F.col("lead")), "<think>").otherwise("")
+    token = F.when(F.col("conv_id") % 3 == 0, F.concat(opened, loop)).otherwise(F.col("text"))
+    tokens = c.join(lead, "conv_id").select(F.col("conv_id").cast("string").alias("gen_id"), F.col("turn").cast("long").alias("seq"), token.alias("token"))
+    for part in ("seq <= 2", "seq > 2"):
+        tokens.filter(part).repartition(2, "gen_id").write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema("gen_id string, seq long, token string").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    found = guard(stream, timeout=None).writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/state").outputMode("append")
+    found.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("gen_id string, verdict string, pos long, window string").parquet(f"{root}/out")

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from loomspark.functions.urls import candidate_prefixes, url_netloc
 from loomspark.session import lookup, with_rank
 
+#: Prefixes up to which a registry is looked up in the expression.
+MAPPED = 1_000
+
 
 def dedup_urls(urls: DataFrame) -> DataFrame:
     """First occurrence of each url (exact match): url, pos."""
@@ -33,11 +36,17 @@ def order_urls(urls: DataFrame) -> DataFrame:
 def route_urls(urls: DataFrame, registry: DataFrame) -> DataFrame:
     """urls with handler: that of the longest registered prefix (registry: prefix, handler); null where none fits.
 
-    A prefix that is registered twice gives its least handler.
+    A prefix that is registered twice gives its least handler. A registry of up to ``MAPPED`` prefixes becomes a map in the expression:
+    the candidates of a url are looked up from the longest on, without a join or a shuffle. A larger one is joined.
     """
-    known = lookup(registry.groupBy("prefix").agg(F.min("handler").alias("handler")))
+    known = registry.filter("prefix is not null").groupBy("prefix").agg(F.min("handler").alias("handler"))
+    few = known.limit(MAPPED + 1).collect()
+    if len(few) <= MAPPED:
+        table = F.map_from_arrays(*(F.array(*map(F.lit, x)).cast("array<string>") for x in ([r.prefix for r in few], [r.handler for r in few])))
+        hits = F.filter(F.transform(candidate_prefixes(F.col("url")), lambda p: F.element_at(table, p)), lambda h: h.isNotNull())
+        return urls.withColumn("handler", F.get(hits, F.lit(0)) if few else F.lit(None).cast("string"))
     steps = urls.select("url").distinct().select("url", F.posexplode(candidate_prefixes(F.col("url"))).alias("pos", "prefix"))
-    found = steps.join(known, "prefix").groupBy("url").agg(F.min_by("handler", "pos").alias("handler"))
+    found = steps.join(lookup(known), "prefix").groupBy("url").agg(F.min_by("handler", "pos").alias("handler"))
     return urls.join(found, "url", "left")
 
 

@@ -6,12 +6,11 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from loomspark.operators.generated import RULES, TAIL, repeated_window
 
 OUT = "gen_id string, verdict string, pos long, window string"
-STATE = "thought string, tail string, cut long, past boolean, opened boolean, done boolean"
 _CLOSE, _OPEN = ("</think>", "<channel|>"), ("<think>", "<|channel>thought")
 #: Characters kept so that a tag split over two tokens is seen.
 _TAG = 32
@@ -69,6 +68,77 @@ def first_repetition(state: tuple[str, str, int, bool, bool], tokens: Iterator[t
     return (thought, text, cut, past, opened), None
 
 
+class _Guard(StatefulProcessor):
+    """State of a generation: its pieces of text as lists that grow at the end, a row of flags, and whether it has ended.
+
+    What counts of a list is its last characters, as many as the flags say, so a batch appends what came and writes nothing anew; a list
+    is cut when it has twice what can count. An ended generation keeps its mark alone, with a time to live; one without
+    tokens for that long is forgotten by a timer.
+    """
+
+    def __init__(self, dialect: str, timeout: int | None):
+        self.dialect, self.timeout = dialect, timeout
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.flags = handle.getValueState("flags", "cut long, past boolean, opened boolean, text long, text_held long, thought long, thought_held long")
+        self.pieces = {k: handle.getListState(k, "piece string") for k in ("text", "thought")}
+        self.ended = handle.getValueState("ended", "yes boolean", self.timeout)
+
+    def _forget(self) -> None:
+        for state in (self.flags, *self.pieces.values()):
+            state.clear()
+        for timer in list(self.handle.listTimers()) if self.timeout else ():
+            self.handle.deleteTimer(timer)
+
+    def _read(self, name: str, counts: int) -> str:
+        return "".join(x[0] for x in self.pieces[name].get())[-counts:] if counts else ""
+
+    def _grow(self, name: str, added: list[str], now: str, held: int) -> int:
+        """Append what came; the characters that the list then holds."""
+        new = "".join(added)
+        if held + len(new) > 2 * TAIL + len(now):
+            self.pieces[name].put([(now,)])
+            return len(now)
+        if new:
+            self.pieces[name].appendValue((new,))
+        return held + len(new)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        if self.ended.exists():
+            for _ in rows:
+                pass
+            if self.timeout:
+                self.ended.update((True,))  # its time begins again
+            return
+        came = pd.concat(list(rows)).sort_values("seq", kind="stable")
+        content = [c if isinstance(c, str) else "" for c in came["token"]]
+        reasoning = [r if isinstance(r, str) else "" for r in came["reasoning"]] if self.dialect == "fields" else [""] * len(came)
+        cut, past, opened, text_n, text_held, thought_n, thought_held = self.flags.get() if self.flags.exists() else (0, False, False, 0, 0, 0, 0)
+        state = (self._read("thought", thought_n), self._read("text", text_n), cut, past, opened)
+        (thought, text, cut, past, opened), found = first_repetition(state, zip(content, reasoning, strict=True), self.dialect)
+        if found:
+            self._forget()
+            self.ended.update((True,))
+            yield pd.DataFrame({"gen_id": [str(key[0])], "verdict": ["thinking" if opened and not past else "response"], "pos": [found[0]], "window": [found[1]]})
+            return
+        text_held = self._grow("text", content, text, text_held)
+        thought_held = self._grow("thought", reasoning, thought, thought_held)
+        self.flags.update((cut, past, opened, len(text), text_held, len(thought), thought_held))
+        if self.timeout:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout)
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        for state in (self.flags, *self.pieces.values()):
+            state.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
 def repetition_guard(tokens: DataFrame, timeout: str | None = "1 hour", dialect: str = "tags") -> DataFrame:
     """Stream of tokens (gen_id, seq, token) to one row for each generation whose tail repeats: gen_id, verdict (thinking or
     response), pos (in the whole output), window. The first find ends a generation; later tokens of it are ignored.
@@ -76,32 +146,18 @@ def repetition_guard(tokens: DataFrame, timeout: str | None = "1 hour", dialect:
     Dialect ``tags``: reasoning and response stand in one text, with tags between. ``fields``: tokens also have ``reasoning``, and what is
     judged is all reasoning with all content behind it.
 
-    The state of a generation is its last characters and a few flags. Tokens are taken by seq within a micro-batch and judged one by
-    one, so the outcome does not depend on how they are cut into batches; a generation without tokens for ``timeout`` is
-    forgotten. None keeps all, which a run over what is there now needs: with a timeout the stream goes on for its sake.
+    Tokens are taken by seq within a micro-batch and judged one by one, so the outcome does not depend on how they are cut into batches; a
+    generation without tokens for ``timeout`` is forgotten. None keeps all, which a run over what is there now needs: with a timeout
+    the stream goes on for its sake. State is in RocksDB: a session that still has Spark's default store gets that one, for the
+    streaming queries it starts from then on.
     """
     if dialect not in ("tags", "fields"):
         raise ValueError(f"unknown dialect {dialect!r}")
-
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        thought, text, cut, past, opened, done = state.get if state.exists else ("", "", 0, False, False, False)
-        found = None
-        if not done:
-            rows = pd.concat(list(batches)).sort_values("seq", kind="stable")
-            reasoning = rows["reasoning"] if dialect == "fields" else [""] * len(rows)
-            pairs = ((c if isinstance(c, str) else "", r if isinstance(r, str) else "") for c, r in zip(rows["token"], reasoning, strict=True))
-            (thought, text, cut, past, opened), found = first_repetition((thought, text, cut, past, opened), pairs, dialect)
-        done = done or found is not None
-        state.update(("" if done else thought, "" if done else text, cut, past, opened, done))
-        if timeout:
-            state.setTimeoutDuration(_milliseconds(timeout))
-        if found:
-            yield pd.DataFrame({"gen_id": [key[0]], "verdict": ["thinking" if opened and not past else "response"], "pos": [found[0]], "window": [found[1]]})
-
-    return tokens.groupBy("gen_id").applyInPandasWithState(update, OUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout if timeout else GroupStateTimeout.NoTimeout)
+    conf = tokens.sparkSession.conf
+    if "HDFSBacked" in conf.get("spark.sql.streaming.stateStore.providerClass"):
+        conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    guard = _Guard(dialect, _milliseconds(timeout) if timeout else None)
+    return tokens.groupBy("gen_id").transformWithStateInPandas(guard, OUT, "append", "ProcessingTime" if timeout else "None")
 
 
 def _milliseconds(text: str) -> int:

@@ -65,3 +65,30 @@ def test_a_batch_can_be_run_again(spark, tmp_path):
         ingest_batch(pages, registry, {"t": texts, "c": chats}, *at, 1, **rest)
         assert read("ledger", "source", "batch") == [("https://c.org/1", 1), ("https://t.org/1", 0), ("https://t.org/2", 0)]
         assert read("chat", "source") == [("https://c.org/1",)] and len(read("text", "source")) == 3
+
+
+def test_guard_over_many_batches(spark, tmp_path):
+    """Lists that were cut, long outputs, both dialects: the finds are those of one batch."""
+    from loomspark.streaming.repetition import repetition_guard
+
+    r = random.Random(4)
+    rows = []
+    for g in range(6):
+        seq = 0
+        for _ in range(120):
+            rows.append((f"g{g}", seq, "".join(r.choice("abcdefghij ") for _ in range(400)), None))
+            seq += 1
+        if g % 2:
+            rows += [(f"g{g}", seq + i, "and once more, again and again. "[: 20 + g], None) for i in range(60)]
+    rows += [("f", i, None, "deep thought ") for i in range(90)] + [("h", i, "x" * 100 if i > 5 else "", "why? " if i <= 5 else None) for i in range(30)]
+    found = {}
+    for name, parts, dialect in (("one", 1, "fields"), ("many", 9, "fields"), ("tags", 5, "tags")):
+        for k in range(parts):
+            part = [x for x in rows if (x[1] * parts // 181) == k or k == parts - 1 and x[1] >= 181]
+            spark.createDataFrame(part, "gen_id string, seq long, token string, reasoning string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+        stream = spark.readStream.schema("gen_id string, seq long, token string, reasoning string").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/{name}")
+        q = repetition_guard(stream, timeout=None, dialect=dialect).writeStream.format("memory").queryName(f"guard_{name}").outputMode("append").trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/{name}_state").start()
+        assert q.awaitTermination(200)
+        found[name] = {x.gen_id: (x.verdict, x.pos, x.window) for x in spark.sql(f"select * from guard_{name}").collect()}
+    assert found["one"] == found["many"] and set(found["one"]) == {"g1", "g3", "g5", "f", "h"} and found["one"]["f"][0] == "thinking"
+    assert found["tags"] == {k: v for k, v in found["one"].items() if k[0] == "g"} | {"h": ("response", 29, "x" * 30)}
