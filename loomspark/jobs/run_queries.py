@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomspark.jobs.queries import _REGISTRY_SQL, _ROUTED_SQL, _ledger, query
 from loomspark.operators import documents
 from loomspark.session import scratch, table
+from loomspark.sources import readers, sinks
 
 _TITLE = r"(?s)<title>(.*?)</title>"
 _PREFIXES = [("net/example/tionsh/blog", "titles"), ("org/example/thther", "chats"), ("net/example/ththan/blog", "silent"), ("net/example/tionsh/blog/en", "broken"), ("com/example/tiontion/blog/en", "late"), ("net/example/tionsh/blog/fr", "half")]
@@ -130,3 +131,85 @@ def repetition_guard(spark, sf_dir):
     found = guard(stream, timeout=None).writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/state").outputMode("append")
     found.trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema("gen_id string, verdict string, pos long, window string").parquet(f"{root}/out")
+
+
+def _blobs(spark: SparkSession, sf_dir: str, least: int) -> DataFrame:
+    """Documents as blobs, every third behind the mark of a picture; those of ids from ``least`` hundredths on."""
+    mark = F.when(F.col("doc_id") % 3 == 0, F.unhex(F.lit("89504E470D0A1A0A"))).otherwise(F.lit(b""))
+    return table(spark, sf_dir, "documents").filter(F.col("doc_id") % 100 >= least).select(F.concat(mark, F.encode("text", "utf-8")).alias("content"))
+
+
+_BLOBS_SQL = "WITH b AS (SELECT doc_id % 3 = 0 AS png, CASE WHEN doc_id % 3 = 0 THEN unhex('89504E470D0A1A0A') || encode(text) ELSE encode(text) END AS content FROM documents WHERE text IS NOT NULL)"
+
+
+@query(_BLOBS_SQL + " SELECT DISTINCT sha256(content) AS hash, CASE WHEN png THEN 'png' ELSE 'bin' END AS ext, CASE WHEN png THEN 'image' ELSE 'other_media' END AS media_type FROM b")
+def media_written_twice(spark, sf_dir):
+    """Media rows written in two runs that share most of their blobs, and read back."""
+    place = scratch(spark)
+    for least in (50, 0):
+        sinks.write_media(_blobs(spark, sf_dir, least), place)
+    return spark.read.schema("hash string, ext string, media_type string, content binary").parquet(place).select("hash", "ext", "media_type")
+
+
+@query(
+    _BLOBS_SQL + " SELECT DISTINCT CASE WHEN png THEN 'image/' ELSE 'other_media/' END || sha256(content) || CASE WHEN png THEN '.png' ELSE '.bin' END AS path, octet_length(content)::BIGINT AS size, sha256(content) AS hash FROM b"
+)
+def media_files(spark, sf_dir):
+    """The same as files, listed and read by the reader of file trees."""
+    place = scratch(spark)
+    for least in (50, 0):
+        sinks.write_media_files(_blobs(spark, sf_dir, least), place)
+    return readers.read_file_tree(spark, place, ways=4).select("path", "size", F.sha2("content", 256).alias("hash"))
+
+
+def _put_files(rows) -> None:
+    import os
+
+    for row in rows:
+        os.makedirs(os.path.dirname(row.path), exist_ok=True)
+        with open(row.path, "wb") as f:
+            f.write(row.content)
+
+
+_TREE = ["flat/%s.py", "flat/.%s", "flat/_%s.rst", "r1/.hid/%s.py", "r1/.git/%s.py", "r2/a/b/%s.txt"]
+
+
+@query(
+    f"""SELECT replace({_TREE!r}[doc_id % {len(_TREE)} + 1], '%s', doc_id::VARCHAR) AS path, octet_length(encode(text))::BIGINT AS size, sha256(text) AS hash FROM documents WHERE text IS NOT NULL AND doc_id % {len(_TREE)} <> 4"""
+)
+def file_tree(spark, sf_dir):
+    """Documents as files of a tree, hidden ones and some in .git among them, written by tasks and read back."""
+    import re
+
+    place = re.sub("^file:(//)?(?=/)", "", scratch(spark))
+    path = F.concat(F.lit(f"{place}/"), F.replace(F.element_at(F.array(*map(F.lit, _TREE)), (F.col("doc_id") % len(_TREE) + 1).cast("int")), F.lit("%s"), F.col("doc_id").cast("string")))
+    table(spark, sf_dir, "documents").filter("text is not null").select(path.alias("path"), F.encode("text", "utf-8").alias("content")).foreachPartition(_put_files)
+    return readers.read_file_tree(spark, place, ways=4).select("path", "size", F.sha2("content", 256).alias("hash"))
+
+
+@query("SELECT DISTINCT source FROM documents WHERE source IS NOT NULL")
+def ledger_runs(spark, sf_dir):
+    """Three runs add the sources of their documents to a ledger; two of them overlap, one is made twice."""
+    place, d = scratch(spark), table(spark, sf_dir, "documents").filter("source is not null")
+    none = d.select("source").limit(0)
+    for run, rest in (("a", 0), ("b", 1), ("b", 1)):
+        sinks.write_ledger(d.filter(F.col("doc_id") % 2 == rest), none, place, run)
+    sinks.write_ledger(d, sinks.ledger_sources(spark, place), place, "c")
+    return sinks.ledger_sources(spark, place)
+
+
+@query(
+    "SELECT conv_id % 2 = 0 AS mistakes, count(*)::BIGINT AS n, string_agg(role || ':' || coalesce(text, ''), '|' ORDER BY turn) AS said, conv_id::VARCHAR AS ref FROM conversations GROUP BY conv_id"
+)
+def read_instruct(spark, sf_dir):
+    """Conversations written as a published chat dataset and read by its schema."""
+    from loomspark.operators.chats import ordered
+
+    c = table(spark, sf_dir, "conversations")
+    ref = F.array(F.struct(F.lit("note").alias("type"), F.col("conv_id").cast("string").alias("value")))
+    turn = F.struct("role", F.coalesce("text", F.lit("")).alias("content"), ref.alias("attachments"))
+    place = scratch(spark)
+    c.groupBy("conv_id").agg(ordered(F.col("turn"), turn).alias("messages")).select("messages", (F.col("conv_id") % 2 == 0).alias("mistakes")).write.parquet(place)
+    read = readers.read_instruct(spark, place)
+    said = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "|")
+    return read.select("mistakes", F.size("messages").cast("long").alias("n"), said.alias("said"), F.col("messages")[0]["attachments"][0]["value"].alias("ref"))

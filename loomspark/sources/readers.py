@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterator
+import re
+import zlib
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, Filter, InputPartition, LessThan, LessThanOrEqual, StringEndsWith, StringStartsWith
 from pyspark.sql.types import StructType
 
 from loomspark.functions.text import strip_ws
@@ -33,54 +35,88 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 class _Part(InputPartition):
-    """A folder with all below it, or only the files that lie in it."""
+    """One of ``ways`` shares of a folder's files: of all below it, or only of those that lie in it."""
 
-    def __init__(self, folder: str, deep: bool):
-        self.folder, self.deep = folder, deep
+    def __init__(self, folder: str, deep: bool, share: int, ways: int):
+        self.folder, self.deep, self.share, self.ways = folder, deep, share, ways
 
 
 class _TreeReader(DataSourceReader):
-    def __init__(self, root: str, depth: int):
-        self.root, self.depth = root, depth
+    def __init__(self, root: str, depth: int, ways: int, with_content: bool):
+        self.root, self.depth, self.ways, self.with_content = root, depth, ways, with_content
+        self.endings: list[str] = []
+        self.starts: list[str] = []
+        self.most: list[float] = []
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        """Endings and beginnings of paths, and bounds on sizes, are judged before a file is opened."""
+        for f in filters:
+            if isinstance(f, StringEndsWith) and f.attribute == ("path",):
+                self.endings.append(f.value)
+            elif isinstance(f, StringStartsWith) and f.attribute == ("path",):
+                self.starts.append(f.value)
+            elif isinstance(f, (LessThan, LessThanOrEqual)) and f.attribute == ("size",):
+                self.most.append(f.value - isinstance(f, LessThan))
+            else:
+                yield f
 
     def partitions(self) -> list[InputPartition]:
-        """One for each folder ``depth`` levels down, and one for the files of each folder above. The driver lists these levels alone and
-        asks for no file; tasks walk the rest."""
+        """``ways`` for each folder ``depth`` levels down, and as many for the files of each folder above. The driver lists these levels
+        alone and asks for no file; tasks walk the rest, and of one folder, however many files lie in it, each opens its share."""
         parts, level = [], [self.root]
         for _ in range(self.depth):
-            parts += [_Part(folder, False) for folder in level]
+            parts += [(folder, False) for folder in level]
             level = [e.path for folder in level for e in os.scandir(folder) if e.name != ".git" and e.is_dir(follow_symlinks=False)]
-        return [*parts, *(_Part(folder, True) for folder in level)]
+        return [_Part(folder, deep, k, self.ways) for folder, deep in [*parts, *((folder, True) for folder in level)] for k in range(self.ways)]
 
     def read(self, partition: _Part) -> Iterator[tuple]:
         for folder, names, files in os.walk(partition.folder):
             names[:] = sorted(n for n in names if n != ".git") if partition.deep else []
             for name in sorted(files):
                 path = os.path.join(folder, name)
-                if name != ".git" and os.path.isfile(path):
-                    with open(path, "rb") as f:
-                        yield os.path.relpath(path, self.root), f.read()
+                inner = os.path.relpath(path, self.root)
+                if name == ".git" or zlib.crc32(inner.encode("utf-8", "surrogateescape")) % partition.ways != partition.share:
+                    continue
+                if not all(inner.endswith(x) for x in self.endings) or not all(inner.startswith(x) for x in self.starts) or not os.path.isfile(path):
+                    continue
+                size = os.path.getsize(path)
+                if any(size > most for most in self.most):
+                    continue
+                if not self.with_content:
+                    yield inner, size
+                    continue
+                with open(path, "rb") as f:
+                    yield inner, size, f.read()
 
 
 class FileTree(DataSource):
-    """Format ``file_tree``: path (relative), content of all regular files below ``path`` but those in .git. Hidden files and those
+    """Format ``file_tree``: path (relative), size, content of all regular files below ``path`` but those in .git. Hidden files and those
     with a leading underscore are there, which Spark's own file sources leave out. ``depth``: levels of folders that become partitions, 1
-    for a folder of repositories. The tree must be mounted on every node."""
+    for a folder of repositories; ``ways``: tasks that share a folder's files; ``listing``: no content. The tree must be mounted on every
+    node."""
 
     @classmethod
     def name(cls) -> str:
         return "file_tree"
 
+    def _listing(self) -> bool:
+        return self.options.get("listing", "false").lower() == "true"
+
     def schema(self) -> str:
-        return "path string, content binary"
+        return "path string, size long" + ", content binary" * (not self._listing())
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return _TreeReader(self.options["path"], int(self.options.get("depth", 1)))
+        root = re.sub("^file:(//)?(?=/)", "", self.options["path"])
+        return _TreeReader(root, int(self.options.get("depth", 1)), int(self.options.get("ways", 1)), not self._listing())
 
 
-def read_file_tree(spark: SparkSession, root: str, depth: int = 1) -> DataFrame:
+def read_file_tree(spark: SparkSession, root: str, depth: int = 1, ways: int | None = None, listing: bool = False) -> DataFrame:
+    """path, size, content (none for a listing) of the files below root. Filters on how a path begins or ends and on a greatest size keep files
+    from being opened. ways: tasks for each folder, as many as the cluster has cores unless told."""
     spark.dataSource.register(FileTree)
-    return spark.read.format("file_tree").option("depth", depth).load(root)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")  # off by default; of use to data sources in Python alone
+    options = {"depth": depth, "ways": ways or spark.sparkContext.defaultParallelism, "listing": listing}
+    return spark.read.format("file_tree").options(**options).load(root)
 
 
 def read_law_csv(spark: SparkSession, path: str) -> DataFrame:
