@@ -213,3 +213,19 @@ def read_instruct(spark, sf_dir):
     read = readers.read_instruct(spark, place)
     said = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "|")
     return read.select("mistakes", F.size("messages").cast("long").alias("n"), said.alias("said"), F.col("messages")[0]["attachments"][0]["value"].alias("ref"))
+
+
+@query(
+    """SELECT text, source, '2026' AS collected_at, false AS ai_enhanced, true AS numbered, true AS bounded FROM documents"""
+)
+def shard_by_size(spark, sf_dir):
+    """Documents written in two runs to numbered files of at most 50,000 bytes of text, or one row, and read back with what holds of their
+    file: its number is one of a row without gaps, and its texts are within the bound."""
+    place, d = scratch(spark), table(spark, sf_dir, "documents").withColumn("ai_enhanced", F.lit(None).cast("boolean"))
+    for rest in (0, 1):
+        sinks.write_text(d.filter(F.col("doc_id") % 2 == rest), place, "2026", 50_000)
+    rows = spark.read.schema("text string, source string, collected_at string, ai_enhanced boolean").parquet(place).withColumn("file", F.input_file_name())
+    files = rows.groupBy("file").agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("n"))
+    number = F.regexp_extract("file", r"(\d+)\.parquet$", 1).cast("long")
+    files = files.select("file", number.between(1, files.count()).alias("numbered"), ((F.coalesce("bytes", F.lit(0)) <= 50_000) | (F.col("n") == 1)).alias("bounded"))
+    return rows.join(files, "file").drop("file")

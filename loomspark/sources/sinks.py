@@ -17,11 +17,7 @@ from pyspark.sql.types import StructType
 from loomspark.functions.text import media_ext, media_hash, media_type
 from loomspark.operators.chats import chat_json
 from loomspark.operators.frontier import new_ledger_rows
-from loomspark.session import materialize
-
-#: Bytes of an output file, about. Fixed value.
-SHARD = 400_000_000
-
+from loomspark.sources.shards import SHARD, shard_by_size, write_shards
 
 def text_rows(df: DataFrame, collected_at: str) -> DataFrame:
     """text, source, collected_at (ISO text), ai_enhanced."""
@@ -32,39 +28,21 @@ def chat_json_rows(df: DataFrame, collected_at: str) -> DataFrame:
     return df.select(chat_json(F.col("messages")).alias("messages"), "source", F.lit(collected_at).alias("collected_at"), F.coalesce("ai_enhanced", F.lit(False)).alias("ai_enhanced"))
 
 
-def shard_by_size(df: DataFrame, column: str, target: int = SHARD) -> DataFrame:
-    """df over files of about ``target`` bytes of ``column``.
-
-    Rows and bytes are counted ahead. The rebalance lets adaptive execution cut or join partitions by their size; there are at least
-    as many as the bytes ask for, so that no file is larger than its share.
-    """
-    size = df.agg(F.sum(F.octet_length(column))).first()[0] or 0
-    return df.hint("rebalance", max(1, -(-size // target)))
-
-
-def _append(df: DataFrame, column: str, path: str, target: int) -> None:
-    """Files of about ``target`` bytes: rows of a file are limited to what the mean row leaves room for."""
-    seen = df.agg(F.sum(F.octet_length(column)).alias("bytes"), F.count("*").alias("n")).first()
-    mean = (seen["bytes"] or 0) / max(1, seen["n"])
-    rows = max(1, int(target / max(1.0, mean)))
-    df.hint("rebalance").write.mode("append").option("compression", "snappy").option("maxRecordsPerFile", rows).parquet(path)
-
-
 def write_text(df: DataFrame, path: str, collected_at: str, target: int = SHARD) -> None:
-    _append(materialize(text_rows(df, collected_at)), "text", path, target)
+    """Append text rows to numbered files of at most ``target`` bytes of text (see :func:`shard_by_size`), written once."""
+    shard_by_size(text_rows(df, collected_at), path, "text", target)
 
 
 def write_chat(df: DataFrame, path: str, collected_at: str, target: int = SHARD) -> None:
-    _append(materialize(chat_json_rows(df, collected_at)), "messages", path, target)
+    shard_by_size(chat_json_rows(df, collected_at), path, "messages", target)
 
 
 def save(df: DataFrame, text_path: str, chat_path: str, collected_at: str, target: int = SHARD) -> None:
-    """Rows of both kinds (kind, text, messages, source, ai_enhanced) to their places. They are computed once and written by kind to
-    the shared folder, so that each place reads its own alone."""
-    rows = df.withColumn("messages", chat_json(F.col("messages"))).withColumn("ai_enhanced", F.coalesce("ai_enhanced", F.lit(False)))
-    rows = materialize(rows.select("text", "messages", "source", "ai_enhanced", F.lit(collected_at).alias("collected_at"), "kind"), by="kind")
-    for kind, column, path in (("text", "text", text_path), ("chat", "messages", chat_path)):
-        _append(rows.filter(F.col("kind") == kind).select(column, "source", "collected_at", "ai_enhanced"), column, path, target)
+    """Rows of both kinds (kind, text, messages, source, ai_enhanced) to their places. They are computed once and written once, each task
+    parting its rows by kind."""
+    rows = df.filter(F.col("kind").isin("text", "chat")).withColumn("messages", F.when(F.col("kind") == "chat", chat_json(F.col("messages"))))
+    rows = rows.select("kind", "text", "messages", "source", F.lit(collected_at).alias("collected_at"), F.coalesce("ai_enhanced", F.lit(False)).alias("ai_enhanced"))
+    write_shards(rows, {"text": (text_path, "text"), "chat": (chat_path, "messages")}, target)
 
 
 def write_ledger(outputs: DataFrame, ledger: DataFrame, path: str, run: str | None = None) -> None:

@@ -161,3 +161,56 @@ def test_ledger_runs_at_once(spark, tmp_path):
     assert sorted(r.source for r in sinks.ledger_sources(spark, f"{tmp_path}/l").collect()) == ["a", "b"]
     assert spark.read.parquet(f"{tmp_path}/l").count() == 4  # the repeated run replaced its own folder
     assert sinks.ledger_sources(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_cuts():
+    import numpy as np
+
+    from loomspark.sources.shards import cuts
+
+    r = random.Random(3)
+    for _ in range(500):
+        sizes, target, held = [r.choice([0, 1, 5, 30, 300]) for _ in range(r.randint(0, 40))], r.randint(1, 60), r.choice([0, 0, 7, 55])
+        want, full, rows = [], held, bool(held)
+        for i, s in enumerate(sizes):
+            if rows and full + s > target:
+                want.append(i)
+                full = 0
+            full, rows = full + s, True
+        assert cuts(np.array(sizes, np.int64), held, target) == want
+
+
+def test_shards_are_bounded_and_numbered(spark, tmp_path):
+    import glob
+    import os
+
+    import pyarrow.parquet as pq
+
+    from loomspark.sources import shards, sinks
+
+    rows = spark.range(3000).selectExpr("case when id % 1000 = 7 then repeat('y', 300000) when id % 50 = 3 then null else repeat('x', cast(id % 400 as int)) end text", "cast(id as string) source", "true ai_enhanced")
+    for run in range(2):
+        sinks.write_text(rows.repartition(3), f"{tmp_path}/t", "now", target=20_000)
+        files = sorted(glob.glob(f"{tmp_path}/t/*.parquet"))
+        assert [os.path.basename(f) for f in files] == [f"{i + 1:05d}.parquet" for i in range(len(files))]
+        for f in files:
+            t = [x for x in pq.read_table(f)["text"].to_pylist()]
+            assert sum(len(x or "") for x in t) <= 20_000 or len(t) == 1
+        assert spark.read.parquet(f"{tmp_path}/t").count() == 3000 * (run + 1)
+        assert not glob.glob(f"{tmp_path}/t/.stage*")
+    bad = rows.withColumn("text", F.when(F.col("source") == "2999", F.raise_error(F.lit("late"))).otherwise(F.col("text")))
+    try:
+        sinks.write_text(bad, f"{tmp_path}/t", "now", target=20_000)
+        raise AssertionError("the write should fail")
+    except Exception as e:
+        assert "late" in str(e)
+    assert sorted(glob.glob(f"{tmp_path}/t/*.parquet")) == files and not glob.glob(f"{tmp_path}/t/.stage*")
+    # a move that was cut short is ended by the next run
+    stage = f"{tmp_path}/t/.stage-lost"
+    os.mkdir(stage)
+    os.replace(files[-1], f"{stage}/a.parquet")
+    with open(f"{tmp_path}/t/_shards/lost.json", "w") as f:
+        f.write('{"stage": "%s", "moves": [["%s/a.parquet", "%s", 1, 1]]}' % (stage, stage, files[-1]))
+    shards.shard_by_size(sinks.text_rows(rows.limit(1), "now"), f"file://{tmp_path}/t", "text")
+    assert len(glob.glob(f"{tmp_path}/t/*.parquet")) == len(files) + 1 and not os.path.exists(stage)
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 6001
