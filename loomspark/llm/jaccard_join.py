@@ -37,7 +37,7 @@ SKETCH, STEP = 64, 16
 #: A pair is dropped when its probability of reaching the threshold falls below this.
 TOLERANCE = 1e-6
 #: Documents of a bucket, and of a component, that one task compares with each other; n-grams of a component's block.
-BUCKET, BLOCK, BLOCK_GRAMS = 20_000, 1_000, 2_000_000
+BUCKET, BLOCK, BLOCK_GRAMS = 20_000, 2_000, 2_000_000
 #: Blocks up to which a component is compared block by block; a larger one is compared bucket by bucket.
 MOST_BLOCKS = 8
 _RNG = np.random.default_rng(41)
