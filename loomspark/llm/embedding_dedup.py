@@ -192,10 +192,12 @@ class Shard:
                 if x != y:
                     up[max(x, y)] = min(x, y)
                     edges.append((one, at))
-            for x in list(up):
-                if root(x) != x:
-                    self.group[self.group == x] = root(x)
-                    first[first == x] = root(x)
+            moved = {x: root(x) for x in sorted(up) if root(x) != x}
+            if moved:
+                old, new = np.array(list(moved), np.int64), np.array(list(moved.values()), np.int64)
+                for labels in (self.group, first):
+                    spot = np.minimum(np.searchsorted(old, labels), len(old) - 1)
+                    labels[:] = np.where(old[spot] == labels, new[spot], labels)
             up.clear()
         e = np.array(edges, np.int64).reshape(-1, 2)
         n, k = len(asking), len(e)
@@ -312,7 +314,9 @@ def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, width: int
     count = answers.filter("node is not null").groupBy("node").agg(F.sum("links").alias("links"))
     joined = components(answers.filter("a is not null").select("a", "b"))
     led = reps.select("k1", "k2", "node", "members").join(count, "node", "left").join(joined, "node", "left")
-    led = led.select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("members") - 1).alias("n_links"), F.coalesce("component", "node").alias("component"), F.lit(True).alias("real"))
-    out = rows.drop("embedding").join(led, ["k1", "k2", "real"], "left")
-    component = F.coalesce("component", "d")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(component != _NULL, component).alias("component_id"), (component == F.col("d")).alias("kept"), F.lit(recall).cast("double").alias("audited_recall"))
+    led = led.select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("members") - 1).alias("n_links"), F.coalesce("component", "node").alias("component"))
+    linked = rows.filter("real").select("vec_id", "d", "k1", "k2").join(materialize(led), ["k1", "k2"]).select("vec_id", "d", "n_links", "component")
+    alone = rows.filter("not real").select("vec_id", "d", F.lit(0).cast("long").alias("n_links"), F.col("d").alias("component"))
+    out = linked.unionByName(alone)  # rows that link with nothing share their keys and are not joined
+    component = F.col("component")
+    return out.select("vec_id", F.col("n_links").cast("long").alias("n_links"), F.when(component != _NULL, component).alias("component_id"), (component == F.col("d")).alias("kept"), F.lit(recall).cast("double").alias("audited_recall"))
