@@ -193,11 +193,12 @@ def arc_records(files: DataFrame, columns: list[str] | None = None) -> DataFrame
 def revisits(records: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     """record_id, refers_to: the records whose payload, of ``least`` bytes or more, that of a larger page_id equals.
 
-    Records that tie for the largest page_id stay responses all. A null page_id is less than any other.
+    Records that tie for the largest page_id stay responses all. A null page_id is less than any other. The largest are written before
+    they are joined, so that adaptive execution can split the records of a common payload.
     """
     rows = records.filter(F.col("payload_bytes") >= least).select("record_id", "payload_digest", F.coalesce("page_id", F.lit(-(1 << 63))).alias("page_id"))
     lead = rows.groupBy("payload_digest").agg(F.max("page_id").alias("lead"), F.max_by("record_id", F.struct("page_id", "record_id")).alias("refers_to"), F.count("*").alias("n")).filter("n > 1")
-    return rows.join(lead, "payload_digest").filter("page_id < lead").select("record_id", "refers_to").dropDuplicates(["record_id"])
+    return rows.join(materialize(lead), "payload_digest").filter("page_id < lead").select("record_id", "refers_to").dropDuplicates(["record_id"])
 
 
 def _packed(record: bytes) -> bytes:
@@ -315,8 +316,10 @@ def convert_pages(pages: DataFrame) -> DataFrame:
     convert(to_arc(pages), path)
     fields = ["record_id", "type", "payload_bytes", "payload_digest", "page_id", "refers_to"]
     back = materialize(read_warc(spark, path, fields))
-    lead = back.filter("refers_to is null").select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("__lead")).dropDuplicates(["refers_to"])
-    return back.join(lead, "refers_to", "left").select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("__lead").alias("refers_to"))
+    lead = materialize(back.filter("refers_to is null").select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("__lead")).dropDuplicates(["refers_to"]))
+    about = ["page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type")]
+    again = back.filter("refers_to is not null").join(lead, "refers_to", "left").select(*about, F.col("__lead").alias("refers_to"))
+    return again.unionByName(back.filter("refers_to is null").select(*about, F.lit(None).cast("long").alias("refers_to")))
 
 
 ORACLE = """
