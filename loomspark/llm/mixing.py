@@ -97,6 +97,7 @@ def mix(docs: DataFrame, max_repeat: float | None = MAX_REPEAT, entropy: float |
     edge = blocks.withColumn("upto", F.sum("t").over(upto)).filter(F.col("upto") > F.col("rest"))
     edge = edge.groupBy("__m_s").agg(F.min("block_key").alias("__m_block"), F.min_by(F.col("rest") - F.col("upto") + F.col("t"), "block_key").alias("left"))
     inside = last.join(edge.select("__m_s", F.col("__m_block").alias("block_key"), "left"), ["__m_s", "block_key"]).select("__m_s", "doc_key", "n_tokens", "left")
+    inside = inside.groupBy("__m_s", "doc_key", "left").agg(F.sum("n_tokens").alias("n_tokens"))  # equal rows, of which a block may hold any number, are one
     within = W.partitionBy("__m_s").orderBy("doc_key").rangeBetween(W.unboundedPreceding, W.currentRow)
     stop = inside.withColumn("upto", F.sum("n_tokens").over(within)).filter(F.col("upto") > F.col("left")).groupBy("__m_s").agg(F.min("doc_key").alias("__m_doc"))
     cut = materialize(plan.join(edge.select("__m_s", "__m_block"), "__m_s", "left").join(stop, "__m_s", "left").select("__m_s", "__m_full", "__m_blocks", "__m_block", "__m_doc"))
