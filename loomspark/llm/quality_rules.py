@@ -21,6 +21,8 @@ _SYMBOLS = r"[#*$%&|<>]"
 _MADE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "__text", "__w"]
 #: Rows on which rules are timed.
 SAMPLE = 1_000
+#: Stands among the costs of rules for that of taking texts apart into words.
+SPLIT = "(words)"
 
 
 class Measures:
@@ -134,51 +136,75 @@ RULES = (
 )
 
 
-def _raw(rule: Rule) -> Column:
-    """The rule over __text, with its words taken apart once."""
-    return let(words(F.col("__text")), lambda w: rule.fails(Measures(F.col("__text"), w)))
+class _Asked:
+    """Stands for measures and notes which of them a rule asks for."""
+
+    def __init__(self) -> None:
+        self.names: set[str] = set()
+
+    def __getattr__(self, name: str) -> Column:
+        self.names.add(name)
+        return F.col(name)
+
+
+def needs_words(rule: Rule) -> bool:
+    """Whether the rule needs the text taken apart into words."""
+    asked = _Asked()
+    rule.fails(asked)
+    return not asked.names.isdisjoint({"n_words", "n_repeat_words"})
 
 
 def costs(few: DataFrame, rules: Sequence[Rule], times: int = 8) -> dict[str, tuple[float, float]]:
-    """Seconds that each rule takes for the texts (__text) of a small cached sample, and their spread: the difference of two runs.
+    """Seconds that each rule takes for the rows of a small cached sample, and their spread: the difference of two runs.
 
-    Each rule goes through the sample and through ``times`` copies of it; the difference leaves out what any job costs, planning and
-    compiling included.
+    few holds the texts (__text), whose words are there before a rule is timed and are timed by themselves, as SPLIT; or what
+    :func:`measures` makes, and the rules take its counts. Each rule goes through the sample and through ``times`` copies of it; the
+    difference leaves out what any job costs, planning and compiling included.
     """
-    many = few.select("__text", F.explode(F.sequence(F.lit(1), F.lit(times)))).select("__text").persist()
+    counted = "n_words" in few.columns
+    if not counted:
+        few = few.select("__text", words(F.col("__text")).alias("__w")).persist()
+    many = few.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.lit(times)))).drop("__copy").persist()
 
     def seconds(query: DataFrame) -> float:
         began = time.perf_counter()
         query.first()
         return time.perf_counter() - began
 
+    m = Measures() if counted else Measures(F.col("__text"), F.col("__w"))
+    timed = {rule.name: F.sum(rule.fails(m).cast("int")) for rule in rules}
+    if not counted and any(map(needs_words, rules)):
+        timed[SPLIT] = F.sum(F.size(words(F.col("__text"))))
     found = {}
     try:
         many.count()
-        for rule in rules:
-            fails = F.sum(_raw(rule).cast("int"))
-            one, all_ = few.agg(fails), many.agg(fails)
+        for name, made in timed.items():
+            one, all_ = few.agg(made), many.agg(made)
             seconds(one)  # compiles
-            least = min(seconds(one), seconds(one))
-            a, b = seconds(all_), seconds(all_)
-            found[rule.name] = (max(min(a, b) - least, 1e-6) / (times - 1), abs(a - b) / (times - 1))
+            least, a, b = seconds(one), seconds(all_), seconds(all_)
+            found[name] = (max(min(a, b) - least, 1e-6) / (times - 1), abs(a - b) / (times - 1))
     finally:
         many.unpersist()
+        if not counted:
+            few.unpersist()
     return found
 
 
-def plan(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE) -> list[tuple[Rule, float, float]]:
+def plan(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE, counted: bool = True) -> list[tuple[Rule, float, float]]:
     """Rules with their share of rejections and seconds on a sample of at most sample_rows rows, best first.
 
-    The sample is drawn once; rules are timed on a twentieth of it, in one partition.
+    counted: the counts of :func:`measures` are there anyway and cost a rule nothing. Otherwise a rule is charged all that it computes,
+    and taking a text apart into words is charged once, to the first rule that needs them. The sample is drawn once; rules are timed on
+    a twentieth of it, in one partition.
     """
     n = docs.count()
     if not n or not rules:
         return [(r, 0.0, 0.0) for r in rules]
-    text = F.coalesce("text", F.lit("")).alias("__text")
-    sample = docs.select(text).sample(min(1.0, 1.5 * sample_rows / n), seed=7).limit(sample_rows).persist()
+    drawn = docs.select("text").sample(min(1.0, 1.5 * sample_rows / n), seed=7).limit(sample_rows)
+    sample = (measures(drawn).drop("text") if counted else drawn.select(F.coalesce("text", F.lit("")).alias("__text"))).persist()
     try:
-        shares = sample.agg(F.count("*").alias("n"), *[F.sum(_raw(r).cast("int")).alias(f"r{i}") for i, r in enumerate(rules)]).first()
+        fails = (lambda r: r.fails(Measures())) if counted else (lambda r: let(words(F.col("__text")), lambda w: r.fails(Measures(F.col("__text"), w))))
+        shares = sample.agg(F.count("*").alias("n"), *[F.sum(fails(r).cast("int")).alias(f"r{i}") for i, r in enumerate(rules)]).first()
         timed = sample.limit(max(1, sample_rows // 20)).coalesce(1).persist()
         try:
             cost = costs(timed, rules)
@@ -186,12 +212,18 @@ def plan(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMP
             timed.unpersist()
     finally:
         sample.unpersist()
-    found = [(r, (shares[f"r{i}"] or 0) / max(1, shares["n"]), cost[r.name][0]) for i, r in enumerate(rules)]
-    return sorted(found, key=lambda x: -x[1] / max(x[2], 1e-4))
+    left = [(r, (shares[f"r{i}"] or 0) / max(1, shares["n"]), cost[r.name][0]) for i, r in enumerate(rules)]
+    split, found = cost.get(SPLIT, (0.0, 0.0))[0], []
+    while left:
+        charged = [(r, share, own + split * needs_words(r)) for r, share, own in left]
+        best = max(range(len(left)), key=lambda i: charged[i][1] / max(charged[i][2], 1e-4))  # ties: the first
+        found.append(charged[best])
+        split *= not needs_words(left.pop(best)[0])
+    return found
 
 
-def _first_failed(order: Sequence[Rule], measures: Measures) -> Column:
-    out = F.lit(None).cast("string")
+def _first_failed(order: Sequence[Rule], measures: Measures, rest: Column | None = None) -> Column:
+    out = F.lit(None).cast("string") if rest is None else rest
     for rule in reversed(order):
         out = F.when(F.coalesce(rule.fails(measures), F.lit(False)), F.lit(rule.name)).otherwise(out)
     return out
@@ -205,12 +237,14 @@ def cascade(measured: DataFrame, order: Sequence[Rule]) -> Column:
 def accepted(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE) -> DataFrame:
     """The rows of docs (text and any others) that the base conditions and every rule accept: those that quality_rules keeps.
 
-    Nothing is computed but what the cascade comes to. Null and empty texts go; ties, repeated rows, null ids and other columns,
-    whatever their names, do not matter. Texts are read whole. An empty table gives an empty one.
+    Nothing is computed but what the cascade comes to; texts are taken apart into words when a rule first needs them. Null and empty
+    texts go; ties, repeated rows, null ids and other columns, whatever their names, do not matter. Texts are read whole. An empty table gives an empty one.
     """
-    order = [r for r, _, _ in plan(docs, (*BASE, *rules), sample_rows)]
+    order = [r for r, _, _ in plan(docs, (*BASE, *rules), sample_rows, counted=False)]
     text = F.coalesce("text", F.lit(""))
-    return docs.filter(let(words(text), lambda w: _first_failed(order, Measures(text, w)).isNull()))
+    first = next((i for i, r in enumerate(order) if needs_words(r)), len(order))
+    rest = let(words(text), lambda w: _first_failed(order[first:], Measures(text, w))) if first < len(order) else None
+    return docs.filter(_first_failed(order[:first], Measures(text), rest).isNull())
 
 
 def quality_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE) -> DataFrame:

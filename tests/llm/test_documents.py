@@ -2,6 +2,7 @@
 
 import collections
 import math
+import random
 import re
 import zlib
 
@@ -11,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from loomspark.llm import language_id as languages
 from loomspark.llm import license_scan, mixing, packing, quality_rules
 from loomspark.llm.language_id import fit, language_id
 from loomspark.llm.license_texts import BASE, TEMPLATES
@@ -148,6 +150,34 @@ def test_language_learns_a_bounded_number_of_labels(spark):
     assert langs == [f"l{i}" for i in range(7)] and model.shape[1] == 7
 
 
+@pytest.mark.parametrize("chain", [1, 3])
+def test_language_by_ranges_of_labels(spark, monkeypatch, chain):
+    """Many labels, few for each matrix: predictions are those of one matrix, rare labels and ties included."""
+    monkeypatch.setattr(languages, "CHAIN", chain)
+    r = random.Random(3)
+    letters = {f"l{k:02d}": "".join(r.sample("abcdefghijklmnopqrstuvwxyz", 6)) for k in range(11)}
+    data = [(i, " ".join("".join(r.choice(letters[x]) for _ in range(5)) for _ in range(30)), x, "a") for i in range(120) for x in [f"l{min(r.randrange(20), 10):02d}"]]
+    data += [(200, "same words", "m1", "a"), (201, "same words", "m2", "a"), (202, None, "l01", "a"), (203, "12 34", "l02", "a"), (204, "x y z", None, "a")]
+    docs = spark.createDataFrame(data, SCHEMA)
+    whole = {(x.doc_id, x.held_out, x.lang_pred, round(x.score, 9)) for x in language_id(docs).collect()}
+    parts = {(x.doc_id, x.held_out, x.lang_pred, round(x.score, 9)) for x in language_id(docs, languages=2).collect()}
+    assert whole == parts and len(whole) == len(data)
+    assert len({x[2] for x in whole}) > 8 and {x[2] for x in whole if x[0] in (202, 203)} == {"und"}
+
+
+def test_words_are_charged_once_and_split_when_needed(spark, monkeypatch):
+    rules = {r.name: r for r in (*quality_rules.BASE, *quality_rules.RULES)}
+    assert {n for n, r in rules.items() if not quality_rules.needs_words(r)} == {"capitals", "repeated_lines"}
+    fixed = {n: (0.001, 0.0) for n in rules} | {quality_rules.SPLIT: (0.01, 0.0)}
+    monkeypatch.setattr(quality_rules, "costs", lambda few, rules: fixed)
+    loud, short = "WORDS AND WORDS " * 5, "few words"
+    docs = spark.createDataFrame([(i, loud if i % 3 == 0 else short) for i in range(60)], "doc_id long, text string")
+    order = quality_rules.plan(docs, list(rules.values()), counted=False)
+    assert order[0][0].name == "capitals" and order[0][2] == 0.001  # a third go without any words
+    paid = [c for r, _, c in order if quality_rules.needs_words(r)]
+    assert paid[0] == pytest.approx(0.011) and all(c == 0.001 for c in paid[1:])
+
+
 def test_licences(spark):
     extra = [
         (200, "MIT License mit-LICENSE. x general public\nlicense"),
