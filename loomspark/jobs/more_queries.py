@@ -95,13 +95,16 @@ _PROMPTS = [("de", "Wie lautet Artikel %ID%?", "Achtung: "), ("fr", "Que dit l'a
 
 @query(
     """WITH p(lang, prompt, warning) AS (VALUES ('de', 'Wie lautet Artikel %ID%?', 'Achtung: '), ('fr', 'Que dit l''article %ID% ?', 'Attention: '))
-SELECT 'https://law/' || doc_id AS source, replace(prompt, '%ID%', 'a' || doc_id) AS question, warning || left(text, doc_id % 150) AS answer, false AS ai_enhanced
-FROM documents JOIN p ON documents.lang = p.lang WHERE doc_id % 5 > 0 AND text IS NOT NULL AND length(left(text, doc_id % 150)) < 100"""
+, s AS (SELECT doc_id, lang, generate_subscripts(a, 1) - 1 AS i, unnest(a) AS html FROM (SELECT doc_id, lang, string_split(text, '.') AS a FROM documents WHERE doc_id % 5 > 0 AND text IS NOT NULL))
+SELECT 'https://law/' || doc_id AS source, replace(prompt, '%ID%', 'a' || doc_id || '_' || i) AS question, warning || html AS answer, false AS ai_enhanced
+FROM s JOIN p ON s.lang = p.lang WHERE length(html) < 100"""
 )
 def law_html_chats(spark, sf_dir):
+    """The sentences of whole texts as articles, those of every fifth document without an id."""
     url = F.concat(F.lit("https://law/"), F.col("doc_id").cast("string"))
-    ident = F.when(F.col("doc_id") % 5 > 0, F.concat(F.lit("a"), F.col("doc_id").cast("string")))
-    articles = table(spark, sf_dir, "documents").select(url.alias("url"), "lang", ident.alias("id"), F.substring(F.col("text"), F.lit(1), (F.col("doc_id") % 150).cast("int")).alias("html"))
+    ident = F.when(F.col("doc_id") % 5 > 0, F.concat_ws("_", F.concat(F.lit("a"), F.col("doc_id").cast("string")), F.col("pos").cast("string")))
+    articles = table(spark, sf_dir, "documents").select("doc_id", "lang", F.posexplode(F.split("text", r"\.")).alias("pos", "html"))
+    articles = articles.select(url.alias("url"), "lang", ident.alias("id"), "html")
     m = F.col("messages")
     made = article_chats(articles, spark.createDataFrame(_PROMPTS, "lang string, prompt string, warning string"))
     return made.select("source", m[0]["content"][0]["text"].alias("question"), m[1]["text"]["text"].alias("answer"), "ai_enhanced")
