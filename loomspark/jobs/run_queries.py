@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspark.jobs.queries import query
-from loomspark.operators import documents
+from loomspark.operators import documents, repofiles
 from loomspark.session import scratch, table
 from loomspark.sources import readers, sinks
 
@@ -236,3 +236,22 @@ def shard_by_size(spark, sf_dir):
     number = F.regexp_extract("file", r"(\d+)\.parquet$", 1).cast("long")
     files = files.select("file", number.between(1, files.count()).alias("numbered"), ((F.coalesce("bytes", F.lit(0)) <= 50_000) | (F.col("n") == 1)).alias("bounded"))
     return rows.join(files, "file").drop("file")
+
+
+@query(
+    """WITH d AS (SELECT doc_id, doc_id % 300 AS k, 'a/f' || doc_id || '.X' || (doc_id % 300) AS path FROM documents)
+SELECT doc_id, CASE WHEN k % 5 = 4 THEN '# <!-- File: ' || path || ' | Repository: r -->'
+    WHEN k % 3 = 0 THEN '#' || k || ' File: ' || path || chr(10) || '#' || k || ' Repository: r'
+    ELSE '<' || k || ' File: ' || path || ' | Repository: r' || CASE WHEN k % 3 = 1 THEN ' ' || k || '>' ELSE '' END END || chr(10) || chr(10) AS header FROM d"""
+)
+def comment_styles_given(spark, sf_dir):
+    """Headers by a table of marks that is written, read back and longer than the one that is built in."""
+    k = F.col("doc_id") % 300
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("a/f"), "doc_id", F.lit(".X"), k).alias("path"))
+    n = k.cast("string")
+    line = F.when(k % 3 == 0, F.concat(F.lit("#"), n))
+    open_, close = F.when(k % 3 > 0, F.concat(F.lit("<"), n)), F.when(k % 3 == 1, F.concat(n, F.lit(">")))
+    path = scratch(spark)
+    docs.filter(k % 5 != 4).select(F.concat(F.lit(".X"), n).alias("key"), line.alias("line"), open_.alias("open"), close.alias("close")).distinct().write.json(path)
+    styled = repofiles.comment_style(docs, suffixes=readers.read_comment_styles(spark, path))
+    return styled.select("doc_id", repofiles.comment_header(F.col("path"), F.lit("r"), F.lit("main"), F.col("line"), F.col("open"), F.col("close")).alias("header"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.functions.text import file_name, file_suffix
@@ -17,23 +17,24 @@ BINARY = """
 """.split()
 
 #: Marks (line; or open and close of a block) and the suffixes that use them, the common ones. A table of any length can be
-#: given instead. Fixed values.
+#: given besides. Fixed values.
 SUFFIXES = {
-    ("#", None, None): """.awk .bash .cfg .clang-format .clang-tidy .cmake .conf .config .cr .csv .dockerfile .editorconfig .env .ex .exs
-        .feature .fish .gemspec .gitattributes .gitignore .gitmodules .hcl .in .jl .kconfig .log .mak .makefile .mk .nim .nix .patch
-        .pem .perl .pl .pm .pro .properties .ps1 .py .pyw .r .rb .rbs .rules .rv .s .sed .service .sh .socs .spec .t .tbl .tc .template
-        .test .tf .tmpl .toml .txt .yaml .yml .zsh""",
+    ("#", None, None): """.am .awk .bash .build .cfg .clang-format .clang-tidy .cmake .common .conf .config .cr .csv .default .deps
+        .dockerfile .editorconfig .env .ex .example .exs .feature .fish .gemspec .gitattributes .gitignore .gitmodules .hcl .in .jl
+        .kconfig .log .mak .makefile .mk .mod .nim .nix .patch .pem .perl .pl .pm .pro .profile .properties .ps1 .py .pyw .r .rb .rbs
+        .readme .rules .rv .s .sample .schema .sed .service .sh .socs .spec .src .sum .t .target .tbl .tc .template .test .tf .tmpl
+        .toml .txt .typed .vm .yaml .yml .zsh""",
     ("dnl ", None, None): ".ac .m4",
     (";", None, None): ".asm .clj .cljc .cljs .el .ini .sa",
     ("REM ", None, None): ".bat .cmd",
-    ("//", None, None): """.c .cat .cc .cjs .cl .cocci .comp .cpp .cs .cu .cuh .cxx .dart .def .dot .dts .dtsi .frag .fs .fsh .fsx .glsl .go
-        .gradle .groovy .h .hh .hpp .hxx .idl .inc .inl .java .js .jsx .kt .kts .less .metal .mjs .mm .php .reg .rs .sass .scala .scss
-        .styl .swift .ts .tsx .vert .vsh .wgsl .xs .zig""",
+    ("//", None, None): """.c .cat .cc .cjs .cl .cocci .comp .cpp .cs .cu .cuh .cxx .dart .def .dot .dts .dtsi .dtso .frag .fs .fsh .fsx .glsl .go
+        .gradle .groovy .h .hh .hpp .hxx .idl .inc .inl .java .js .jsx .kt .kts .lds .less .metal .mjs .mm .php .reg .rs .sass .scala
+        .script .scss .styl .swift .ts .tsx .vert .vsh .wgsl .x .xs .zig""",
     ("%", None, None): ".bib .erl .hrl .m .sty",
     ("--", None, None): ".asn1 .hs .lua .sql",
     ('"', None, None): ".nvim .vim",
     ("'", None, None): ".vb",
-    (None, "<!--", "-->"): ".astro .htm .html .markdown .md .mdx .plist .storyboard .svg .svelte .ui .vue .xml .xsd .xsl",
+    (None, "<!--", "-->"): ".astro .entitlements .htm .html .markdown .md .mdx .pbxproj .plist .storyboard .svg .svelte .ui .vue .xcscheme .xml .xsd .xsl",
     (None, "/*", "*/"): ".css .json .json5 .jsonc .l .ld .mcmeta .po .proto .webmanifest .xpm .y",
     (None, "#", ""): ".gql .graphql",
     (None, "{#", "#}"): ".j2 .jinja .peb",
@@ -57,9 +58,14 @@ NAMES = {
 }
 
 
-def styles(spark: SparkSession, marks: dict) -> DataFrame:
-    rows = [(key, *mark) for mark, keys in marks.items() for key in keys.split()]
-    return spark.createDataFrame(rows, "key string, line string, open string, close string")
+STYLE = "struct<line: string, open: string, close: string>"
+
+
+def _marks(marks: dict, key: Column) -> Column:
+    """struct(line, open, close) of a key by a literal map, so that files are not joined; null where it has none."""
+    pairs = [F.lit(x) for keys in marks.values() for x in keys.split()]
+    values = [F.struct(*(F.lit(m).cast("string").alias(n) for m, n in zip(mark, ("line", "open", "close"), strict=True))) for mark, keys in marks.items() for _ in keys.split()]
+    return F.try_element_at(F.map_from_arrays(F.array(*pairs), F.array(*values)), key)
 
 
 def read_text_files(files: DataFrame) -> DataFrame:
@@ -69,15 +75,21 @@ def read_text_files(files: DataFrame) -> DataFrame:
 
 
 def comment_style(files: DataFrame, suffixes: DataFrame | None = None, names: DataFrame | None = None) -> DataFrame:
-    """files (path, any others) with line, open, close: by name, else by suffix, else as in ``# <!-- -->``."""
-    spark = files.sparkSession
-    by_name = lookup((styles(spark, NAMES) if names is None else names).select(F.col("key").alias("__name"), F.struct("line", "open", "close").alias("__n")))
-    by_suffix = lookup((styles(spark, SUFFIXES) if suffixes is None else suffixes).select(F.col("key").alias("__suffix"), F.struct("line", "open", "close").alias("__s")))
-    keyed = files.withColumns({"__name": F.lower(file_name(F.col("path"))), "__suffix": file_suffix(F.col("path"))})
+    """files (path, any others) with line, open, close: by name, else by suffix, else as in ``# <!-- -->``.
+
+    suffixes, names: tables (key, line, open, close; a key once, in lower case) that come before those above, see
+    :func:`loomspark.sources.readers.read_comment_styles`. Without them files meet no join.
+    """
+    found = files.withColumns({"__name": F.lower(file_name(F.col("path"))), "__suffix": file_suffix(F.col("path"))})
+    ways = []
+    for key, given, marks in (("__name", names, NAMES), ("__suffix", suffixes, SUFFIXES)):
+        if given is not None:
+            rows = given.select(F.col("key").alias(key), F.struct("line", "open", "close").cast(STYLE).alias(f"{key}_given"))
+            found = found.join(lookup(rows), key, "left")
+            ways.append(F.col(f"{key}_given"))
+        ways.append(_marks(marks, F.col(key)))
     other = F.struct(F.lit(None).cast("string").alias("line"), F.lit("# <!--").alias("open"), F.lit("-->").alias("close"))
-    style = F.coalesce("__n", "__s", other)
-    found = keyed.join(by_name, "__name", "left").join(by_suffix, "__suffix", "left").withColumn("__style", style)
-    return found.select(*files.columns, "__style.*")
+    return found.withColumn("__style", F.coalesce(*ways, other)).select(*files.columns, "__style.*")
 
 
 def comment_header(path: Column, repo: Column, branch: Column, line: Column, open_: Column, close: Column) -> Column:

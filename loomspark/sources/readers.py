@@ -34,6 +34,19 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(strip_ws(F.col("value")).alias("source")).filter("source != ''").distinct()
 
 
+def read_comment_styles(spark: SparkSession, path: str) -> DataFrame:
+    """key, line, open, close: comment marks for suffixes (``.x``) or whole names, from lines of JSON with these fields.
+
+    Keys come in lower case, each once: of lines of one key the least (line, open, close), nulls first. Lines without a key, or with neither
+    line nor open, say nothing. A block mark without close has an empty one.
+    """
+    rows = spark.read.schema("key string, line string, open string, close string").json(path)
+    rows = rows.filter(F.col("key").isNotNull() & F.coalesce("line", "open").isNotNull())
+    close = F.when(F.col("line").isNull(), F.coalesce("close", F.lit("")))
+    style = F.struct("line", "open", close.alias("close"))
+    return rows.groupBy(F.lower("key").alias("key")).agg(F.min(style).alias("s")).select("key", "s.*")
+
+
 class _Part(InputPartition):
     """One of ``ways`` shares of a folder's files: of all below it, or only of those that lie in it."""
 

@@ -5,7 +5,9 @@ import random
 from pyspark.sql import functions as F
 
 from loomspark.jobs.build import Registry, build
+from loomspark.operators import repofiles
 from loomspark.operators.documents import pdf_rows
+from loomspark.sources.readers import read_comment_styles
 from loomspark.streaming.ingest import ingest_batch
 
 
@@ -214,3 +216,29 @@ def test_shards_are_bounded_and_numbered(spark, tmp_path):
     shards.shard_by_size(sinks.text_rows(rows.limit(1), "now"), f"file://{tmp_path}/t", "text")
     assert len(glob.glob(f"{tmp_path}/t/*.parquet")) == len(files) + 1 and not os.path.exists(stage)
     assert spark.read.parquet(f"{tmp_path}/t").count() == 6001
+
+
+def test_comment_marks(spark, tmp_path):
+    """Every mark that is built in, by one file each; a table of marks comes before these and may be odd."""
+    paths, want = [], {}
+    for marks, pattern in ((repofiles.SUFFIXES, "d/file{}"), (repofiles.NAMES, "d/{}")):
+        for mark, keys in marks.items():
+            for key in keys.split():
+                paths.append(pattern.format(key))
+                want[paths[-1]] = mark
+    assert len(set(paths)) == len(paths)
+    want |= {"d/x.unheard": (None, "# <!--", "-->"), "": (None, "# <!--", "-->"), "d/README": want["d/readme"], "d/A.PY": want["d/file.py"]}
+    odd = [(p,) for p in want] + [(None,), ("d/A.PY",)]
+    files = spark.createDataFrame(odd, "path string")
+    styled = repofiles.comment_style(files)
+    got = styled.collect()
+    assert len(got) == len(odd)
+    assert {r.path: (r.line, r.open, r.close) for r in got} == {**want, None: (None, "# <!--", "-->")}
+    assert "Join" not in styled._jdf.queryExecution().toString()
+
+    (tmp_path / "marks.json").write_text('{"key": ".UNHEARD", "line": "@@"}\n{"key": ".py", "open": "(*"}\n{"key": ".py", "open": "(*", "close": "*)"}\n{"key": ".c"}\n{"line": "#"}\n{}\n')
+    table = read_comment_styles(spark, str(tmp_path))
+    assert {tuple(r) for r in table.collect()} == {(".unheard", "@@", None, None), (".py", None, "(*", "")}
+    given = {r.path: (r.line, r.open, r.close) for r in repofiles.comment_style(files, suffixes=table).collect()}
+    assert given == {**want, None: (None, "# <!--", "-->"), "d/x.unheard": ("@@", None, None), "d/A.PY": (None, "(*", ""), "d/file.py": (None, "(*", "")}
+    assert repofiles.comment_style(files.limit(0), suffixes=table, names=table.limit(0)).count() == 0
