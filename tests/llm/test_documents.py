@@ -12,8 +12,9 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from loomspark.llm import language_id as languages
-from loomspark.llm import license_scan, mixing, packing, quality_rules
+from loomspark.llm import jaccard_join, license_scan, mixing, packing, quality_rules
 from loomspark.llm.language_id import fit, language_id
 from loomspark.llm.license_texts import BASE, TEMPLATES
 from tests.llm.data import SCHEMA, WORD, frame, rows
@@ -403,3 +404,53 @@ def test_mixing_spreads_rows_of_one_id(spark, monkeypatch):
     docs = spark.createDataFrame([(None, f"word {i} and more", "en", "a") for i in range(400)] + [(i, "x y", "en", "b") for i in range(20)], SCHEMA)
     got = mixing.mix(docs).filter("source = 'a'").collect()
     assert len({r.block for r in got}) > 20 and len({r.doc_key for r in got if r.epoch == 0}) == 400
+
+
+@pytest.fixture(scope="module")
+def long_texts():
+    """A million letters in one word, many short lines, many numbers, blanks alone, and prose with a licence's name at its end."""
+    r = random.Random(23)
+    prose = " ".join("".join(r.choice("abcdeéß日") for _ in range(r.randint(1, 7))) for _ in range(200_000))
+    return ["ab" * 500_000, "x\n" * 500_000, " ".join(map(str, range(200_000))), " \t\n" * 400_000, prose + " mit license", "ab" * 500_000]
+
+
+def test_long_texts_of_operators(spark, long_texts):
+    """Whole texts, however long, and words of a million letters: language, licences, near-duplicates, mixing."""
+    data = [(i, t, ("en", "fr")[i % 2], "ab"[i % 2]) for i, t in enumerate(long_texts)]
+    docs = frame(spark, data)
+    sizes = [len(WORD.findall(t)) for t in long_texts]
+
+    got = {r.doc_id: r for r in language_id(docs).collect()}
+    assert set(got) == set(range(6)) and got[0].lang_pred == got[5].lang_pred and got[0].score == got[5].score
+    assert got[2].lang_pred == got[3].lang_pred == "und" and all(0 <= r.score <= 1 for r in got.values())
+
+    got = {r.doc_id: r for r in license_scan.license_scan(docs).collect()}
+    for i, t in enumerate(long_texts):
+        w = license_scan.words(t)
+        at = [k for k in range(len(w) - 1) if w[k : k + 2] == ["mit", "license"]]
+        assert (got[i].n_words, got[i].n_base, got[i].first_word, got[i].base_labels) == (len(w), len(at), at[0] if at else None, "mit" if at else "")
+
+    got = {r.doc_id: r for r in jaccard_join.jaccard_join(docs).collect()}
+    assert [(got[i].n_links, got[i].component_id) for i in range(6)] == [(1, 0), (0, 1), (0, 2), (0, 3), (0, 4), (1, 0)]
+
+    got = collections.Counter((r.doc_id, r.n_tokens) for r in mixing.mix(docs).select("doc_id", "n_tokens").collect())
+    assert {i: n for i, n in got} == dict(enumerate(sizes)) and max(got.values()) <= mixing.MAX_REPEAT + 1
+
+
+def test_long_texts_of_stages(spark, sf, long_texts):
+    """Each stage of the pipeline on long texts and long words keeps what is its to keep, whole."""
+    data = [(i, t, "en", "ab"[i % 2]) for i, t in enumerate(long_texts)]
+    docs = spark.createDataFrame(data, SCHEMA).withColumn("n_chars", F.length("text").cast("long"))
+    stage = [f for _, f in corpus_pipeline.STAGES]
+    assert not {r.doc_id for r in stage[0](spark, docs, sf).select("doc_id").collect()} & {0, 1, 3, 5}
+    assert sorted(r.doc_id for r in stage[1](spark, docs, sf).select("doc_id").collect()) == [0, 1, 2, 3, 4]
+    cut = {r.doc_id: r.text for r in stage[2](spark, docs, sf).select("doc_id", "text").collect()}
+    assert cut[4] == long_texts[4] and cut[0] == cut[1] == cut[3] == cut[5] == ""  # of all these every 200 bytes start elsewhere too
+    mixed = {r.doc_id: r.text for r in stage[3](spark, docs, sf).collect()}
+    assert mixed == dict(enumerate(long_texts))
+    some = docs.filter("doc_id in (1, 2, 4)")
+    packed = stage[4](spark, some, sf).select("doc_id", "start", "length").collect()
+    assert {r.doc_id for r in packed} == {1, 2, 4} and max(r.length for r in packed) <= 1024
+    for i in (1, 2, 4):
+        pieces = sorted((r.start, r.length) for r in packed if r.doc_id == i)
+        assert all(a + n == b for (a, n), (b, _) in zip(pieces, pieces[1:], strict=False)) and pieces[0][0] == 0
