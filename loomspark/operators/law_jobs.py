@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loomspark.functions.text import strip_ws
 from loomspark.operators.chats import assistant, message, text_content
-from loomspark.session import bounded, lookup
+from loomspark.session import bounded, lookup, pieces
 
 LANGUAGES = ("de", "fr", "it")
 _ARTICLES = "array<struct<key:string,article_id:string,eId:string,heading:string,markdown:string,path:string>>"
@@ -25,7 +25,7 @@ def law_xml_convert(rows: DataFrame, convert: Callable[[str, str], dict], pretty
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in pieces(batches, "xml"):
             made = []
             for title, xml in zip(batch["title"], batch["xml"], strict=True):
                 row = dict.fromkeys(("pretty_xml", "markdown", "meta", "articles", "error"))

@@ -8,13 +8,20 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 #: Rows up to which a lookup table is broadcast.
 SMALL = 100_000
+#: Bytes of the Arrow batches that go to Python workers, about, and characters of text that one step there holds with what it makes of them.
+BATCH_BYTES, PIECE = 8 << 20, 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,7 +62,7 @@ def materialize(df: DataFrame, by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded(df: DataFrame, most: int = 32 << 20) -> DataFrame:
+def bounded(df: DataFrame, most: int = BATCH_BYTES) -> DataFrame:
     """df, with the session's bound on the bytes of the Arrow batches that go to Python lowered to ``most`` unless it is lower already."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)i?b?", df.sparkSession.conf.get(key).lower()).groups()
@@ -64,6 +71,21 @@ def bounded(df: DataFrame, most: int = 32 << 20) -> DataFrame:
     return df
 
 
+def pieces(batches: Iterator[pd.DataFrame], column: str, most: int = PIECE) -> Iterator[pd.DataFrame]:
+    """The rows of each batch a few at a time: as many as have about ``most`` characters in a text column, one at least.
+
+    A worker that makes several times its input then holds that for a piece, not for a batch.
+    """
+    for batch in batches:
+        start = held = 0
+        for i, text in enumerate(batch[column]):
+            held += len(text or "")
+            if held > most and i > start:
+                yield batch.iloc[start:i]
+                start, held = i, len(text or "")
+        yield batch.iloc[start:]
+
+
 def lookup(df: DataFrame, limit: int = SMALL) -> DataFrame:
     """df marked for broadcast if it has at most ``limit`` rows; a larger one is joined by shuffle."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

@@ -3,6 +3,8 @@
 import json
 import xml.etree.ElementTree as ET
 
+from pyspark.sql import functions as F
+
 from loomspark.operators import law_jobs
 
 
@@ -34,3 +36,19 @@ def test_law_rows(spark):
     assert set(json.loads(law_jobs.articles_payload(one, flat=True).first().payload)) == {"Art. 1", "Art. 2", "Art. 2a"}
     rich = json.loads(law_jobs.articles_payload(one, rich=True).first().payload)
     assert rich["meta"]["language"] == "de" and rich["articles"]["Art. 2a"]["eId"] == "art_2a"
+
+
+def held(xml):
+    """The xml thrice, behind the MB that the worker holds by now."""
+    with open("/proc/self/statm") as f:
+        return f"{int(f.read().split()[1]) * 4096 >> 20}|" + xml * 3
+
+
+def test_a_worker_holds_what_a_few_acts_become(spark):
+    """Forty acts of a million letters, each made into some ten million, in one task."""
+    rows = spark.range(40).coalesce(1).selectExpr("id row_id", "'T' title", "'de' lang", "repeat('x', 1000000) xml")
+    articles = lambda xml, _: {"markdown": xml * 3, "articles": [{"key": str(i), "markdown": xml + str(i)} for i in range(4)]}
+    got = law_jobs.law_xml_convert(rows, articles, held).select(F.substring_index("pretty_xml", "|", 1).cast("int").alias("mb"), F.length("pretty_xml").alias("n"), F.size("articles").alias("a"))
+    got = got.collect()
+    assert len(got) == 40 and {r.a for r in got} == {4} and min(r.n for r in got) > 3_000_000
+    assert max(r.mb for r in got) - min(r.mb for r in got) < 110
