@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loomspark.functions import page_html, wiki_html
 from loomspark.operators.chats import assistant, message, text_content
-from loomspark.session import bounded, lookup
+from loomspark.session import bounded, lookup, pieces
 
 #: Plain HTML of an article that makes a chat is shorter than this. Fixed value.
 ARTICLE_MOST = 100
@@ -21,7 +21,7 @@ def _converted(pages: DataFrame, keep: list[str], made: str, convert: Callable[[
     names = [x.split()[0] for x in made.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in pieces(batches, "html"):
             rows = []
             for text in batch["html"]:
                 try:

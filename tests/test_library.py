@@ -249,6 +249,21 @@ def test_law(spark):
     assert chat[0].content[0].text == "Was sagt Artikel 5a?" and chat[1].text.text.startswith("W <h6>")
 
 
+def rising(text):
+    """The text thrice, behind the MB that the worker holds by now."""
+    with open("/proc/self/statm") as f:
+        return f"{int(f.read().split()[1]) * 4096 >> 20}|" + text * 3
+
+
+def test_a_worker_holds_what_a_few_pages_become(spark):
+    """Forty pages of a million letters, each made into six million, in one task."""
+    pages = spark.range(40).coalesce(1).selectExpr("concat('u', id) url", "repeat('x', 1000000) html")
+    rows = html_jobs._converted(pages, ["url"], "page_html string, plain_html string", lambda t: {"page_html": rising(t), "plain_html": t * 3})
+    got = rows.select(F.substring_index("page_html", "|", 1).cast("int").alias("mb"), F.length("plain_html").alias("n"), "error").collect()
+    assert len(got) == 40 and {r.n for r in got} == {3_000_000} and {r.error for r in got} == {None}
+    assert max(r.mb for r in got) - min(r.mb for r in got) < 90
+
+
 def test_articles(spark):
     news = """<article><header class="entry-header"><h1 class="entry-title">T <b>x</b></h1><time class="entry-date published">1. Mai</time></header>
 <div class="entry-content"><p>A <a href="u">link</a> <strong>b</strong><br>c<img></p><div>skip</div><h3>H</h3><ol><li>one</li><li><em>two</em></li></ol></div></article>"""
