@@ -420,6 +420,18 @@ def test_arrow_batches_are_bounded(spark):
         spark.conf.set(key, before)
 
 
+def test_pieces_keep_every_row_in_order():
+    import pandas as pd
+
+    from loomspark.session import pieces
+
+    texts = ["aaaa", None, "bb", "c" * 20, "", "dd", "eeeee", "f"]
+    batches = [pd.DataFrame({"k": range(8), "t": texts}), pd.DataFrame({"k": [], "t": []}), pd.DataFrame({"k": [8, 9], "t": [None, None]})]
+    got = list(pieces(iter(batches), "t", 6))
+    assert [list(p.k) for p in got] == [[0, 1, 2], [3], [4, 5], [6, 7], [], [8, 9]]
+    assert [k for p in got for k in p.k] == list(range(10))
+
+
 def test_every_query_agrees_with_its_sql(spark, sf):
     import os
 
