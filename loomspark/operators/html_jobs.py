@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loomspark.functions import page_html, wiki_html
 from loomspark.operators.chats import assistant, message, text_content
-from loomspark.session import bounded, lookup, pieces
+from loomspark.session import beside, bounded, lookup, pieces
 
 #: Plain HTML of an article that makes a chat is shorter than this. Fixed value.
 ARTICLE_MOST = 100
@@ -20,16 +20,15 @@ def _converted(pages: DataFrame, keep: list[str], made: str, convert: Callable[[
     """pages (keep, html) with the fields that convert makes of each html, and error where it can't. A failure ends no job."""
     names = [x.split()[0] for x in made.split(", ")]
 
+    def one(text: str | None) -> dict:
+        try:
+            return convert(text or "") | {"error": None}
+        except Exception as e:  # noqa: BLE001
+            return dict.fromkeys(names) | {"error": str(e) or type(e).__name__}
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in pieces(batches, "html"):
-            rows = []
-            for text in batch["html"]:
-                try:
-                    rows.append(convert(text or "") | {"error": None})
-                except Exception as e:  # noqa: BLE001
-                    rows.append(dict.fromkeys(names) | {"error": str(e) or type(e).__name__})
-            out = pd.DataFrame(rows, columns=[*names, "error"], index=batch.index)
-            yield pd.concat([batch[keep], out], axis=1)
+            yield from beside(batch[keep], map(one, batch["html"]), [*names, "error"])
 
     kinds = dict(pages.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + f", {made}, error string"

@@ -8,7 +8,7 @@ import re
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +20,7 @@ if TYPE_CHECKING:
 
 #: Rows up to which a lookup table is broadcast.
 SMALL = 100_000
-#: Bytes of the Arrow batches that go to Python workers, about, and characters of text that one step there holds with what it makes of them.
+#: Bytes of the Arrow batches that go to Python workers, about, and characters of text that one step there holds, and of what it makes of them.
 BATCH_BYTES, PIECE = 8 << 20, 1 << 20
 
 
@@ -86,6 +86,32 @@ def pieces(batches: Iterator[pd.DataFrame], column: str, most: int = PIECE) -> I
         yield batch.iloc[start:]
 
 
+def letters(value: object) -> int:
+    """Characters of a text, or of all texts in a list or dict."""
+    if isinstance(value, dict):
+        return sum(map(letters, value.values()))
+    if isinstance(value, list):
+        return sum(map(letters, value))
+    return len(value) if isinstance(value, str) else 0
+
+
+def beside(batch: pd.DataFrame, made: Iterable[dict], columns: list[str], most: int = PIECE) -> Iterator[pd.DataFrame]:
+    """The rows of a batch, each with the columns made of it, handed on as soon as what was made has more than ``most`` characters.
+
+    So a worker holds no more than that and one row's, however many times its input a row becomes (deep trees, laid out, grow with their depth squared).
+    """
+    import pandas as pd
+
+    rows, start, held = [], 0, 0
+    for end, row in enumerate(made, 1):
+        rows.append(row)
+        held += letters(row)
+        if held > most or end == len(batch):
+            part = batch.iloc[start:end]
+            yield pd.concat([part, pd.DataFrame(rows, columns=columns, index=part.index)], axis=1)
+            rows, start, held = [], end, 0
+
+
 def lookup(df: DataFrame, limit: int = SMALL) -> DataFrame:
     """df marked for broadcast if it has at most ``limit`` rows; a larger one is joined by shuffle."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

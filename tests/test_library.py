@@ -264,6 +264,27 @@ def test_a_worker_holds_what_a_few_pages_become(spark):
     assert max(r.mb for r in got) - min(r.mb for r in got) < 90
 
 
+def test_a_worker_holds_little_of_pages_that_become_many_times_their_size(spark):
+    """A hundred pages of three thousand letters, less than a piece together, each made into 2.7 million, in one task."""
+    pages = spark.range(100).coalesce(1).selectExpr("concat('u', id) url", "repeat('x', 3000) html")
+    rows = html_jobs._converted(pages, ["url"], "text string", lambda t: {"text": rising(t * 300)})
+    got = rows.select("url", F.substring_index("text", "|", 1).cast("int").alias("mb"), F.length("text").alias("n"), "error").collect()
+    assert [r.url for r in got] == [f"u{i}" for i in range(100)] and all(r.n > 2_700_000 and r.error is None for r in got)
+    assert max(r.mb for r in got) - min(r.mb for r in got) < 90
+
+
+def test_deep_pages_are_laid_out_whole_and_in_order(spark):
+    """Nested tags are laid out with a space for each level: 58 times the page at a depth of 400. Of a failure only the error stays."""
+    deep = [None if i == 7 else "<b>" * (5000 if i == 9 else 10 * i) + f"x{i}" + "</b>" * (10 * i) for i in range(41)]
+    df = spark.createDataFrame([(f"u{i}", t) for i, t in enumerate(deep)], "url string, html string").coalesce(1)
+    got = html_jobs.wiki_plain_html(df).collect()
+    assert [r.url for r in got] == [f"u{i}" for i in range(41)]
+    assert {i for i, r in enumerate(got) if r.error} == {9} and got[9].plain is None and got[9].pretty is None and got[7].plain == ""
+    for i in (0, 1, 8, 20, 40):
+        assert got[i].plain == wiki_html.plain_html(deep[i]) and got[i].pretty == wiki_html.pretty(got[i].plain) and f"x{i}" in got[i].pretty
+    assert len(got[40].pretty) > 50 * len(deep[40])
+
+
 def test_articles(spark):
     news = """<article><header class="entry-header"><h1 class="entry-title">T <b>x</b></h1><time class="entry-date published">1. Mai</time></header>
 <div class="entry-content"><p>A <a href="u">link</a> <strong>b</strong><br>c<img></p><div>skip</div><h3>H</h3><ol><li>one</li><li><em>two</em></li></ol></div></article>"""
@@ -432,6 +453,19 @@ def test_pieces_keep_every_row_in_order():
     assert [k for p in got for k in p.k] == list(range(10))
 
 
+def test_rows_go_on_with_what_was_made_of_them():
+    import pandas as pd
+
+    from loomspark.session import beside, letters
+
+    batch = pd.DataFrame({"k": range(10, 16)}, index=[3, 4, 5, 6, 7, 8])
+    made = [{"a": "xx", "b": None}, {"a": "yy", "b": [{"c": "zz", "d": None}]}, {"a": None, "b": None}, {"a": "x" * 50, "b": []}, {"a": "", "b": None}, {"a": "e", "b": None}]
+    assert [letters(r) for r in made] == [2, 4, 0, 50, 0, 1]
+    parts = list(beside(batch, iter(made), ["a", "b"], 5))
+    assert [list(p.k) for p in parts] == [[10, 11], [12, 13], [14, 15]] and [a for p in parts for a in p.a] == [r["a"] for r in made]
+    assert list(beside(batch[:0], iter([]), ["a", "b"], 5)) == []
+
+
 def test_every_query_agrees_with_its_sql(spark, sf):
     import os
 
