@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.llm import textnum as X
-from loomspark.llm.common import bounded, materialize, partitions
+from loomspark.llm.common import bounded, materialize, partitions, sieve
 from loomspark.llm.graph import components
 from loomspark.llm.repeats import _lists
 
@@ -220,27 +220,29 @@ def _prune(batches: Iterator[pa.RecordBatch], threshold: float, tolerance: float
         yield from done(True)
 
 
-def _candidates(reps: DataFrame, threshold: float, tolerance: float) -> DataFrame:
-    """Edges (a, b) that span every surviving pair."""
-    rows = reps.select("d", "sketch", F.explode("bands").alias("key"))
+def _buckets(reps: DataFrame) -> DataFrame:
+    """Rows (key, n, d, sketch) of the buckets of two or more representatives, n of them.
+
+    Few rows have such a bucket. So the sketches, most of the bytes, are joined to these alone: what is sent for every band is a key and
+    the hash of a row, and that at every size.
+    """
+    reps = reps.withColumn("row", F.xxhash64("d", "set_a"))  # rows that share an id are told apart
     counts = reps.select(F.explode("bands").alias("key")).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     counts = materialize(counts)  # so that the join can deal the rows of a common key to several tasks
-    joined = rows.join(counts, "key")
+    shared = reps.select("row", F.explode("bands").alias("key")).join(counts.hint("merge"), "key")  # the same plan at every size
+    return materialize(shared.join(reps.select("row", "d", "sketch"), "row").select("key", "n", "d", "sketch"))
 
-    def pruned(x: DataFrame) -> DataFrame:
-        return x.select("key", "d", "sketch").sortWithinPartitions("key", "d").mapInArrow(lambda it: _prune(it, threshold, tolerance), "a long, b long")
 
-    # by a hash of the key, not the key itself: a repartition that equals the join's own is dropped from the plan, and the join may
-    # be carried out without a shuffle
-    n = partitions(reps.sparkSession)
-    usual = pruned(joined.filter(F.col("n") <= BUCKET).select("key", "d", "sketch").repartition(n, F.xxhash64("key")))
-    hot = counts.filter(F.col("n") > BUCKET)
-    blocks = F.ceil(F.col("n") / (BUCKET // 2)).cast("int")
+def _candidates(reps: DataFrame, threshold: float, tolerance: float, buckets: DataFrame | None = None) -> DataFrame:
+    """Edges (a, b) that span every surviving pair. buckets: those of reps, if they are there."""
+    buckets = _buckets(reps) if buckets is None else buckets
+    blocks = F.when(F.col("n") > BUCKET, F.ceil(F.col("n") / (BUCKET // 2))).otherwise(1).cast("int")  # one, but for hot buckets
     own = F.pmod(F.xxhash64("d"), F.col("blocks")).cast("int")
-    dealt = rows.join(hot.withColumn("blocks", blocks), "key").withColumn("own", own)
+    dealt = buckets.withColumn("blocks", blocks).withColumn("own", own)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumn("key", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
-    return usual.unionByName(pruned(dealt.repartition(n, "key")))
+    dealt = dealt.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "d", "sketch")
+    dealt = dealt.repartition(partitions(reps.sparkSession), "key").sortWithinPartitions("key", "d")
+    return dealt.mapInArrow(lambda it: _prune(it, threshold, tolerance), "a long, b long")
 
 
 ORACLE = r"""
@@ -373,16 +375,18 @@ def jaccard_join(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD,
     classes = ids.groupBy("set_a", "set_b").agg(F.min("d").alias("lead"), F.count("*").alias("members"))
     member = ids.join(classes, ["set_a", "set_b"]).select("d", "lead", "members")
     leads = classes.select(F.col("lead").alias("d"), "set_a", "set_b", "members")
-    reps = materialize(signed.join(leads, ["d", "set_a", "set_b"]).dropDuplicates(["d", "set_a", "set_b"]).select("d", "members", "n", "bands", "sketch"))
-    near = components(_candidates(reps, threshold, tolerance))
+    reps = materialize(signed.join(leads, ["d", "set_a", "set_b"]).dropDuplicates(["d", "set_a", "set_b"]).select("d", "set_a", "members", "n", "bands", "sketch"))
+    buckets = _buckets(reps)
+    near = components(_candidates(reps, threshold, tolerance, buckets))
     known = reps.groupBy("d").agg(F.max("members").alias("members"), F.sum("n").alias("n"))
     sized = _blocked(near.withColumnRenamed("node", "d").join(known, "d"), ["component"])
     few = sized.filter(F.col("blocks") <= MOST_BLOCKS).withColumn("bucket", F.lit(None).cast("long"))
-    many = sized.filter(F.col("blocks") > MOST_BLOCKS).drop("blocks", "block").join(reps.select("d", F.explode("bands").alias("bucket")), "d")
+    many = sized.filter(F.col("blocks") > MOST_BLOCKS).drop("blocks", "block").join(buckets.select("d", F.col("key").alias("bucket")), "d")
     pairs = _paired(few).unionByName(_paired(_blocked(many, ["component", "bucket"])))
     by = ["component", "bucket", "one", "two"]
     # the work of a group grows faster than its bytes, so groups are dealt to all tasks instead of being joined by size
-    groups = base.select("d", "text").join(pairs, "d").repartition(partitions(docs.sparkSession), *by).groupBy(*by)
+    texts = sieve(base.select("d", "text"), near.select(F.col("node").alias("d")), "d")  # all others are in no pair
+    groups = texts.join(pairs, "d").repartition(partitions(docs.sparkSession), *by).groupBy(*by)
     verified = materialize(groups.applyInPandas(lambda key, x: _verify(key, x, n, threshold, tolerance), VERIFIED))
     linked = verified.filter("d is not null").groupBy("d").agg(F.sum("links").alias("links"))
     final = components(verified.filter("a is not null").select("a", "b"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from loomspark.llm import embedding_dedup, graph, hnsw, jaccard_join, mixing, warc
-from loomspark.llm.common import shared_dir
+from loomspark.llm.common import shared_dir, sieve
 from tests.llm.data import SCHEMA, WORD, frame, key, rows
 from tests.llm.test_repeats import by_bytes
 
@@ -77,6 +77,41 @@ def test_jaccard_buckets_meet_across_files(spark, monkeypatch, tmp_path):
     assert edges >= {(i, j) for i in sets for j in sets if i < j and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])} >= {(i, 1000 + i) for i in range(200)}
 
 
+def moved(spark):
+    """Bytes that the session has shuffled."""
+    scala = spark.sparkContext._jsc.sc()
+    scala.listenerBus().waitUntilEmpty(30_000)
+    return scala.statusStore().executorSummary("driver").totalShuffleWrite()
+
+
+def test_jaccard_sends_what_candidates_need(spark):
+    """Texts without a candidate, and sketches for each of their bands, are not shuffled, whether or not the other side is small."""
+    r = random.Random(14)
+    data = [(i, " ".join(f"w{r.randrange(10**6)}" for _ in range(1200)), None, None) for i in range(600)]
+    data += [(1000 + i, f"{data[i][1]} x{i}", None, None) for i in range(20)]
+    docs, sent = frame(spark, data), []
+    try:
+        for most in ("-1", "10m"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+            before = moved(spark)
+            got = {r.doc_id: (r.n_links, r.component_id) for r in jaccard_join.jaccard_join(docs).collect()}
+            sent.append(moved(spark) - before)
+            assert got == {i: (1, i % 1000) if i % 1000 < 20 else (0, i) for i, *_ in data}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert max(sent) < sum(len(t) for _, t, *_ in data) / 2, sent
+    assert sent[0] < 1.5 * sent[1], sent
+
+
+def test_sieve_keeps_every_row_that_matches(spark):
+    for n in (0, 1, 5000):
+        ids = spark.range(-n, n, 2).selectExpr("id d")
+        got = [r.d for r in sieve(spark.range(-50_000, 50_000).selectExpr("id d", "'x' bits"), ids, "d").select("d").collect()]
+        want = set(range(-n, n, 2))
+        assert want <= set(got) and len(set(got)) == len(got) and len(got) - len(want) <= 0.04 * 100_000
+    assert sieve(spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "d long, t string"), spark.range(1, 2).selectExpr("id d"), "d").count() >= 2
+
+
 def test_jaccard_edges(spark):
     assert jaccard_join.jaccard_join(spark.createDataFrame([], SCHEMA)).count() == 0
     twice = jaccard_join.jaccard_join(frame(spark, [rows()[0]] * 2)).collect()
